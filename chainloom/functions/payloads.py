@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from chainloom.constants import SOURCE_KIND_DEFAULT, SOURCE_KIND_TOTAL, SOURCE_KINDS
 from chainloom.functions.classify import classify_http_rewards, classify_message
 from chainloom.functions.numbers import clean_integer
-from chainloom.schemas import PRICE_JSON, REWARDS_JSON, SUPPLY_JSON, TRACE_JSON
 
 _BAD = "_bad"
 
@@ -56,24 +55,21 @@ def _entry(source_kind: Column, spec: Column, coins: Column) -> Column:
     )
 
 
-def parse_rewards(body: Column, status: Column) -> Column:
-    """Stored rewards response as ``struct(outcome, reason, entries)``.
-
-    Outcomes: ``fetched``, ``no_rewards``, ``state_pruned`` (the replicas could not answer),
-    ``failed``. ``info`` entries win over ``total``, which becomes one entry of kind 3.
-    """
-    parsed = json_or_bad(body, REWARDS_JSON)
-    http = classify_http_rewards(status)
-    said_no = parsed["success"] == F.lit(False)
-    entries = (
+def reward_entries(parsed: Column) -> Column:
+    """Entries of a decoded rewards body: ``info`` wins over ``total``, which is one entry of kind 3."""
+    source = lambda i: F.coalesce(i["source"], F.lit(""))
+    none = F.from_json(
+        F.lit("[]"),
+        "array<struct<source_kind: smallint, spec: string, "
+        "amounts: array<struct<denom: string, raw: string, amount: string>>>>",
+    )
+    return (
         F.when(
             F.size(F.coalesce(parsed["info"], F.array())) > 0,
             F.transform(
                 parsed["info"],
                 lambda i: _entry(
-                    parse_source(F.coalesce(i["source"], F.lit("")))["source_kind"],
-                    parse_source(F.coalesce(i["source"], F.lit("")))["spec"],
-                    i["amount"],
+                    parse_source(source(i))["source_kind"], parse_source(source(i))["spec"], i["amount"]
                 ),
             ),
         )
@@ -81,29 +77,29 @@ def parse_rewards(body: Column, status: Column) -> Column:
             F.size(F.coalesce(parsed["total"], F.array())) > 0,
             F.array(_entry(F.lit(SOURCE_KIND_TOTAL), F.lit(""), parsed["total"])),
         )
-        .otherwise(
-            F.from_json(
-                F.lit("[]"),
-                "array<struct<source_kind: smallint, spec: string, "
-                "amounts: array<struct<denom: string, raw: string, amount: string>>>>",
-            )
-        )
-    )
-    broken = F.filter(
-        F.flatten(F.transform(entries, lambda e: e["amounts"])), lambda a: a["amount"].isNull()
+        .otherwise(none)
     )
+
+
+def rewards_outcome(body: Column, status: Column, parsed: Column, broken: Column) -> tuple[Column, Column]:
+    """Outcome and reason of a stored rewards response.
+
+    Outcomes: ``fetched``, ``no_rewards``, ``state_pruned`` (the replicas could not answer),
+    ``failed``. ``broken`` lists the amounts that are no integers.
+    """
+    http = classify_http_rewards(status)
+    said_no = parsed["success"] == F.lit(False)
     outcome = (
         F.when(http != "ok", http)
         .when(is_blank(body) | is_bad(parsed), "state_pruned")
         .when(
             said_no,
-            F.when(classify_message(parsed["message"]) == "retry", "state_pruned").otherwise(
-                "no_rewards"
-            ),
+            F.when(classify_message(parsed["message"]) == "retry", "state_pruned").otherwise("no_rewards"),
         )
         .when(F.size(broken) > 0, "failed")
         .otherwise("fetched")
     )
+    first = F.get(broken, F.lit(0))
     reason = (
         F.when(http != "ok", F.concat(F.lit("http "), status.cast("string")))
         .when(is_blank(body), "empty body")
@@ -111,80 +107,35 @@ def parse_rewards(body: Column, status: Column) -> Column:
         .when(said_no, F.coalesce(parsed["message"], F.lit("")))
         .when(
             F.size(broken) > 0,
-            F.concat(
-                F.lit('non-integer amount "'),
-                F.get(broken, F.lit(0))["raw"],
-                F.lit('" (denom='),
-                F.get(broken, F.lit(0))["denom"],
-                F.lit(")"),
-            ),
+            F.format_string('non-integer amount "%s" (denom=%s)', first["raw"], first["denom"]),
         )
     )
-    return F.struct(
-        outcome.alias("outcome"),
-        reason.alias("reason"),
-        F.when(outcome == "fetched", entries).alias("entries"),
-    )
+    return outcome, reason
 
 
-def parse_price_body(body: Column, status: Column) -> Column:
-    """Stored price response as ``struct(price_text, error)``.
+def price_of(body: Column, status: Column, parsed: Column) -> tuple[Column, Column]:
+    """Price text and error of a stored price response.
 
     A coin unknown that day (404, blank body, no market data, no usd entry) is price "0";
     bad JSON and other non-2xx codes are errors.
     """
-    parsed = json_or_bad(body, PRICE_JSON)
     usd = F.try_element_at(parsed["market_data"]["current_price"], F.lit("usd"))
+    none = F.lit(None).cast("string")
     error = (
-        F.when(status == 404, F.lit(None).cast("string"))
+        F.when(status == 404, none)
         .when(status == 429, "rate limited")
         .when(~status.between(200, 299), F.concat(F.lit("http "), status.cast("string")))
-        .when(is_blank(body), F.lit(None).cast("string"))
+        .when(is_blank(body), none)
         .when(is_bad(parsed), "decode history body")
     )
-    price = F.when(
-        error.isNull(),
-        F.when((status == 404) | is_blank(body), F.lit("0")).otherwise(
-            F.coalesce(F.nullif(usd, F.lit("")), F.lit("0"))
-        ),
+    found = F.when((status == 404) | is_blank(body), F.lit("0")).otherwise(
+        F.coalesce(F.nullif(usd, F.lit("")), F.lit("0"))
     )
-    return F.struct(price.alias("price_text"), error.alias("error"))
+    return F.when(error.isNull(), found), error
 
 
-def parse_supply_body(body: Column, status: Column, denom: str) -> Column:
-    """Amount of one denom in a stored supply response as ``struct(total_supply, status, error)``.
-
-    A repeated denom keeps its last amount. Failed rows carry supply 0 and the reason.
-    """
-    parsed = json_or_bad(body, SUPPLY_JSON)
-    coins = F.coalesce(parsed["supply"], F.array())
-    mine = F.filter(coins, lambda c: c["denom"] == denom)
-    text = F.coalesce(F.try_element_at(mine, F.lit(-1))["amount"], F.lit(""))
-    trimmed = F.regexp_replace(text, r"^\s+|\s+\z", "")
-    number = F.when(trimmed.rlike(r"^[+-]?[0-9]+\z"), trimmed.try_cast("decimal(38,0)"))
-    kinds = F.size(F.array_distinct(F.transform(coins, lambda c: F.coalesce(c["denom"], F.lit("")))))
-    error = (
-        F.when(
-            ~status.between(200, 299),
-            F.concat(F.lit("fetch supply: http "), status.cast("string")),
-        )
-        .when(is_bad(parsed), "fetch supply: decode supply body")
-        .when(
-            F.size(mine) == 0,
-            F.format_string("%s missing from supply response (denoms=%d)", F.lit(denom), kinds),
-        )
-        .when(number.isNull(), F.concat(F.lit(f'parse {denom} amount "'), text, F.lit('"')))
-    )
-    return F.struct(
-        F.when(error.isNull(), number).otherwise(F.lit(0).cast("decimal(38,0)")).alias("total_supply"),
-        F.when(error.isNull(), "ok").otherwise("failed").alias("status"),
-        error.alias("error"),
-    )
-
-
-def parse_trace_body(body: Column, status: Column) -> Column:
-    """Stored denom trace as ``struct(base_denom, error)``; 404 gives neither (drop the amount)."""
-    parsed = json_or_bad(body, TRACE_JSON)
+def trace_of(status: Column, parsed: Column) -> tuple[Column, Column]:
+    """Base denom and error of a stored denom trace; 404 gives neither (drop the amount)."""
     base = F.regexp_replace(
         F.coalesce(parsed["denom_trace"]["base_denom"], F.lit("")), r"^\s+|\s+\z", ""
     )
@@ -194,6 +145,4 @@ def parse_trace_body(body: Column, status: Column) -> Column:
         .when(is_bad(parsed), "decode")
         .when(base == "", "empty base_denom")
     )
-    return F.struct(
-        F.when(error.isNull() & (status != 404), base).alias("base_denom"), error.alias("error")
-    )
+    return F.when(error.isNull() & (status != 404), base), error

@@ -9,6 +9,7 @@ from chainloom import schemas
 from chainloom.operators.dictionary import dict_encode, dict_lookup
 from chainloom.operators.merge import first_per_key
 from chainloom.operators.snapshots import drop_suppressed, provider_count, resolve_denoms, snapshot_gate
+from chainloom.session import cut
 from chainloom.sources.responses import reward_amounts, reward_results
 
 
@@ -31,12 +32,13 @@ def rewards_snapshot(
     wanted = responses.join(
         targets.select(F.col("block_height").alias("height")), "height", "left_semi"
     )
-    results = reward_results(wanted)
+    # decoded bodies and resolved amounts feed several steps, so each is computed once
+    results = cut(reward_results(wanted), "reward-results")
     gate = snapshot_gate(results, ["height"])
     passed = gate.where(F.col("status") == "ok").select("height")
     amounts = reward_amounts(results.join(passed, "height", "left_semi"))
     kept = drop_suppressed(amounts, metadata, denoms)
-    resolved = resolve_denoms(kept, traces)
+    resolved = cut(resolve_denoms(kept, traces), "reward-amounts")
     broken = resolved.groupBy("height").agg(
         F.min("resolve_error").alias("_resolve_error"),
         F.coalesce(
@@ -89,7 +91,7 @@ def rewards_snapshot(
     rewards = first_per_key(
         coded.where(F.col("amount").isNotNull()),
         schemas.REWARD_KEY,
-        ["position", "entry_pos", "amount_pos"],
+        ["position", "entry_pos", "amount_pos", "amount"],
     ).select(*schemas.REWARD_KEY, "amount")
     return {
         "snapshots": snapshots,

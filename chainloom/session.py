@@ -9,7 +9,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SQL_OPTIONS = {
     # every calendar rule here is a UTC rule
@@ -62,3 +62,10 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.gettempdir()
     return f"{root.rstrip('/')}/chainloom-{purpose}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a step out and read it back: computed once, short lineage, safe when executors go."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
