@@ -5,6 +5,7 @@ from chainloom.catalog.registry import ORACLES, QUERIES
 from chainloom.catalog import (  # noqa: E402,F401  isort:skip
     calendar,
     heights,
+    ingest_side,
     ledgers,
     read_side,
 )

@@ -119,7 +119,12 @@ def price_of(body: Column, status: Column, parsed: Column) -> tuple[Column, Colu
     A coin unknown that day (404, blank body, no market data, no usd entry) is price "0";
     bad JSON and other non-2xx codes are errors.
     """
-    usd = F.try_element_at(parsed["market_data"]["current_price"], F.lit("usd"))
+    listed = F.try_element_at(parsed["market_data"]["current_price"], F.lit("usd"))
+    # the decoder writes numbers again as doubles, so the digits come from the body itself
+    digits = F.regexp_extract(
+        body, r'"current_price"\s*:\s*\{[^{}]*"usd"\s*:\s*"?(-?[0-9][0-9.eE+-]*)', 1
+    )
+    usd = F.when(listed.isNotNull(), F.coalesce(F.nullif(digits, F.lit("")), listed))
     none = F.lit(None).cast("string")
     error = (
         F.when(status == 404, none)

@@ -24,7 +24,6 @@ REWARDS_JSON = (
     "success boolean, message string"
 )
 SUPPLY_JSON = f"supply {_COINS}"
-# a text map keeps every digit of the JSON number
 PRICE_JSON = "market_data struct<current_price: map<string, string>>"
 TRACE_JSON = "denom_trace struct<base_denom: string>"
 STATUS_JSON = (
