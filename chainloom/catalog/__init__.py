@@ -7,7 +7,9 @@ from chainloom.catalog import (  # noqa: E402,F401  isort:skip
     heights,
     ingest_side,
     ledgers,
+    metrics,
     read_side,
+    scalars,
 )
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -13,6 +13,7 @@ from chainloom.catalog.registry import table
 from chainloom.constants import RELAY_EVENT_TYPE
 from chainloom.operators.dictionary import dict_encode, dict_lookup
 from chainloom.plans.ingest import FACT_COLUMNS
+from chainloom.session import shared_dir
 
 # Height buckets of a few thousand make the small test tables span several of them.
 WIDTH = 4096
@@ -213,7 +214,20 @@ def _plain_event(kind: str) -> Column:
     return F.struct(F.lit(kind).alias("type"), twice.alias("attributes"))
 
 
+_LANDED: dict[tuple[str, str], str] = {}
+
+
 def landed_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """The blocks below as landed files, written once per application and table folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _LANDED:
+        path = shared_dir(spark, "landed")
+        build_blocks(spark, sf).write.parquet(path)
+        _LANDED[key] = path
+    return spark.read.schema(schemas.LANDED_BLOCKS).parquet(_LANDED[key])
+
+
+def build_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """One landed block per event: height is the event id.
 
     Per block: a begin event, a relay and a transfer event in transaction 0, a message in

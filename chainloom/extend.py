@@ -19,8 +19,8 @@ class Handler(Protocol):
     event_types: tuple[str, ...]
     schema: str
 
-    def transform(self, events: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Rows to store and rows to quarantine."""
+    def transform(self, events: DataFrame) -> DataFrame:
+        """Rows to store; a ``reason`` marks those to quarantine."""
         ...
 
 

@@ -10,8 +10,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _INTEGER = r"^[+-]?[0-9]+\z"
-_DECIMAL_FLOAT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
-_HEX_FLOAT = r"^[+-]?0[xX]([0-9a-fA-F]+\.?[0-9a-fA-F]*|\.[0-9a-fA-F]+)[pP][+-]?[0-9]+\z"
+_FINITE_FLOAT = (
+    r"^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
+    r"|0[xX]([0-9a-fA-F]+\.?[0-9a-fA-F]*|\.[0-9a-fA-F]+)[pP][+-]?[0-9]+)\z"
+)
 _WORD_FLOAT = r"(?i)^([+-]?(inf|infinity)|nan)\z"
 _PLAIN_INTEGER = r"^-?[0-9]+\z"
 _ZERO_FRACTION = r"^[^.]*\.0*\z"
@@ -33,9 +35,8 @@ def parse_int_or_zero(text: Column) -> Column:
 def parse_float_or_null(text: Column) -> Column:
     """Strict float text; finite text that overflows a double is NULL."""
     value = text.try_cast("double")
-    infinite = F.abs(value) == F.lit(float("inf"))
-    finite_text = text.rlike(_DECIMAL_FLOAT) | text.rlike(_HEX_FLOAT)
-    return F.when(finite_text & ~infinite, value).when(text.rlike(_WORD_FLOAT), value)
+    finite = F.when(F.abs(value) != F.lit(float("inf")), value)
+    return F.when(text.rlike(_FINITE_FLOAT), finite).when(text.rlike(_WORD_FLOAT), value)
 
 
 def parse_fraction(text: Column) -> Column:

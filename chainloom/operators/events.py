@@ -16,6 +16,8 @@ from chainloom.functions.numbers import (
 )
 from chainloom.functions.texts import hash_is_valid, tx_hash_bytes
 
+BAD_HASH = "tx_hash is not hex"
+
 _QOS_ATTRIBUTES = {
     "qos_avail": "QoSAvailability",
     "qos_latency": "QoSLatency",
@@ -55,7 +57,8 @@ def unpivot_indexed_attrs(events: DataFrame) -> DataFrame:
     """Relay records of events with their text attributes parsed; incomplete records drop out.
 
     A record needs a provider, a chain and a parsable CU. Input columns: ``height, time,
-    tx_hash, attrs, event_idx``. Whole numbers stay BIGINT here; :func:`split_records` narrows.
+    tx_hash, attrs, event_idx``. Whole numbers stay BIGINT here; :func:`mark_records` and
+    :func:`split_records` narrow.
     """
 
     def attr(name: str):
@@ -63,7 +66,8 @@ def unpivot_indexed_attrs(events: DataFrame) -> DataFrame:
             "attrs", F.concat(F.lit(f"{name}."), F.col("record_idx").cast("string"))
         )
 
-    parsed = indexed_records(events).select(
+    # texts become columns first, so each is looked up once however often its parser reads it
+    texts = indexed_records(events).select(
         F.col("height").alias("block_height"),
         "tx_hash",
         "event_idx",
@@ -71,28 +75,41 @@ def unpivot_indexed_attrs(events: DataFrame) -> DataFrame:
         F.col("time").alias("timestamp"),
         attr("provider").alias("provider"),
         attr("chainID").alias("chain"),
-        parse_int_or_null(attr("CU")).alias("cu"),
-        parse_int_or_zero(attr("relayNumber")).alias("relay_number"),
-        *[parse_fraction(attr(a)).alias(c) for c, a in _QOS_ATTRIBUTES.items()],
+        attr("CU").alias("_cu"),
+        attr("relayNumber").alias("_relays"),
+        *[attr(a).alias(c) for c, a in _QOS_ATTRIBUTES.items()],
+    )
+    parsed = texts.withColumns(
+        {
+            "cu": parse_int_or_null(F.col("_cu")),
+            "relay_number": parse_int_or_zero(F.col("_relays")),
+        }
+        | {c: parse_fraction(F.col(c)) for c in _QOS_ATTRIBUTES}
+    ).select(
+        "block_height", "tx_hash", "event_idx", "record_idx", "timestamp", "provider", "chain",
+        "cu", "relay_number", *_QOS_ATTRIBUTES,
     )
     return parsed.where(
         (F.col("provider") != "") & (F.col("chain") != "") & F.col("cu").isNotNull()
     )
 
 
-def split_records(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Records narrowed to the fact types, and those that do not fit with the reason.
-
-    A bad transaction hash fails its whole block upstream, so such heights are listed too and
-    none of their records is kept as a fact.
-    """
-    reason = (
-        F.when(~hash_is_valid(F.col("tx_hash")), "tx_hash is not hex")
+def mark_records(records: DataFrame) -> DataFrame:
+    """Add ``reason``: why a record cannot become a fact, NULL when it can."""
+    return records.withColumn(
+        "reason",
+        F.when(~hash_is_valid(F.col("tx_hash")), BAD_HASH)
         .when(~fits_short(F.col("record_idx")), "record_idx out of range")
-        .when(~fits_int(F.col("relay_number")), "relay_number out of range")
+        .when(~fits_int(F.col("relay_number")), "relay_number out of range"),
     )
-    marked = records.withColumn("reason", reason)
-    bad_heights = marked.where(~hash_is_valid(F.col("tx_hash"))).select("block_height").distinct()
+
+
+def split_records(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Marked records narrowed to the fact types, and those that do not fit.
+
+    A bad transaction hash fails its whole block, so none of that height's records is a fact.
+    """
+    bad_heights = marked.where(F.col("reason") == BAD_HASH).select("block_height").distinct()
     facts = (
         marked.where(F.col("reason").isNull())
         .join(bad_heights, "block_height", "left_anti")

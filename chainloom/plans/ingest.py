@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,12 +11,19 @@ from pyspark.sql import functions as F
 from chainloom import schemas
 from chainloom.constants import RELAY_EVENT_TYPE, RELAY_HANDLER
 from chainloom.operators.dictionary import dict_decode, dict_encode, dict_lookup
-from chainloom.operators.events import dispatch_events, split_records, unpivot_indexed_attrs
+from chainloom.operators.events import (
+    BAD_HASH,
+    dispatch_events,
+    mark_records,
+    split_records,
+    unpivot_indexed_attrs,
+)
 from chainloom.operators.intervals import points_to_islands
 from chainloom.operators.ledger import clear_recovered, pop_failures, record_failures
 from chainloom.operators.merge import first_per_key
 from chainloom.operators.rollup import ROLLUP_KEYS, ROLLUP_SUMS, add_rollups, daily_by_id, relay_daily
-from chainloom.sinks.tables import BatchTable, VersionedTable
+from chainloom.session import cut
+from chainloom.sinks.tables import BatchTable, VersionedTable, discard
 from chainloom.sources.blocks import decode_errors, explode_events, parse_blocks
 
 FACT_COLUMNS = [
@@ -33,13 +41,15 @@ class RelayHandler:
     event_types: tuple[str, ...] = (RELAY_EVENT_TYPE,)
     schema: str = schemas.FACTS
 
-    def transform(self, events: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Facts with text keys, and records that do not fit the fact types."""
-        return split_records(unpivot_indexed_attrs(events))
+    def transform(self, events: DataFrame) -> DataFrame:
+        """Text-keyed records, with the reason for those that do not fit the fact types."""
+        return mark_records(unpivot_indexed_attrs(events))
 
 
-def relay_records(spark: SparkSession, parsed: DataFrame, handler: RelayHandler | None = None) -> tuple[DataFrame, DataFrame]:
-    """Text-keyed fact rows of parsed blocks, and the quarantined records."""
+def relay_records(
+    spark: SparkSession, parsed: DataFrame, handler: RelayHandler | None = None
+) -> DataFrame:
+    """Marked relay records of parsed blocks."""
     handler = handler or RelayHandler()
     routed = dispatch_events(
         spark, explode_events(parsed), [(handler.name, t) for t in handler.event_types]
@@ -55,16 +65,21 @@ def encode_facts(facts: DataFrame, providers: DataFrame, chains: DataFrame) -> D
     return coded.select(*FACT_COLUMNS)
 
 
-def relay_batch(spark: SparkSession, raw: DataFrame) -> dict[str, DataFrame]:
+def relay_batch(
+    spark: SparkSession, raw: DataFrame, keep: Callable[[DataFrame, str], DataFrame] = cut
+) -> dict[str, DataFrame]:
     """One batch of landed blocks, not encoded yet.
 
     ``facts`` carry provider and chain texts, one row per key; ``failures`` are heights that did
-    not decode or carry a bad transaction hash; ``heights`` are the heights done.
+    not decode or carry a bad transaction hash; ``heights`` are the heights done. ``keep`` stores
+    the decoded rows once, since everything below reads them several times.
     """
     parsed = parse_blocks(raw)
-    facts, quarantine = relay_records(spark, parsed)
-    bad = decode_errors(parsed).unionByName(
-        quarantine.where(F.col("reason") == "tx_hash is not hex")
+    records = keep(relay_records(spark, parsed), "records")
+    decoded = keep(parsed.select("height", "error"), "heights")
+    facts, quarantine = split_records(records)
+    bad = decode_errors(decoded).unionByName(
+        quarantine.where(F.col("reason") == BAD_HASH)
         .select(F.col("block_height").alias("height"), "reason")
         .distinct()
     )
@@ -72,7 +87,7 @@ def relay_batch(spark: SparkSession, raw: DataFrame) -> dict[str, DataFrame]:
         "facts": first_per_key(facts, schemas.FACT_KEY, ["provider", "chain", "cu"]),
         "failures": bad.withColumn("handler", F.lit(RELAY_HANDLER)),
         "quarantine": quarantine,
-        "heights": parsed.where(F.col("error").isNull())
+        "heights": decoded.where(F.col("error").isNull())
         .select(F.lit(RELAY_HANDLER).alias("handler"), "height")
         .join(bad.select("height").distinct(), "height", "left_anti"),
     }
@@ -81,10 +96,13 @@ def relay_batch(spark: SparkSession, raw: DataFrame) -> dict[str, DataFrame]:
 def relay_ingest(
     spark: SparkSession, raw: DataFrame, providers: DataFrame, chains: DataFrame
 ) -> dict[str, DataFrame]:
-    """:func:`relay_batch` with the dictionaries grown and the facts encoded."""
+    """:func:`relay_batch` with the dictionaries grown and the facts encoded.
+
+    The grown dictionaries are written out, as the facts are joined to them on both ends.
+    """
     batch = relay_batch(spark, raw)
-    providers_next = dict_encode(batch["facts"], providers, "provider")
-    chains_next = dict_encode(batch["facts"], chains, "chain")
+    providers_next = cut(dict_encode(batch["facts"], providers, "provider"), "providers")
+    chains_next = cut(dict_encode(batch["facts"], chains, "chain"), "chains")
     return batch | {
         "facts": encode_facts(batch["facts"], providers_next, chains_next),
         "providers": providers_next,
@@ -92,7 +110,6 @@ def relay_ingest(
     }
 
 
-_STAGED = schemas.FACTS.replace("provider_id int, chain_id int", "provider string, chain string")
 _WHOLE = {
     "cu", "relays", "qos_weight", "qos_cu", "qos_count", "ex_qos_weight", "ex_qos_count",
 }
@@ -108,7 +125,6 @@ class RelayStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
         self.facts = BatchTable(spark, f"{root}/relay_payments", schemas.FACTS)
-        self.staging = BatchTable(spark, f"{root}/staging", _STAGED)
         self.providers = VersionedTable(spark, f"{root}/providers", schemas.DICTIONARY)
         self.chains = VersionedTable(spark, f"{root}/chains", schemas.DICTIONARY)
         self.failures = VersionedTable(spark, f"{root}/failures", schemas.FAILURES)
@@ -124,20 +140,24 @@ class RelayStore:
     ) -> None:
         """Store one batch. Running it again with the same id changes nothing.
 
-        Order of writes: text-keyed rows to a staging table (so blocks are decoded once),
+        Order of writes: decoded rows to a staging folder (so blocks are decoded once),
         dictionaries (they only grow), facts and rollup delta (own partitions), failure ledger
         (tagged with the batch), manifest (makes the batch visible). A crash at any point leaves
         the old state visible, and a replay completes the batch.
         """
         spark = self.spark
-        batch = relay_batch(spark, raw)
-        self.staging.write_batch(batch["facts"], batch_id)
-        staged = self.staging.read_batch(batch_id)
-        self.providers.replace(dict_encode(staged, self.providers.read(), "provider"))
-        self.chains.replace(dict_encode(staged, self.chains.read(), "chain"))
+        staging = f"{self.root}/staging/{batch_id}"
+
+        def keep(df: DataFrame, name: str) -> DataFrame:
+            df.write.mode("overwrite").parquet(f"{staging}/{name}")
+            return spark.read.schema(df.schema).parquet(f"{staging}/{name}")
+
+        batch = relay_batch(spark, raw, keep)
+        for dictionary, text in ((self.providers, "provider"), (self.chains, "chain")):
+            self._grow(dictionary, batch["facts"], text)
         others = self.facts.read().where(F.col("batch_id") != batch_id)
         # a fact of another batch has the same height, so only overlapping heights are compared
-        fresh = encode_facts(staged, self.providers.read(), self.chains.read()).join(
+        fresh = encode_facts(batch["facts"], self.providers.read(), self.chains.read()).join(
             others.select(*schemas.FACT_KEY), schemas.FACT_KEY, "left_anti"
         )
         self.facts.write_batch(fresh, batch_id)
@@ -164,7 +184,14 @@ class RelayStore:
             ),
             batch_id,
         )
-        self.staging.discard(batch_id)
+        discard(spark, staging)
+
+    def _grow(self, dictionary: VersionedTable, facts: DataFrame, text: str) -> None:
+        """Add unseen texts to a dictionary; most batches bring none and write nothing."""
+        known = dictionary.read()
+        unseen = facts.select(F.col(text).alias("value")).join(known, "value", "left_anti")
+        if not unseen.isEmpty():
+            dictionary.replace(dict_encode(facts, known, text))
 
     def retry_failures(
         self, raw: DataFrame, batch_id: str, now: Column, limit: int, max_retries: int

@@ -42,6 +42,11 @@ class _Files:
         self._fs.delete(self._path(path), True)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a staging folder."""
+    _Files(spark, path).delete(path)
+
+
 class VersionedTable:
     """A small keyed table or a derived view, replaced as a whole."""
 
@@ -122,10 +127,6 @@ class BatchTable:
         target = f"{self.path}/batch_id={batch_id}"
         df.hint("rebalance").write.mode("overwrite").parquet(target)
 
-    def discard(self, batch_id: str) -> None:
-        """Remove the rows of a batch that was never meant to be read as a table."""
-        _Files(self.spark, self.path).delete(f"{self.path}/batch_id={batch_id}")
-
     def commit(self, manifest: DataFrame, batch_id: str) -> None:
         """Make a written batch visible; always the last step of a batch."""
         row = manifest.drop("batch_id").coalesce(1)
