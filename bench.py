@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import tempfile
 import time
 
@@ -68,6 +69,7 @@ def main() -> None:
         start = time.perf_counter()
         job()
         timings[name] = round(time.perf_counter() - start, 3)
+        print(name, timings[name], file=sys.stderr, flush=True)
     print(
         json.dumps(
             {

@@ -81,7 +81,7 @@ SELECT handler, p AS from_height,
 )
 def split_ranges_at(spark, sf):
     gaps = iv.range_gaps(s.ranges(spark, sf), s.windows(spark, sf), width=W)
-    return iv.split_ranges_at(gaps, _horizons(spark, sf), width=W)
+    return iv.split_ranges_at(gaps, _horizons(spark, sf))
 
 
 @query(
@@ -282,7 +282,7 @@ FROM req JOIN rng ON rng.handler = req.handler AND f <= b AND t >= a WHERE b >=
 )
 def range_overlap_join(spark, sf):
     wanted = _requests(spark, sf).where("to_height >= from_height")
-    return iv.range_overlap_join(wanted, s.ranges(spark, sf), width=W, salts=2)
+    return iv.range_overlap_join(wanted, s.ranges(spark, sf), salts=2)
 
 
 @query(

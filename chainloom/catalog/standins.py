@@ -222,7 +222,8 @@ def landed_blocks(spark: SparkSession, sf: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _LANDED:
         path = shared_dir(spark, "landed")
-        build_blocks(spark, sf).write.parquet(path)
+        files = 2 * spark.sparkContext.defaultParallelism
+        build_blocks(spark, sf).repartition(files, "height").write.parquet(path)
         _LANDED[key] = path
     return spark.read.schema(schemas.LANDED_BLOCKS).parquet(_LANDED[key])
 

@@ -95,13 +95,12 @@ def display_amount(amount: Column, factor: Column) -> Column:
     return F.try_add(whole, part).try_cast("decimal(38,18)")
 
 
-def value_usd(amount: Column, factor: Column, price: Column) -> Column:
-    """Display amount times price, as DECIMAL(38,12).
+def value_usd(shown: Column, price: Column) -> Column:
+    """Display amount times price, as DECIMAL(38,12); ``shown`` should be a stored column.
 
     A product of two DECIMAL(38,18) keeps only six places, so whole and fractional parts are
     multiplied apart; each product below stays within 38 digits.
     """
-    shown = display_amount(amount, factor)
     price = price.cast("decimal(38,18)")
     shown_whole, price_whole = (F.floor(c).cast("decimal(19,0)") for c in (shown, price))
     shown_part = (shown - shown_whole).cast("decimal(18,18)")

@@ -7,7 +7,7 @@ set). Work is cut by (key, height bucket), so one handler may own most of the ro
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chainloom.constants import HEIGHT_BUCKET
@@ -140,43 +140,66 @@ def union_gaps(
     return merge_ranges(range_gaps(ranges, windows, by, width), [], width)
 
 
+def _level(lo: str, hi: str) -> Column:
+    """Smallest n with 2^n heights >= the length of the range, so it touches at most two buckets
+    of that width."""
+    return F.ceil(F.log2(F.col(hi) - F.col(lo) + 1)).cast("int")
+
+
+def _spread(df: DataFrame, lo: str, hi: str, first: str) -> DataFrame:
+    """One row per bucket of width 2^level that a range touches; ``first`` is its first bucket."""
+    at = lambda c: F.expr(f"shiftright({c}, _level)")
+    return df.withColumn(first, at(lo)).withColumn(BUCKET, F.explode(F.sequence(at(lo), at(hi))))
+
+
 def range_overlap_join(
-    left: DataFrame,
-    right: DataFrame,
-    by: list[str] = HANDLER,
-    width: int = HEIGHT_BUCKET,
-    salts: int = 1,
+    left: DataFrame, right: DataFrame, by: list[str] = HANDLER, salts: int = 1
 ) -> DataFrame:
-    """Pairs of overlapping ranges of one key as a bucketed equi join.
+    """Pairs of overlapping non-empty ranges of one key, as equi joins on height buckets.
 
-    The right range arrives as ``r_from, r_to`` next to the other right columns. A pair that
-    shares several buckets is kept in the first common one. ``salts`` > 1 splits the left rows
-    of every bucket and repeats the right ones, for a bucket that is hot on the left side.
+    The right range arrives as ``r_from, r_to`` next to the other right columns. A pair meets in
+    buckets as wide as its longer range (the next power of two), so the candidates stay within a
+    small factor of the result whatever mix of lengths there is. A pair sharing two buckets is
+    kept in the first one. ``salts`` > 1 splits the left rows of every bucket and repeats the
+    right ones; without it AQE still splits skewed buckets.
     """
-    clash = [c for c in right.columns if c in left.columns and c not in by]
     r = right.withColumnsRenamed({"from_height": "r_from", "to_height": "r_to"})
-    extra = [c for c in clash if c not in ("from_height", "to_height")]
-    if extra:
-        raise ValueError(f"columns on both sides: {extra}")
-
-    def spread(df: DataFrame, lo: str, hi: str, first: str) -> DataFrame:
-        start = F.floor(F.col(lo) / F.lit(width)).cast("bigint")
-        stop = F.floor(F.col(hi) / F.lit(width)).cast("bigint")
-        return df.withColumn(first, start).withColumn(BUCKET, F.explode(F.sequence(start, stop)))
-
-    a = spread(left, "from_height", "to_height", "_first")
-    b = spread(r, "r_from", "r_to", "_r_first")
-    on = [*by, BUCKET]
-    if salts > 1:
-        a = a.withColumn("_salt", F.pmod(F.xxhash64("from_height", "to_height"), F.lit(salts)))
-        b = b.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
-        on.append("_salt")
-    pairs = a.join(b, on).where(
-        (F.col("from_height") <= F.col("r_to"))
-        & (F.col("to_height") >= F.col("r_from"))
-        & (F.col(BUCKET) == F.greatest("_first", "_r_first"))
+    clash = [c for c in r.columns if c in left.columns and c not in by]
+    if clash:
+        raise ValueError(f"columns on both sides: {clash}")
+    a = left.where("to_height >= from_height").withColumn("_own", _level("from_height", "to_height"))
+    b = r.where("r_to >= r_from").withColumn("_r_own", _level("r_from", "r_to"))
+    # at most 63 levels exist on a side
+    a_levels = a.agg(F.collect_set("_own")).scalar()
+    b_levels = b.agg(F.collect_set("_r_own")).scalar()
+
+    def meet(x: DataFrame, y: DataFrame) -> DataFrame:
+        on = [*by, "_level", BUCKET]
+        if salts > 1:
+            x = x.withColumn("_salt", F.pmod(F.xxhash64("from_height", "to_height"), F.lit(salts)))
+            y = y.withColumn("_salt", F.explode(F.expr(f"sequence(0L, {salts - 1}L)")))
+            on.append("_salt")
+        return (
+            x.join(y, on)
+            .where(
+                (F.col("from_height") <= F.col("r_to"))
+                & (F.col("to_height") >= F.col("r_from"))
+                & (F.col(BUCKET) == F.greatest("_first", "_r_first"))
+            )
+            .drop(BUCKET, "_level", "_first", "_r_first", "_salt", "_own", "_r_own")
+        )
+
+    left_own = _spread(a.withColumn("_level", F.col("_own")), "from_height", "to_height", "_first")
+    right_up = _spread(
+        b.withColumn("_level", F.explode(a_levels)).where("_level >= _r_own"),
+        "r_from", "r_to", "_r_first",
+    )
+    left_up = _spread(
+        a.withColumn("_level", F.explode(b_levels)).where("_level > _own"),
+        "from_height", "to_height", "_first",
     )
-    return pairs.drop(BUCKET, "_first", "_r_first", "_salt")
+    right_own = _spread(b.withColumn("_level", F.col("_r_own")), "r_from", "r_to", "_r_first")
+    return meet(left_own, right_up).unionByName(meet(left_up, right_own))
 
 
 def needs_range(
@@ -190,7 +213,7 @@ def needs_range(
     wanted = requests.where(F.col("to_height") >= F.col("from_height"))
     overlap = F.least("to_height", "r_to") - F.greatest("from_height", "r_from") + 1
     covered = (
-        range_overlap_join(wanted, merge_ranges(ranges, by, width), by, width)
+        range_overlap_join(wanted, merge_ranges(ranges, by, width), by)
         .groupBy(*keys)
         .agg(F.sum(overlap).alias("covered"))
     )
@@ -202,7 +225,7 @@ def needs_range(
 
 
 def split_ranges_at(
-    ranges: DataFrame, horizons: DataFrame, by: list[str] = HANDLER, width: int = HEIGHT_BUCKET
+    ranges: DataFrame, horizons: DataFrame, by: list[str] = HANDLER
 ) -> DataFrame:
     """Cut ranges at every source horizon strictly inside them.
 
@@ -215,7 +238,7 @@ def split_ranges_at(
         .distinct()
         .withColumn("to_height", F.col("from_height"))
     )
-    inside = range_overlap_join(ranges, cuts, [], width).where(
+    inside = range_overlap_join(ranges, cuts, []).where(
         F.col("r_from") > F.col("from_height")
     )
     keys = [*by, "from_height", "to_height"]
@@ -260,7 +283,6 @@ def subtract_points(
         whole,
         points.select(*by, F.col("height").alias("from_height"), F.col("height").alias("to_height")).distinct(),
         by,
-        width,
     )
     keys = [*by, "start_height", "end_height"]
     inside = hits.select(

@@ -181,7 +181,8 @@ def priced_rewards(
         .where(~F.coalesce(F.col("suppress"), F.lit(False)))
         .join(prices.select("snapshot_date", "denom_id", "price_usd"), ["snapshot_date", "denom_id"], "left")
     )
-    return joined.select(
+    shown = joined.withColumn("display_amount", display_amount(F.col("amount"), F.col("factor")))
+    return shown.select(
         "snapshot_date",
         "block_height",
         "block_time",
@@ -192,9 +193,9 @@ def priced_rewards(
         "resolved_denom",
         F.col("base_denom").alias("display_denom"),
         F.col("amount").alias("raw_amount"),
-        display_amount(F.col("amount"), F.col("factor")).alias("display_amount"),
+        "display_amount",
         "price_usd",
-        value_usd(F.col("amount"), F.col("factor"), F.col("price_usd")).alias("value_usd"),
+        value_usd(F.col("display_amount"), F.col("price_usd")).alias("value_usd"),
     )
 
 

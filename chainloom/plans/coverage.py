@@ -11,6 +11,7 @@ from chainloom.operators.intervals import (
     coverage_ratio,
     merge_ranges,
     range_gaps,
+    range_overlap_join,
     subtract_points,
 )
 from chainloom.operators.ledger import failure_counts, failure_ranges
@@ -53,7 +54,7 @@ def coverage_report(
         F.count(F.lit(1)).alias("gaps"),
         F.sum(F.col("to_height") - F.col("from_height") + 1).alias("gap_heights"),
     )
-    still_open = subtract_covered(failures, merged, width).groupBy("handler").agg(
+    still_open = subtract_covered(failures, merged).groupBy("handler").agg(
         F.count(F.lit(1)).alias("open_failures")
     )
     failed = failure_ranges(failures).groupBy("handler").agg(F.count(F.lit(1)).alias("failed_ranges"))
@@ -68,10 +69,8 @@ def coverage_report(
     )
 
 
-def subtract_covered(points: DataFrame, ranges: DataFrame, width: int = HEIGHT_BUCKET) -> DataFrame:
+def subtract_covered(points: DataFrame, ranges: DataFrame) -> DataFrame:
     """Points of a handler that no range covers; ``ranges`` do not overlap."""
-    from chainloom.operators.intervals import range_overlap_join
-
     single = points.select("handler", F.col("height").alias("from_height"), F.col("height").alias("to_height")).distinct()
-    hit = range_overlap_join(single, ranges, HANDLER, width).select("handler", F.col("from_height").alias("height"))
+    hit = range_overlap_join(single, ranges).select("handler", F.col("from_height").alias("height"))
     return single.select("handler", F.col("from_height").alias("height")).join(hit, ["handler", "height"], "left_anti")
