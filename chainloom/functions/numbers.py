@@ -111,5 +111,6 @@ def value_usd(shown: Column, price: Column) -> Column:
         shown_part * price_whole,
         shown_part * price_part,
     ]
-    narrowed = [t.cast("decimal(38,12)") for t in terms]
+    # three additions of DECIMAL(34,12) still fit 38 digits at scale 12
+    narrowed = [t.try_cast("decimal(34,12)") for t in terms]
     return (narrowed[0] + narrowed[1] + narrowed[2] + narrowed[3]).cast("decimal(38,12)")

@@ -15,6 +15,7 @@ from chainloom.operators.intervals import (
     subtract_points,
 )
 from chainloom.operators.ledger import failure_counts, failure_ranges
+from chainloom.session import cut
 
 
 def coverage_gaps(
@@ -38,7 +39,8 @@ def coverage_report(
     report carries their counts, so no list of a handler is gathered in one place.
     ``open_failures`` leaves out failed heights that were covered later.
     """
-    merged = merge_ranges(ranges, HANDLER, width)
+    # every part below starts from the merged ranges, which are far fewer than the stored ones
+    merged = cut(merge_ranges(ranges, HANDLER, width), "coverage")
     spans = merged.groupBy("handler").agg(
         F.count(F.lit(1)).alias("ranges"),
         F.min("from_height").alias("covered_start"),
@@ -47,10 +49,10 @@ def coverage_report(
     chain = windows.select(
         "handler", F.lit(genesis).cast("bigint").alias("start_height"), F.lit(tip).cast("bigint").alias("end_height")
     )
-    pct = lambda w, out: coverage_ratio(ranges, w, HANDLER, width).select(
+    pct = lambda w, out: coverage_ratio(merged, w, HANDLER, width).select(
         "handler", (F.col("ratio") * 100).alias(out)
     )
-    gaps = coverage_gaps(ranges, failures, windows, width).groupBy("handler").agg(
+    gaps = coverage_gaps(merged, failures, windows, width).groupBy("handler").agg(
         F.count(F.lit(1)).alias("gaps"),
         F.sum(F.col("to_height") - F.col("from_height") + 1).alias("gap_heights"),
     )
