@@ -9,6 +9,7 @@ from chainloom.catalog.registry import query, table
 from chainloom.operators import intervals as iv
 from chainloom.operators import ledger
 from chainloom.plans import coverage
+from chainloom.session import cut
 
 W = s.WIDTH
 _OUT = "handler, f AS from_height, t AS to_height"
@@ -114,6 +115,12 @@ left_over AS ({s.gaps_sql('both_')})"""
 
 @query("subtract_points", f"{_CTE}, {_WITHOUT_POINTS} SELECT {_OUT} FROM left_over")
 def subtract_points(spark, sf):
+    gaps = cut(iv.range_gaps(s.ranges(spark, sf), s.windows(spark, sf), width=W), "gaps")
+    return iv.subtract_points(gaps, s.failed_points(spark, sf), width=W)
+
+
+@query("coverage_gaps", f"{_CTE}, {_WITHOUT_POINTS} SELECT {_OUT} FROM left_over")
+def coverage_gaps(spark, sf):
     return coverage.coverage_gaps(s.ranges(spark, sf), s.failed_points(spark, sf), s.windows(spark, sf), W)
 
 

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chainloom.constants import HEIGHT_BUCKET
 from chainloom.operators.intervals import (
     HANDLER,
-    coverage_ratio,
     merge_ranges,
     range_gaps,
     range_overlap_join,
-    subtract_points,
 )
 from chainloom.operators.ledger import failure_counts, failure_ranges
 from chainloom.session import cut
@@ -21,8 +19,15 @@ from chainloom.session import cut
 def coverage_gaps(
     ranges: DataFrame, failures: DataFrame, windows: DataFrame, width: int = HEIGHT_BUCKET
 ) -> DataFrame:
-    """Never-tried gaps: uncovered heights of the window that did not fail either."""
-    return subtract_points(range_gaps(ranges, windows, HANDLER, width), failures, HANDLER, width)
+    """Never-tried gaps: heights of the window that are neither covered nor failed.
+
+    Gaps minus failed heights are the gaps of ranges and failed heights together.
+    """
+    failed = failures.select(
+        "handler", F.col("height").alias("from_height"), F.col("height").alias("to_height")
+    )
+    tried = ranges.select("handler", "from_height", "to_height").unionByName(failed)
+    return range_gaps(tried, windows, HANDLER, width)
 
 
 def coverage_report(
@@ -41,16 +46,31 @@ def coverage_report(
     """
     # every part below starts from the merged ranges, which are far fewer than the stored ones
     merged = cut(merge_ranges(ranges, HANDLER, width), "coverage")
-    spans = merged.groupBy("handler").agg(
+    lo, hi = F.lit(genesis).cast("bigint"), F.lit(tip).cast("bigint")
+    start, end = F.col("start_height"), F.col("end_height")
+
+    def inside(a: Column, b: Column) -> Column:
+        shared = F.least(F.col("to_height"), b) - F.greatest(F.col("from_height"), a) + 1
+        return F.sum(F.greatest(shared, F.lit(0).cast("bigint")))
+
+    def percent(covered: str, a: Column, b: Column) -> Column:
+        share = F.coalesce(F.col(covered), F.lit(0)) / (b - a + 1)
+        return F.when(b >= a, share * 100).otherwise(F.lit(0.0)).cast("double")
+
+    spans = merged.join(windows, "handler").groupBy("handler").agg(
         F.count(F.lit(1)).alias("ranges"),
         F.min("from_height").alias("covered_start"),
         F.max("to_height").alias("covered_end"),
+        inside(start, end).alias("_in_window"),
+        inside(lo, hi).alias("_in_chain"),
     )
-    chain = windows.select(
-        "handler", F.lit(genesis).cast("bigint").alias("start_height"), F.lit(tip).cast("bigint").alias("end_height")
-    )
-    pct = lambda w, out: coverage_ratio(merged, w, HANDLER, width).select(
-        "handler", (F.col("ratio") * 100).alias(out)
+    shares = windows.join(spans, "handler", "left").select(
+        "handler",
+        "ranges",
+        "covered_start",
+        "covered_end",
+        percent("_in_window", start, end).alias("window_pct"),
+        percent("_in_chain", lo, hi).alias("chain_pct"),
     )
     gaps = coverage_gaps(merged, failures, windows, width).groupBy("handler").agg(
         F.count(F.lit(1)).alias("gaps"),
@@ -60,10 +80,8 @@ def coverage_report(
         F.count(F.lit(1)).alias("open_failures")
     )
     failed = failure_ranges(failures).groupBy("handler").agg(F.count(F.lit(1)).alias("failed_ranges"))
-    out = windows.select("handler")
-    for part in (
-        spans, pct(windows, "window_pct"), pct(chain, "chain_pct"), gaps, failure_counts(failures), failed, still_open,
-    ):
+    out = shares
+    for part in (gaps, failure_counts(failures), failed, still_open):
         out = out.join(part, "handler", "left")
     return out.fillna(
         0,
