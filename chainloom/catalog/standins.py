@@ -145,14 +145,17 @@ pts AS (
 
 
 def merged_sql(source: str) -> str:
-    """Merged ranges of a CTE ``(handler, f, t)``."""
+    """Merged ranges of a CTE ``(handler, f, t)``.
+
+    Starts are made unique first: equal rows could be ordered differently by the two windows.
+    """
     return f"""
   SELECT handler, min(f) AS f, max(t) AS t
   FROM (SELECT *, sum(opens) OVER (PARTITION BY handler ORDER BY f, t ROWS UNBOUNDED PRECEDING) AS g
         FROM (SELECT *, CASE WHEN f <= 1 + max(t) OVER (PARTITION BY handler ORDER BY f, t
                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
                              THEN 0 ELSE 1 END AS opens
-              FROM {source}))
+              FROM (SELECT handler, f, max(t) AS t FROM {source} GROUP BY handler, f)))
   GROUP BY handler, g"""
 
 

@@ -42,6 +42,7 @@ def difference(spark, con, name, fn, sql, sf_dir) -> str | None:
         return f"columns {sorted(got.columns)} vs {sorted(names)}"
     if mine == want:
         return None
-    extra = [r for r in mine if r not in set(want)][:3]
-    missing = [r for r in want if r not in set(mine)][:3]
+    got_set, want_set = set(mine), set(want)
+    extra = [r for r in mine if r not in want_set][:3]
+    missing = [r for r in want if r not in got_set][:3]
     return f"rows {len(mine)} vs {len(want)}; only mine {extra}; only sql {missing}"
