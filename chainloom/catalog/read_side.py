@@ -37,7 +37,7 @@ def _avg_sql(by: str, weighted: bool) -> str:
     for p in ("qos", "ex_qos"):
         sfx, base = ("w", f"{p}_weight") if weighted else ("sum", f"{p}_count")
         cols += [
-            f"round(sum({p}_{m}_{sfx}) / nullif(CAST(sum({base}) AS DOUBLE), 0), 6) AS {p}_{m}_avg"
+            f"round(sum({p}_{m}_{sfx}) / nullif(CAST(sum({base}) AS DOUBLE), 0), 9) AS {p}_{m}_avg"
             for m in ("sync", "avail", "latency")
         ]
     return f"{_DAILY_CTE} SELECT {by}, {', '.join(cols)} FROM daily GROUP BY {by}"
@@ -48,12 +48,13 @@ def relay_daily(spark, sf):
     return rollup.relay_daily(*s.star(spark, sf))
 
 
-@query("qos_weighted_avg", _avg_sql("chain_id", True))
+# averages of two-digit values can end in an exact 5 at the seventh digit
+@query("qos_weighted_avg", _avg_sql("chain_id", True), digits=9)
 def qos_weighted_avg(spark, sf):
     return rollup.qos_averages(rollup.relay_daily(*s.star(spark, sf)), ["chain_id"], True)
 
 
-@query("qos_unweighted_avg", _avg_sql("provider", False))
+@query("qos_unweighted_avg", _avg_sql("provider", False), digits=9)
 def qos_unweighted_avg(spark, sf):
     return rollup.qos_averages(rollup.relay_daily(*s.star(spark, sf)), ["provider"], False)
 

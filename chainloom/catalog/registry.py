@@ -15,7 +15,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+def query(name: str, sql: str | None = None, digits: int = 6) -> Callable[[Query], Query]:
     """Register a query; its result is brought to plain column types."""
 
     def register(fn: Query) -> Query:
@@ -24,7 +24,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             configure(spark)
-            return plain(fn(spark, sf_dir))
+            return plain(fn(spark, sf_dir), digits)
 
         QUERIES[name] = run
         if sql is not None:
@@ -38,8 +38,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def plain(df: DataFrame) -> DataFrame:
-    """Whole numbers as BIGINT, fractions rounded to six digits, dates, times and bytes as text."""
+def plain(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Whole numbers as BIGINT, fractions rounded to ``digits``, dates, times and bytes as text."""
 
     def cast(field: T.StructField):
         c, t = F.col(f"`{field.name}`"), field.dataType
@@ -48,7 +48,7 @@ def plain(df: DataFrame) -> DataFrame:
         elif isinstance(t, T.DecimalType) and t.scale == 0:
             c = c.cast("string")
         elif isinstance(t, (T.FloatType, T.DoubleType, T.DecimalType)):
-            c = F.round(c.cast("double"), 6)
+            c = F.round(c.cast("double"), digits)
         elif isinstance(t, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
         elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):

@@ -22,7 +22,7 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _norm(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else repr(round(v, 6) + 0.0)
+        return "nan" if math.isnan(v) else repr(round(v, 9) + 0.0)
     return repr(v)
 
 
