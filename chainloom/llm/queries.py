@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chainloom.llm import chat, contamination, licences, lines, mixing, quality, toxicity
+from chainloom.llm import chat, contamination, jaccard, licences, lines, mixing, quality, topk, toxicity
 from chainloom.llm.common import table
 from chainloom.session import configure
 
@@ -35,6 +35,44 @@ def _crc_mod(n: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
 
 
+JACCARD_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM w),
+e AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS k
+  FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id AND 10 * least(a.n, b.n) >= 9 * greatest(a.n, b.n) GROUP BY 1, 2),
+l AS (SELECT a, b FROM p WHERE 100 * k >= 90 * (na + nb - k)),
+both_ways AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, t.b FROM r JOIN both_ways t ON r.b = t.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY 1),
+k AS (SELECT doc_id, n, min(doc_id) OVER (PARTITION BY t) AS class_id FROM (SELECT doc_id, len(s) AS n, list_sort(s) AS t FROM s))
+SELECT doc_id, n::BIGINT AS n_shingles, CASE WHEN n = 0 THEN doc_id ELSE class_id END AS class_id, component_id FROM k JOIN c USING (doc_id)
+"""
+
+
+@_query("op1_ngram_jaccard_join", JACCARD_SQL)
+def _jaccard(spark, sf_dir):
+    return jaccard.jaccard_join(table(spark, sf_dir, "documents"), size=3, num=90, den=100)
+
+
+@_query(
+    "op2_exact_top_k",
+    """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+""",
+)
+def _top_k(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @_query(
     "op3_chat_formatting",
     r"""

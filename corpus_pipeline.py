@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chainloom.llm import contamination, lines, mixing, quality
+from chainloom.llm import contamination, jaccard, lines, mixing, quality
 from chainloom.llm.common import stored, table
 from chainloom.llm.queries import TARGETS
 from chainloom.session import configure
@@ -35,6 +35,14 @@ def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     )
 
 
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by five-word shingles (similarity 0.8 or more) the one of smallest id stays."""
+    configure(spark)
+    docs = docs.select(*COLUMNS)
+    groups = jaccard.jaccard_join(docs, size=5, num=8, den=10)
+    return docs.join(groups.where("component_id < doc_id").select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+
+
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold a test item."""
     configure(spark)
@@ -50,6 +58,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality classifier", good_quality),
     ("line dedup", unrepeated_lines),
+    ("n-gram Jaccard join", one_of_each_group),
     ("benchmark decontamination", uncontaminated),
     ("mixing sources", mixed),
 ]
