@@ -5,11 +5,12 @@ in an order that puts frequent ones last; two sets above the threshold share at
 prefixes. The index lists are in blocks by set size and by position (near or far in the prefix): two
 far entries can't belong to a similar pair, so those blocks never meet.
 
-Answers are reused between similar sets. Every list has a leader; a set is compared with its leaders first,
-and sets joined that way are one component, whose members need no comparison with each other. What a set shares
-with its leader bounds what it shares with any other set of that leader: if the bounds decide a pair, no text is
-read; only undecided pairs between different components are compared in full. So a group of many near copies costs
-about one comparison per member, and no link that could join two components is left out.
+Answers are reused between similar sets. Every block of a list has a leader, its first class; a class is
+compared with its leaders, and the shingles in which it differs from the first similar one, its flips, are kept. Two
+classes of one leader differ in just the shingles that one of their flips has and the other's lacks, so their
+answer follows from the flips without their texts. Flips come in blocks by their number, and blocks whose numbers
+lie too far apart are skipped. Index lists are searched only between classes of different leaders. What is
+written per group is its links at most, never its pairs.
 
 Edge cases: null and empty texts have an empty set and no link; a text of fewer words than a shingle is one
 shingle; rows of one doc_id are sets of their own under that id; a row without doc_id has a set, but no
@@ -75,7 +76,7 @@ def _sets(docs: DataFrame, size: int, num: int, den: int, heavy: np.ndarray) ->
                 if len(last) and len(s):
                     maybe = np.flatnonzero(known[(s >> np.uint64(44)).astype(np.int64)])
                     frequent = np.zeros(len(s), bool)
-                    frequent[maybe] = np.isin(s[maybe], last)
+                    frequent[maybe] = last[np.minimum(np.searchsorted(last, s[maybe]), len(last) - 1)] == s[maybe]
                     light = s[~frequent]
                     s = light[:k] if len(light) >= k else np.concatenate([light, s[frequent][: k - len(light)]])
                 parts.append(s[:k])
@@ -110,8 +111,8 @@ def _heavy(prefixes: DataFrame, least: int, most: int) -> np.ndarray:
     return np.sort(rows.view(np.uint64))
 
 
-def _compare(pairs: DataFrame, texts: DataFrame, size: int, chunk: int = 256) -> DataFrame:
-    """(a, b, shared) of pairs of classes: sizes of the intersections of their whole sets.
+def _compare(pairs: DataFrame, texts: DataFrame, size: int, similar: float, chunk: int = 256) -> DataFrame:
+    """(a, b, shared, flips) of pairs of classes with a similarity of ``similar`` or more, from their whole sets.
 
     Rows of one ``a`` are dealt in chunks of about ``chunk``, each with one copy of a's text, and streamed.
     """
@@ -130,19 +131,93 @@ def _compare(pairs: DataFrame, texts: DataFrame, size: int, chunk: int = 256) ->
         mine = np.zeros(0, np.uint64)
         for piece in pieces(batches):
             a, b, kind = (piece.batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            keep, shared = [], []
+            keep, shared, flips, ends = [], [], [np.zeros(0, np.uint64)], [0]
             for i, s in enumerate(shingle_sets(piece, size)):
                 if kind[i] == 0:
                     mine = s
-                else:
+                    continue
+                both = len(np.intersect1d(mine, s, assume_unique=True))
+                if both >= similar * (len(mine) + len(s) - both):
                     keep.append(i)
-                    at = np.minimum(np.searchsorted(mine, s), max(len(mine) - 1, 0))
-                    shared.append(int((mine[at] == s).sum()) if len(mine) else 0)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(a[keep]), pa.array(b[keep]), pa.array(shared, pa.int64())], names=["a", "b", "shared"]
-            )
+                    shared.append(both)
+                    flips.append(np.setxor1d(mine, s, assume_unique=True))
+                    ends.append(ends[-1] + len(flips[-1]))
+            cols = [
+                pa.array(a[keep]),
+                pa.array(b[keep]),
+                pa.array(shared, pa.int64()),
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(flips).view(np.int64))),
+            ]
+            yield pa.RecordBatch.from_arrays(cols, names=["a", "b", "shared", "flips"])
+
+    return rows.mapInArrow(run, "a bigint, b bigint, shared bigint, flips array<bigint>")
+
+
+def _links_of_blocks(left: tuple, right: tuple, num: int, den: int) -> list[tuple[int, int]]:
+    """Links between two blocks of members (cid, n, root, flips) of one leader, enough of them to join their roots."""
+    cid, n, root = (np.concatenate([left[i], right[i]]) for i in range(3))
+    sets = left[3] + right[3]
+    size = np.array([len(f) for f in sets])
+    flat = np.concatenate(sets) if size.sum() else np.zeros(0, np.int64)
+    values, of, held = np.unique(flat, return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), size)
+    common = held[of] > 1
+    _, column = np.unique(of[common], return_inverse=True)
+    dense = np.zeros((len(sets), int(column.max()) + 1 if len(column) else 1), np.float32)
+    dense[row[common], column] = 1
+    k = len(left[0])
+    shared = dense[:k] @ dense[k:].T
+    differ = size[:k, None] + size[None, k:] - 2 * shared
+    linked = (differ * (den + num) <= (n[:k, None] + n[None, k:]) * (den - num)) & (root[:k, None] != root[None, k:])
+    up = {int(r): int(r) for r in root}
+
+    def find(x: int) -> int:
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    out = []
+    for i, j in zip(*np.nonzero(linked), strict=True):
+        x, y = find(int(root[i])), find(int(root[k + j]))
+        if x != y:
+            up[x] = y
+            out.append((int(cid[i]), int(cid[k + j])))
+    return out
+
+
+def _within_leaders(members: DataFrame, num: int, den: int, block: int = 256) -> DataFrame:
+    """Links (a, b) between members (leader, cid, n, root, flips) of one leader that lie in different components."""
+    open_ = members.groupBy("leader").agg(
+        F.max("n").alias("top"), F.min("root").alias("x"), F.max("root").alias("y")
+    ).where("x <> y").select("leader", "top")
+    # similar members differ in their number of flips by (n + n') (den - num) / (den + num) at most: a band at most
+    width = F.greatest(F.lit(1), F.ceil(F.col("top") * (2 * (den - num)) / (den + num)))
+    rows = members.join(open_, "leader").withColumn("band", (F.size("flips") / width).cast("int"))
+    counts = rows.groupBy("leader", "band").agg((F.count(F.lit(1)) / block).cast("int").alias("last"))
+    rows = rows.join(counts, ["leader", "band"]).withColumn("part", F.pmod(F.xxhash64("cid"), F.col("last") + 1).cast("int"))
+    blocks = stored(
+        rows.groupBy("leader", "band", "part").agg(
+            F.collect_list(F.struct("cid", "n", "root", "flips")).alias("m"), F.min("root").alias("x"), F.max("root").alias("y")
+        ),
+        "jaccard-blocks",
+    )
+    b = blocks.select("leader", F.explode(F.array("band", F.col("band") + 1)).alias("band"), F.col("band").alias("own"), F.col("part").alias("other"), F.col("m").alias("w"), F.col("x").alias("bx"), F.col("y").alias("by"))
+    pairs = blocks.join(b, ["leader", "band"]).where("(own < band or other <= part) and not (x = y and bx = by and x = bx)").select("m", "w").repartition(F.rand(5))
 
-    return rows.mapInArrow(run, "a bigint, b bigint, shared bigint")
+    def side(column: pa.Array, i: int) -> tuple:
+        s = column.slice(i, 1).flatten()
+        flips = s.field(3)
+        flat, at = flips.values.to_numpy(zero_copy_only=False), np.asarray(flips.offsets)
+        return (*(s.field(c).to_numpy(zero_copy_only=False) for c in range(3)), [flat[at[j] : at[j + 1]] for j in range(len(s))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                found = _links_of_blocks(side(batch.column(0), i), side(batch.column(1), i), num, den)
+                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in found], pa.int64()) for c in (0, 1)], names=["a", "b"])
+
+    return pairs.mapInArrow(run, "a bigint, b bigint")
 
 
 def jaccard_join(
@@ -153,19 +228,19 @@ def jaccard_join(
     den: int = 10,
     heavy_least: int = 24,
     heavy_most: int = 131_072,
-    leader_rounds: int = 2,
+    similar: float = 0.4,
 ) -> DataFrame:
     """doc_id, n_shingles, class_id (smallest doc_id of the same set) and component_id of every row.
 
     Two documents are linked when den * |intersection| >= num * |union|.
     """
-    enough = lambda both, na, nb: den * both >= num * (na + nb - both)
     first = stored(_sets(docs, size, num, den, np.zeros(0, np.uint64)), "jaccard-sets")
     classes = stored(
         first.where("n > 0")
         .groupBy("n", "d1", "d2")
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("m"))
         .select("n", "d1", "d2", F.col("m.doc_id").alias("doc_min"), F.col("m.th").alias("th_min"))
+        .orderBy("doc_min")  # so that leaders, the smallest ids, are the earliest documents: originals rather than copies
         .withColumn("cid", F.monotonically_increasing_id()),
         "jaccard-classes",
     )
@@ -173,7 +248,7 @@ def jaccard_join(
     prefixes = _representatives(_sets(docs, size, num, den, heavy), classes)
     postings = stored(
         prefixes.select("cid", "n", F.posexplode("prefix").alias("pos", "t")).select(
-            "t", "cid", "n", "pos", F.floor(F.log("n") / log(den / num) + 1e-9).cast("int").alias("band")
+            "t", "cid", "n", "pos", (F.log("n") / log(den / num) + 1e-9).cast("int").alias("band"), F.expr(f"cast(ln(n) / {log(den / num)!r} + 0.5 as int)").alias("shifted")
         ),
         "jaccard-postings",
     )
@@ -185,15 +260,11 @@ def jaccard_join(
         (F.col("pa") + F.col("pb") - 2 * (F.greatest(_need(F.col("na")), _need(F.col("nb"))) - 1)) * (den + num)
         <= (F.col("na") + F.col("nb")) * (den - num)
     )
-    links = known = roots = None
-
     def side(df: DataFrame, x: str) -> DataFrame:
-        return df.select("t", "band", "far", F.col("root").alias(f"root_{x}"), F.col("cid").alias(x), F.col("n").alias(f"n{x}"), F.col("pos").alias(f"p{x}"))
+        return df.select("t", "band", "far", "lead", F.col("cid").alias(x), F.col("n").alias(f"n{x}"), F.col("pos").alias(f"p{x}"))
 
-    def rooted() -> DataFrame:
-        if roots is None:
-            return lists.withColumn("root", F.col("cid"))
-        return lists.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    def counted(met: DataFrame) -> DataFrame:
+        return met.where(fits).groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.count(F.lit(1)).alias("k"))
 
     def texts_for(pairs: DataFrame, purpose: str) -> DataFrame:
         ids = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
@@ -201,62 +272,58 @@ def jaccard_join(
         found = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("id"), F.xxhash64("text").alias("th"), "text")
         return stored(found.join(want, ["id", "th"]).select("cid", "text"), purpose)
 
-    for step in range(leader_rounds + 1):
-        rows = stored(rooted(), f"jaccard-rooted-{step}") if step else rooted()
-        if step < leader_rounds:
-            # one leader per block of a list: the smallest id at first, then another one for every shingle
-            rank = F.col("cid") if step == 0 else F.xxhash64("cid", "t")
-            lead = rows.groupBy("t", "band").agg(
-                F.min(F.struct(rank.alias("r"), "cid", "n", "pos", "root")).alias("m"), F.count(F.lit(1)).alias("k")
-            )
-            lead = lead.where("k > 1").select("t", "band", F.col("m.cid").alias("a"), F.col("m.n").alias("na"), F.col("m.pos").alias("pa"), F.col("m.root").alias("root_a"))
-            met = lead.join(side(rows, "b"), ["t", "band"]).where("a <> b and root_a <> root_b")
-        else:
-            # only lists that still hold two components
-            open_lists = rows.groupBy("t").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("t")
-            rows = rows.join(open_lists, "t")
-            # the smaller set, or the smaller id, goes to its own size block and the next; far meets near only
-            b = side(rows, "b").withColumn("band", F.explode(F.array("band", F.col("band") + 1)))
-            b = b.withColumn("far", F.explode(F.when(F.col("far"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))))
-            met = side(rows, "a").join(b, ["t", "band", "far"]).where("(nb < na or (nb = na and b < a)) and root_a <> root_b")
-        pairs = met.where(fits).groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.count(F.lit(1)).alias("k"))
-        if step == leader_rounds:
-            pairs = pairs.where(F.col("k") >= _need(F.least("na", "nb")))
-        else:
-            pairs = pairs.where(F.col("k") >= F.least(F.lit(2), _need(F.least("na", "nb"))))
-        pairs = stored(pairs.select("a", "b", "na", "nb"), f"jaccard-pairs-{step}")
-        if pairs.isEmpty():
-            continue
-        derived = None
-        if known is not None:
-            x, y = (known.select(F.col("cid").alias(c), "leader", F.col("shared").alias(f"s{c}"), "nl") for c in "ab")
-            bound = pairs.join(x, "a", "left").join(y.drop("nl").withColumnRenamed("leader", "other"), "b", "left")
-            same = F.col("leader") == F.col("other")
-            least = F.when(same, F.col("sa") + F.col("sb") - F.col("nl")).otherwise(F.lit(0))
-            most = F.when(same, F.least("sa", "sb") + F.least(F.col("na") - F.col("sa"), F.col("nb") - F.col("sb"))).otherwise(F.least("na", "nb"))
-            bound = bound.withColumns({"least": least, "most": most}).where(enough(F.col("most"), F.col("na"), F.col("nb")))
-            bound = stored(bound.select("a", "b", "na", "nb", enough(F.col("least"), F.col("na"), F.col("nb")).alias("sure")), f"jaccard-bounds-{step}")
-            derived = bound.where("sure").select("a", "b")
-            pairs = bound.where("not sure").drop("sure")
-        compared = _compare(pairs.select("a", "b"), texts_for(pairs, f"jaccard-texts-{step}"), size)
-        compared = stored(compared.join(pairs, ["a", "b"]), f"jaccard-compared-{step}")
-        new = compared.where(enough(F.col("shared"), F.col("na"), F.col("nb"))).select("a", "b")
-        new = new if derived is None else new.unionByName(derived)
-        links = new if links is None else links.unionByName(new)
-        roots = stored(components(links, f"jaccard-{step}"), f"jaccard-roots-{step}")
-        if step < leader_rounds:
-            answers = compared.select(F.col("b").alias("cid"), F.col("a").alias("leader"), "shared", F.col("na").alias("nl"))
-            answers = answers if known is None else answers.unionByName(known)
-            known = stored(
-                answers.groupBy("cid").agg(F.max(F.struct("shared", "leader", "nl")).alias("m")).select("cid", "m.shared", "m.leader", "m.nl"),
-                f"jaccard-answers-{step}",
-            )
-    if roots is None:
-        classed = classes.withColumn("component_id", F.col("doc_min"))
-    else:
-        classed = classes.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-        smallest = classed.groupBy("root").agg(F.min("doc_min").alias("component_id"))
-        classed = classed.join(smallest, "root")
+    def linked(compared: DataFrame) -> DataFrame:
+        return compared.where(F.col("shared") * den >= (F.col("na") + F.col("nb") - F.col("shared")) * num).select("a", "b")
+
+    # 1. every class against the leaders of its lists: the first class of a size block, for two divisions into blocks
+    met = None
+    for band in ("band", "shifted"):
+        lead = lists.groupBy("t", band).agg(F.min(F.struct("cid", "n", "pos")).alias("m"), F.count(F.lit(1)).alias("k")).where("k > 1")
+        lead = lead.select("t", band, F.col("m.cid").alias("a"), F.col("m.n").alias("na"), F.col("m.pos").alias("pa"))
+        rows = lists.select("t", band, F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
+        part = lead.join(rows, ["t", band]).where("a <> b").drop("t", band)
+        met = part if met is None else met.unionByName(part)
+    pairs = stored(counted(met).where(F.col("k") >= F.least(F.lit(2), _need(F.least("na", "nb")))).drop("k"), "jaccard-leaders")
+    compared = stored(
+        _compare(pairs.select("a", "b"), texts_for(pairs, "jaccard-leader-texts"), size, similar).join(pairs, ["a", "b"]),
+        "jaccard-answers",
+    )
+    first_leader = stored(
+        compared.groupBy("b").agg(F.min(F.struct("a", "flips", "nb")).alias("m")).select(
+            F.col("b").alias("cid"), F.col("m.a").alias("lead"), F.col("m.flips").alias("flips"), F.col("m.nb").alias("n")
+        ),
+        "jaccard-led",
+    )
+    # 2. the index between classes of different leaders: their lists meet by leader first, then by member
+    rows = lists.join(first_leader.select("cid", "lead"), "cid", "left").withColumn("lead", F.coalesce("lead", "cid"))
+    open_lists = rows.groupBy("t").agg(F.min("lead").alias("x"), F.max("lead").alias("y")).where("x <> y").select("t")
+    rows = stored(rows.join(open_lists, "t"), "jaccard-open")
+    groups = rows.select("t", "band", "far", "lead").distinct()
+    # the smaller set, or the smaller id, goes to its own size block and the next; far meets near only
+    smaller = groups.withColumn("at", F.explode(F.array("band", F.col("band") + 1))).withColumn(
+        "of", F.explode(F.when(F.col("far"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True))))
+    )
+    smaller = smaller.select("t", F.col("band").alias("band_b"), F.col("far").alias("far_b"), F.col("lead").alias("lead_b"), F.col("at").alias("band"), F.col("of").alias("far"))
+    pairs_of_groups = groups.join(smaller, ["t", "band", "far"]).where("lead <> lead_b")
+    b = side(rows, "b").withColumnsRenamed({"band": "band_b", "far": "far_b", "lead": "lead_b"})
+    met = pairs_of_groups.join(side(rows, "a"), ["t", "band", "far", "lead"]).join(b, ["t", "band_b", "far_b", "lead_b"])
+    met = met.where("nb < na or (nb = na and b < a)")
+    pairs = stored(counted(met).where(F.col("k") >= _need(F.least("na", "nb"))).drop("k"), "jaccard-pairs")
+    between = stored(
+        _compare(pairs.select("a", "b"), texts_for(pairs, "jaccard-texts"), size, num / den - 1e-9).drop("flips").join(pairs, ["a", "b"]),
+        "jaccard-between",
+    )
+    links = stored(linked(compared).unionByName(linked(between)), "jaccard-links")
+    roots = stored(components(links, "jaccard-first"), "jaccard-roots")
+    # 3. classes of one leader, from their flips
+    led = first_leader.select(F.col("lead").alias("leader"), "cid", "n", "flips")
+    leaders = first_leader.select(F.col("lead").alias("leader"), F.col("lead").alias("cid")).distinct()
+    leaders = leaders.join(classes.select("cid", "n"), "cid").select("leader", "cid", "n", F.array().cast("array<bigint>").alias("flips"))
+    members = led.unionByName(leaders).join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    more = stored(_within_leaders(members, num, den), "jaccard-within")
+    roots = stored(components(links.unionByName(more), "jaccard-all"), "jaccard-roots")
+    classed = classes.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    classed = classed.join(classed.groupBy("root").agg(F.min("doc_min").alias("component_id")), "root")
     classed = classed.select("n", "d1", "d2", F.col("doc_min").alias("class_id"), "component_id")
     alone = F.col("n") == 0
     return first.join(classed, ["n", "d1", "d2"], "left").select(
