@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chainloom.llm import chat, contamination, jaccard, licences, lines, mixing, quality, topk, toxicity
+from chainloom.llm import chat, contamination, jaccard, licences, lines, mixing, quality, repeats, topk, toxicity
 from chainloom.llm.common import table
 from chainloom.session import configure
 
@@ -104,6 +104,11 @@ def _mix(spark, sf_dir):
     return mixing.mix_sources(docs, TARGETS, size="chars", tie="chars")
 
 
+@_query("op5_suffix_array_dedup")
+def _repeats(spark, sf_dir):
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @_query("op6_quality_classifier")
 def _quality(spark, sf_dir):
     docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
