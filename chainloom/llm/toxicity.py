@@ -8,7 +8,7 @@ landmark is the highest over its words, and Nyström's map of these values is wh
 
 Labels belong to documents, the machine to sentences: training goes round by round, a toxic document
 being represented by the sentence that scores highest so far. A document's score is the calibrated
-decision of its highest sentence.
+decision of its highest sentence and the sum of what its sentences add.
 
 Edge cases: null and empty texts have no word and get the score of a text without any known word; very
 long texts are read whole; equal texts get equal scores; missing labels are not learned from; without a
@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-from chainloom.llm.common import _LOWER_CODES, INVERSE, Piece, mix64, pieces, powers, prefix_hashes, words_of
+from chainloom.llm.common import _LOWER_CODES, INVERSE, Piece, combine, mix64, pieces, powers, prefix_hashes, words_of
 
 SPAN, DECAY, LONG, FLOOR = 6, 0.7, 32, 0.45
 SYMBOLS = 44
@@ -105,7 +105,7 @@ class ToxicModel:
     n_marks: int
     weight: np.ndarray  # of the machine, on kernel values: Nyström's map included
     bias: float
-    slope: float
+    slope: np.ndarray
     shift: float
 
     def highest(self) -> np.ndarray:
@@ -157,19 +157,38 @@ class ToxicModel:
         return u.doc[hit][first], np.maximum.reduceat(k[row[u.of[hit]]], first, axis=0)
 
     def decisions(self, piece: Piece) -> np.ndarray:
-        out = np.full(len(piece), self.bias)
+        """Of each text: the decision of its highest sentence, and how far its sentences lie above -1/2 together."""
+        out = np.stack([np.full(len(piece), self.bias), np.zeros(len(piece))], 1)
         doc, k = self.sentences(piece)
-        np.maximum.at(out, doc, k @ self.weight + self.bias)
+        d = k @ self.weight + self.bias
+        np.maximum.at(out[:, 0], doc, d)
+        np.add.at(out[:, 1], doc, np.clip(d + 0.5, 0, 2))
+        out[:, 1] = np.log1p(out[:, 1])
         return out
 
     def probability(self, decision: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * decision + self.shift, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(decision @ self.slope + self.shift, -30, 30)))
 
 
 def _as_pieces(texts: list[bytes]) -> Iterator[Piece]:
     return pieces(iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.large_binary())], names=["text"])]))
 
 
+def _without_copies(texts: list[bytes]) -> list[bytes]:
+    """The texts, one of those with the same smallest word triple: copies would count as independent evidence."""
+    out, seen = [], set()
+    for piece in _as_pieces(texts):
+        w = words_of(piece)
+        raw = piece.data.tobytes()
+        grams = combine(w.hash[:-2], w.hash[1:-1], w.hash[2:]) if len(w.hash) > 2 else w.hash
+        for d, (lo, hi) in enumerate(zip(w.bounds[:-1].tolist(), w.bounds[1:].tolist(), strict=True)):
+            mark = int(grams[lo : hi - 2].min()) if hi - lo > 2 else tuple(w.hash[lo:hi].tolist())
+            if mark not in seen:
+                seen.add(mark)
+                out.append(raw[piece.starts[d] : piece.starts[d + 1] - 1])
+    return out
+
+
 def _landmarks(toxic: list[bytes], clean: list[bytes], n: int, n_clean: int) -> list[bytes]:
     """Words that mark toxic texts most (by smoothed log odds of texts holding them), and common clean ones."""
     counts: list[dict[bytes, int]] = []
@@ -223,15 +242,16 @@ def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float, steps: in
     return w[:-1], float(w[-1])
 
 
-def fit(toxic: list[bytes], clean: list[bytes], *, landmarks: int = 64, clean_landmarks: int = 8, ridge: float = 0.5, rounds: int = 4):
+def fit(toxic: list[bytes], clean: list[bytes], *, landmarks: int = 64, clean_landmarks: int = 8, ridge: float = 0.1, rounds: int = 4):
     """Landmarks and machine from three quarters of the samples, the calibration from the rest."""
+    toxic, clean = _without_copies(toxic), _without_copies(clean)
     held_t, held_c = toxic[::4], clean[::4]
     toxic, clean = [t for i, t in enumerate(toxic) if i % 4], [t for i, t in enumerate(clean) if i % 4]
     marks = _landmarks(toxic, clean, landmarks, clean_landmarks) or [b"aaa"]
     vectors_of, k_ll = _vectors(marks)
     values, vectors = np.linalg.eigh(k_ll)
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
-    model = ToxicModel(*vectors_of, np.zeros(len(marks)), 0.0, 1.0, 0.0)
+    model = ToxicModel(*vectors_of, np.zeros(len(marks)), 0.0, np.ones(2), 0.0)
 
     def bags(texts):
         xs, docs, base = [np.zeros((0, len(marks)))], [np.zeros(0, np.int64)], 0
@@ -245,7 +265,7 @@ def fit(toxic: list[bytes], clean: list[bytes], *, landmarks: int = 64, clean_la
     dt, xt = bags(toxic)
     _, xc = bags(clean)
     if not len(xt):
-        return ToxicModel(*vectors_of, np.zeros(len(marks)), -1.0, 1.0, -4.0)
+        return ToxicModel(*vectors_of, np.zeros(len(marks)), -1.0, np.ones(2), -4.0)
     zero = np.zeros((1, len(marks)))
     decision = xt @ root.sum(1)  # at first: the sentence nearest to the landmarks
     for _ in range(rounds):
@@ -257,16 +277,16 @@ def fit(toxic: list[bytes], clean: list[bytes], *, landmarks: int = 64, clean_la
         w, b = _svm(x, y, cost, ridge)
         decision = xt @ w + b
     model.weight, model.bias = root @ w, b
-    d = [np.concatenate([model.decisions(p) for p in _as_pieces(t)] or [np.zeros(0)]) for t in (held_t, held_c)]
+    d = [np.concatenate([model.decisions(p) for p in _as_pieces(t)] or [np.zeros((0, 2))]) for t in (held_t, held_c)]
     x, y = np.concatenate(d), np.concatenate([np.ones(len(d[0])), np.zeros(len(d[1]))])
-    f, w = np.c_[x, np.ones(len(x))], np.array([2.0, 0.0])
+    f, w = np.c_[x, np.ones(len(x))], np.array([2.0, 1.0, 0.0])
     if len(d[0]) and len(d[1]):
         for _ in range(50):
             p = 1 / (1 + np.exp(-np.clip(f @ w, -30, 30)))
-            ridge_m = np.diag([0.05, 1e-3])
+            ridge_m = np.diag([0.05, 0.05, 1e-3])
             step = np.linalg.solve(f.T @ (f * (p * (1 - p))[:, None]) + ridge_m, f.T @ (p - y) + ridge_m @ w)
             w -= step * min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
-    model.slope, model.shift = float(w[0]), float(w[1])
+    model.slope, model.shift = w[:2], float(w[2])
     return model
 
 
