@@ -134,17 +134,22 @@ class RelayStore:
         self.deltas = BatchTable(
             spark, f"{root}/rollup_deltas", rollup, manifest=self.facts.manifest_path
         )
+        self.quarantine = BatchTable(
+            spark, f"{root}/quarantine", schemas.QUARANTINE, manifest=self.facts.manifest_path
+        )
 
     def ingest(
         self, raw: DataFrame, batch_id: str, now: Column, max_retries: int = 0, rollup: bool = True
     ) -> None:
-        """Store one batch. Running it again with the same id changes nothing.
+        """Store one batch. A committed id is never touched again, whatever ``raw`` holds.
 
-        Order of writes: decoded rows to a staging folder (so blocks are decoded once),
-        dictionaries (they only grow), facts and rollup delta (own partitions), failure ledger
+        Ids must be unique per checkpoint. Order of writes: decoded rows to a staging folder (so blocks are decoded once),
+        dictionaries (they only grow), facts, quarantine and rollup delta (own partitions), failure ledger
         (tagged with the batch), manifest (makes the batch visible). A crash at any point leaves
         the old state visible, and a replay completes the batch.
         """
+        if self.facts.committed(batch_id):
+            return
         spark = self.spark
         staging = f"{self.root}/staging/{batch_id}"
 
@@ -161,10 +166,12 @@ class RelayStore:
             others.select(*schemas.FACT_KEY), schemas.FACT_KEY, "left_anti"
         )
         self.facts.write_batch(fresh, batch_id)
+        # records that fit no fact are kept beside the facts of their batch
+        self.quarantine.write_batch(batch["quarantine"].select(*_columns(schemas.QUARANTINE)), batch_id)
         written = self.facts.read_batch(batch_id)
         if rollup:
             self.deltas.write_batch(daily_by_id(written), batch_id)
-        if self.failures.tag() != batch_id and not self.facts.committed(batch_id):
+        if self.failures.tag() != batch_id:
             failed = batch["failures"].withColumn("seq", F.lit(0).cast("bigint"))
             ledger = clear_recovered(self.failures.read(), batch["heights"])
             ledger = record_failures(ledger, failed, now, max_retries)
@@ -199,8 +206,11 @@ class RelayStore:
         """Take waiting heights (highest first) out of the ledger and ingest them again.
 
         ``raw`` is the landed table; only the popped heights are read from it. A height that
-        fails again returns to the ledger with its counter raised.
+        fails again returns to the ledger with its counter raised. A committed id changes nothing; after a
+        crash the heights already taken are still marked and go into this call.
         """
+        if self.facts.committed(batch_id):
+            return
         popped, marked = pop_failures(self.failures.read(), limit)
         self.failures.replace(marked)
         waiting = self.failures.read().where("in_retry").select("height").distinct()

@@ -49,6 +49,12 @@ FACTS = (
     "provider_id int, chain_id int, cu bigint, relay_number int, qos_avail float, qos_latency float, "
     "qos_sync float, ex_qos_avail float, ex_qos_latency float, ex_qos_sync float"
 )
+#: Records that fit no fact, as they were decoded, and why.
+QUARANTINE = (
+    "block_height bigint, tx_hash string, event_idx int, record_idx bigint, timestamp timestamp, "
+    "provider string, chain string, cu bigint, relay_number bigint, qos_avail float, qos_latency float, "
+    "qos_sync float, ex_qos_avail float, ex_qos_latency float, ex_qos_sync float, reason string"
+)
 FACT_KEY = ["block_height", "tx_hash", "event_idx", "record_idx"]
 
 DICTIONARY = "id int, value string"

@@ -1,12 +1,15 @@
 """Tip following: landed files to facts, coverage, rollup and dead letters, exactly once.
 
 Heights may land in any order at any time; nothing here drops late rows, so no watermark is set.
-The checkpoint decides the batches, the batch id names the partition a batch owns, and the
-manifest row makes it visible, so a replayed batch leaves the same state.
+The checkpoint decides the batches; the id that Spark keeps in the checkpoint and the batch number name the
+partition a batch owns, and the manifest row makes it visible. So a replayed batch leaves the same state, and a
+fresh checkpoint, which may cut the files otherwise, never writes over batches of an earlier one.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -30,7 +33,7 @@ def follow_tip(
     """Ingest landed block files as they appear.
 
     ``available_now`` takes everything present and stops (a bounded run); otherwise the query
-    keeps polling. Batch ids carry ``name``, so two streams into one store do not collide.
+    keeps polling. Batch ids carry ``name`` and the checkpoint's id, so no two streams collide.
     """
     stream = (
         spark.readStream.format(fmt)
@@ -39,11 +42,15 @@ def follow_tip(
         .load(landing)
     )
 
+    def checkpoint_id() -> str:
+        # Spark writes it before the first batch
+        return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
     def persist(batch: DataFrame, batch_id: int) -> None:
         # the batch is read more than once below
         rows = batch.persist()
         try:
-            store.ingest(rows, f"{name}-{batch_id:012d}", F.current_timestamp(), max_retries)
+            store.ingest(rows, f"{name}-{checkpoint_id()}-{batch_id:012d}", F.current_timestamp(), max_retries)
         finally:
             rows.unpersist()
 

@@ -6,6 +6,9 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from chainloom import schemas
+from chainloom.catalog import standins
+from chainloom.plans.ingest import RelayStore, relay_batch
 from chainloom import schemas
 from chainloom.extend import HandlerRegistry, run_snapshotters
 from chainloom.operators import ledger
@@ -170,3 +173,28 @@ def test_one_failing_snapshotter_does_not_stop_the_others(spark):
     slots = spark.range(1)
     report = run_snapshotters([Snap("a", True), Snap("b", False)], slots, lambda n, t: stored.append(n))
     assert report == {"a": "boom", "b": None} and stored == ["b"]
+
+
+def test_another_cut_under_new_ids_loses_nothing(spark, sf_dir, tmp_path):
+    landed = standins.landed_blocks(spark, sf_dir)
+    heights = sorted(r[0] for r in landed.select("height").distinct().orderBy("height").limit(4).collect())
+    part = lambda *hs: landed.where(F.col("height").isin(*hs))
+    store = RelayStore(spark, f"{tmp_path}/store")
+    now = F.lit("2024-01-01").cast("timestamp")
+    store.ingest(part(*heights[:2]), "a-0", now)
+    store.ingest(part(*heights[2:]), "a-1", now)
+    want = store.facts.read().drop("batch_id").count()
+    store.ingest(part(*heights), "b-0", now)
+    store.ingest(part(heights[3]), "a-0", now)  # committed: left alone, whatever it is given
+    facts = store.facts.read()
+    assert facts.count() == want == facts.dropDuplicates(schemas.FACT_KEY).count()
+    assert {r[0] for r in facts.select("block_height").distinct().collect()} <= set(heights)
+
+
+def test_records_that_fit_no_fact_are_stored(spark, sf_dir, tmp_path):
+    landed = standins.landed_blocks(spark, sf_dir).orderBy("height").limit(3)
+    store = RelayStore(spark, f"{tmp_path}/store")
+    store.ingest(landed, "a-0", F.lit("2024-01-01").cast("timestamp"))
+    batch = relay_batch(spark, landed)
+    assert store.quarantine.read().count() == batch["quarantine"].count()
+    assert store.facts.read().count() == batch["facts"].count()
