@@ -3,7 +3,7 @@
 The kernel of two strings sums, over all three-letter subsequences that both hold within a span of
 ``SPAN`` bytes, decay**(span in one + span in the other), normalised to 1 for equal strings; so extra
 characters in a word lower it a little and do not hide the word. Strings are words in lower case; single
-letters in a row count as one word, and words over ``LONG`` bytes as overlapping parts. A sentence's value at a
+letters in a row count as one word, marks and digits inside a word are left out, and words over ``LONG`` bytes as overlapping parts. A sentence's value at a
 landmark is the highest over its words, and Nyström's map of these values is what the machine sees.
 
 Labels belong to documents, the machine to sentences: training goes round by round, a toxic document
@@ -40,6 +40,7 @@ _STOP[[0x0A, 0x21, 0x2E, 0x3F]] = True
 class Units:
     """Distinct words of a piece with their bytes, and each occurrence's word, sentence and text."""
 
+    data: np.ndarray
     begin: np.ndarray
     end: np.ndarray
     of: np.ndarray
@@ -57,16 +58,20 @@ def units_of(piece: Piece) -> Units:
     first = np.flatnonzero(~glue)
     last = np.append(first[1:], len(begin)) - 1 if len(first) else first
     begin, end, doc = begin[first], end[last], doc[first]
+    sentence = np.cumsum(_STOP[piece.data], dtype=np.int64)[begin] if len(begin) else begin
+    # marks, digits and blanks inside a word are left out
+    letter = _CODE[piece.data] != 27
+    before = np.append(0, np.cumsum(letter))
+    data, begin, end = piece.data[letter], before[begin], before[end]
     n = np.maximum(1, -(-(end - begin - LONG // 2) // (LONG // 2)))
     if (n > 1).any():
         step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        b, e, doc = np.repeat(begin, n) + step * (LONG // 2), np.repeat(end, n), np.repeat(doc, n)
+        b, e, doc, sentence = np.repeat(begin, n) + step * (LONG // 2), np.repeat(end, n), np.repeat(doc, n), np.repeat(sentence, n)
         begin, end = b, np.minimum(e, b + LONG)
-    sentence = np.cumsum(_STOP[piece.data], dtype=np.int64)[begin] if len(begin) else begin
-    h = prefix_hashes(piece.data, _LOWER_CODES)
-    h = mix64((h[end] - h[begin]) * powers(INVERSE, len(piece.data) + 1)[begin] + (end - begin).astype(np.uint64))
+    h = prefix_hashes(data, _LOWER_CODES)
+    h = mix64((h[end] - h[begin]) * powers(INVERSE, len(data) + 1)[begin] + (end - begin).astype(np.uint64))
     _, at, of = np.unique(h, return_index=True, return_inverse=True)
-    return Units(begin[at], end[at], of, sentence, doc, len(piece))
+    return Units(data, begin[at], end[at], of, sentence, doc, len(piece))
 
 
 def _steps(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
@@ -146,7 +151,7 @@ class ToxicModel:
     def sentences(self, piece: Piece) -> tuple[np.ndarray, np.ndarray]:
         """(text, kernel values) of each sentence with a value above 0."""
         u = units_of(piece)
-        which, k = self.kernel(piece.data, u.begin, u.end)
+        which, k = self.kernel(u.data, u.begin, u.end)
         row = np.full(len(u.begin), -1)
         row[which] = np.arange(len(which))
         hit = np.flatnonzero(row[u.of] >= 0) if len(u.of) else np.zeros(0, np.int64)
@@ -196,7 +201,7 @@ def _landmarks(toxic: list[bytes], clean: list[bytes], n: int, n_clean: int) ->
         seen: dict[bytes, int] = {}
         for piece in _as_pieces(texts):
             u = units_of(piece)
-            raw = piece.data.tobytes()
+            raw = u.data.tobytes()
             pairs = np.unique(u.doc * len(u.begin) + u.of) % max(len(u.begin), 1)
             for i, c in zip(*np.unique(pairs, return_counts=True), strict=True):
                 word = raw[u.begin[i] : u.end[i]].lower()

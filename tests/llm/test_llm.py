@@ -227,7 +227,7 @@ def test_toxic_words_with_inserted_characters():
     rng = random.Random(4)
     words = ["".join(rng.choice("aeiounrst") for _ in range(rng.randint(2, 7))) for _ in range(400)]
     clean = [" ".join(rng.choice(words) for _ in range(40)).encode() for _ in range(300)]
-    toxic = [c + f" you {rng.choice(('blockhead', 'wretchling'))} here.".encode() for c in clean[:200]]
+    toxic = [c + b" " + rng.choice((b'blockhead', b'wretchling')) + b'.' for c in clean[:200]]
     model = toxicity.fit(toxic, clean[100:])
     asks = [b"oh bl-ockhead go", b"a w r e t c h l i n g he is", b"wretch.ling", clean[5]]
     p = [v for piece in toxicity._as_pieces(asks) for v in model.probability(model.decisions(piece))]
