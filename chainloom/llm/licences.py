@@ -226,10 +226,11 @@ def _found(model: LicenceModel, piece: Piece, ids: list, least: float, similar:
     hits = hits[line[hits] == line[hits + 1]]
     doc_line = np.searchsorted(newlines, piece.starts)  # lines before each text
     doc = np.searchsorted(words.bounds, hits, "right") - 1
+    hit_line = line[hits]  # ascending
     out = []
     for d, ln in sorted(set(zip(doc.tolist(), line[hits].tolist(), strict=True))):
         begin, end = np.searchsorted(line, ln), np.searchsorted(line, ln + 1)
-        mine = hits[line[hits] == ln]
+        mine = hits[np.searchsorted(hit_line, ln) : np.searchsorted(hit_line, ln + 1)]
         best: dict[int, tuple] = {}
         for lo in range(begin, max(begin + 1, end - WINDOW + STRIDE), STRIDE):
             hi = min(end, lo + WINDOW)
