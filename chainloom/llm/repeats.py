@@ -9,7 +9,8 @@ all windows that chose it; the strings of one part of the anchors are one collec
 
 Steps: (1) anchors are packed by part, and those that only one document has are dropped; (2) documents get back
 which of theirs are shared and send the strings around them; (3) each part builds its transform from distinct
-strings, each with its smallest document; (4) covered ranges go back to the documents. Parts follow the input's size.
+strings, each with its smallest document; (4) covered ranges go back to the documents. Parts follow the input's
+size; a task takes its parts one after the other, so its memory follows one part.
 
 Edge cases: null text counts as empty; texts under ``length`` bytes lose nothing and match nothing; a string repeated within one
 document only is kept; rows that repeat a doc_id are not earlier than each other
@@ -30,8 +31,9 @@ from pyspark.sql import DataFrame, functions as F
 from chainloom.llm.common import INVERSE, Piece, mix64, pieces, powers, prefix_hashes, stored
 
 GRAM = 24
-PART_BYTES = 32_000_000  # text per part of the anchors
-STRING_PARTS = 4  # parts of the strings for each part of the anchors
+PARTITION_BYTES = 32_000_000  # text per partition of the anchors
+STRING_PARTITIONS = 4  # partitions of the strings for each one of the anchors
+PARTS = 8  # parts per partition, one after the other in a task's memory
 KEY = np.uint64(2**48 - 1)
 
 
@@ -305,15 +307,15 @@ def covered_ranges(docs: DataFrame, length: int = 50) -> tuple[DataFrame, DataFr
     """(doc_id, list of packed byte ranges covered by earlier documents) and (doc_id, compressed text)."""
     docs = docs.where("doc_id is not null and octet_length(text) >= %d" % length).select(F.col("doc_id").cast("bigint"), "text")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-total // PART_BYTES))
+    partitions = max(1, -(-total // PARTITION_BYTES))
     by_part = lambda df, n: df.repartition(n, "part").sortWithinPartitions("part")
-    sent = docs.mapInArrow(_send_anchors(parts, length), "part int, ids binary, counts binary, keys binary")
-    shared = by_part(sent, parts).mapInArrow(_shared_anchors, "doc_id bigint, keys binary")
+    sent = docs.mapInArrow(_send_anchors(partitions * PARTS, length), "part int, ids binary, counts binary, keys binary")
+    shared = by_part(sent, partitions).mapInArrow(_shared_anchors, "doc_id bigint, keys binary")
     wanted = shared.groupBy("doc_id").agg(F.collect_list("keys").alias("keys"))  # at most the anchors of one document
     packed = docs.mapInArrow(_compressed, "doc_id bigint, packed binary")
     asked = packed.join(wanted, "doc_id")
-    strings = asked.mapInArrow(_send_strings(parts * STRING_PARTS, length), STRINGS)
-    spans = by_part(strings, parts * STRING_PARTS).mapInArrow(_covered(length), "doc_id bigint, spans binary")
+    strings = asked.mapInArrow(_send_strings(partitions * STRING_PARTITIONS * PARTS, length), STRINGS)
+    spans = by_part(strings, partitions * STRING_PARTITIONS).mapInArrow(_covered(length), "doc_id bigint, spans binary")
     return stored(spans.groupBy("doc_id").agg(F.collect_list("spans").alias("spans")), "repeats-spans"), packed
 
 
