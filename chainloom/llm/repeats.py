@@ -1,7 +1,7 @@
 """Suffix-array dedup: bytes covered by a string of ``length`` bytes that also starts in an earlier document.
 
 The texts of all documents are one collection. Its Burrows-Wheeler transform is built column by column, one symbol
-of every string per round; the sorted order that results puts equal strings of ``length`` bytes side by side, and the
+of every string per round; the sorted order of each column puts equal strings of ``length`` bytes side by side, and the
 smallest doc_id of such an interval of common prefixes decides. To keep the number of rounds fixed and the work
 parallel, the collection is cut into short strings around anchors: the anchor of a window of ``length`` bytes is its smallest
 hashed ``GRAM``-byte string, so equal windows have equal anchors, wherever they stand. The strings of an anchor are
@@ -75,6 +75,16 @@ def _from_six(raw) -> np.ndarray:
     return out.view("<u8").ravel().astype(np.uint64)
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Differences of neighbours, first all lowest bytes and last all highest, which are mostly zeros and shuffle small."""
+    steps = np.diff(values.astype("<i8"), prepend=np.int64(0))
+    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _from_planes(raw: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<i8").ravel())
+
+
 def _runs(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of runs of equal values."""
     if not len(sorted_values):
@@ -94,7 +104,7 @@ def _send_anchors(parts: int, length: int):
             rows = []
             for lo, hi in zip(*_runs(part), strict=True):
                 s, e = _runs(doc[lo:hi])
-                rows.append((int(part[lo]), ids[doc[lo:hi][s]].astype("<i8").tobytes(), (e - s).astype("<u4").tobytes(), _six(key[lo:hi])))
+                rows.append((int(part[lo]), _planes(ids[doc[lo:hi][s]]), _planes(e - s), _six(key[lo:hi])))
             cols = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary(), pa.binary()))]
             yield pa.RecordBatch.from_arrays(cols, names=["part", "ids", "counts", "keys"])
 
@@ -117,7 +127,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict]
 
 def _shared_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for _, rows in _groups(batches):
-        doc = np.concatenate([np.repeat(np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["counts"], "<u4")) for r in rows])
+        doc = np.concatenate([np.repeat(_from_planes(r["ids"]), _from_planes(r["counts"])) for r in rows])
         key = np.concatenate([_from_six(r["keys"]) for r in rows])
         rows.clear()
         order = np.argsort(key, kind="stable")
@@ -153,93 +163,83 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at, texts, size = i + 1, [], 0
 
 
-STRINGS = "part int, docs binary, starts binary, sizes binary, data binary"
+STRINGS = "part int, docs binary, starts binary, sizes binary, anchors binary, data binary"
 
 
 def _send_strings(parts: int, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(_unpacked(batches)):
             ids = piece.batch.column(0).to_numpy(zero_copy_only=False)
-            doc, key, _, first, last = anchors(piece, length)
-            bounds = np.searchsorted(doc, np.arange(len(piece) + 1))
-            keep = np.zeros(len(doc), bool)
-            for d in range(len(piece)):
-                mine = np.concatenate([_from_six(b.as_buffer()) for b in piece.batch.column(2)[d].values])
-                lo, hi = bounds[d], bounds[d + 1]
-                keep[lo:hi] = np.isin(key[lo:hi], mine)
-            doc, key, first, last = doc[keep], key[keep], first[keep], last[keep]
+            doc, key, at, first, last = anchors(piece, length)
+            mine = [_from_six(b.as_buffer()) for keys in piece.batch.column(2) for b in keys.values]
+            of = [d for d, keys in enumerate(piece.batch.column(2)) for _ in range(len(keys.values))]
+            tag = np.repeat(np.array(of, np.uint64), [len(m) for m in mine]) << np.uint64(48)  # a piece has under 2**16 texts of ``length`` bytes
+            keep = np.isin(key | doc.astype(np.uint64) << np.uint64(48), np.concatenate(mine) | tag)
+            doc, key, at, first, last = doc[keep], key[keep], at[keep], first[keep], last[keep]
             part = (mix64(key ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             rows = []
             for lo, hi in zip(*_runs(part[order]), strict=True):
                 mine = order[lo:hi]
                 size = last[mine] - first[mine] + length
-                at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(first[mine], size)
+                byte = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(first[mine], size)
                 where = first[mine] - piece.starts[doc[mine]]
-                rows.append((int(part[mine[0]]), ids[doc[mine]].astype("<i8").tobytes(), where.astype("<i8").tobytes(), size.astype("u1").tobytes(), piece.data[at].tobytes()))
-            kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["part", "docs", "starts", "sizes", "data"])
+                small = (size.astype("u1").tobytes(), (at[mine] - first[mine]).astype("u1").tobytes())
+                rows.append((int(part[mine[0]]), _planes(ids[doc[mine]]), _planes(where), *small, piece.data[byte].tobytes()))
+            kinds = (pa.int32(), *[pa.binary()] * 5)
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["part", "docs", "starts", "sizes", "anchors", "data"])
 
     return run
 
 
-def sorted_suffixes(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(string, offset) of all suffixes of the strings data[begin:begin + size] in sorted order.
+def _words(data: np.ndarray) -> np.ndarray:
+    """Eight bytes from every byte on, as one number each; ``data`` has eight bytes of padding."""
+    return np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+
+
+def _earliest(data: np.ndarray, begin: np.ndarray, size: np.ndarray, anchor: np.ndarray, doc: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every window of the strings, in order of string and offset, the smallest document that holds it.
 
-    Column-wise construction: round j puts the j-th symbol from the right of every string into the transform, at
-    the place of the suffix behind it; a stable sort of the transform gives the places of the new suffixes. An
-    ended string sorts before all symbols; the empty suffixes come first and are left out of the result.
+    Column-wise construction: the strings stand in a table with their anchors in one column. Each round takes the
+    next column from the right and puts the symbol of every string that has one before its suffix. Sorting these
+    symbols, which is the transform of the column, in the order of the suffixes behind them gives the order of the
+    new suffixes; an ended string sorts before all symbols. Equal windows have equal anchors and so lie in one
+    column, side by side in its order; their common prefixes make the intervals.
     """
-    m = len(begin)
-    symbols = np.zeros(m, np.uint16)  # the transform: what stands before each suffix, 0 while unknown
-    owner = np.arange(m, dtype=np.int32)
-    offset = size.astype(np.uint8)
-    place = np.arange(m)
-    for j in range(1, int(size.max(initial=0)) + 1):
-        active = np.flatnonzero(size >= j)
-        symbols[place[active]] = data[begin[active] + size[active] - j].astype(np.uint16) + 1
-        known = np.flatnonzero(symbols)
-        slots = np.empty(len(symbols), np.int64)
-        slots[known[np.argsort(symbols[known], kind="stable")]] = m + np.arange(len(known))
-        new = slots[place[active]]
-        old = np.ones(len(symbols) + len(active), bool)
-        old[new] = False
-        moved = np.flatnonzero(old)
-        place = moved[place]
-        place[active] = new
-        grown = []
-        for values, fresh in ((symbols, 0), (owner, active), (offset, size[active] - j)):
-            wider = np.empty(len(old), values.dtype)
-            wider[moved] = values
-            wider[new] = fresh
-            grown.append(wider)
-        symbols, owner, offset = grown
-    return owner[m:], offset[m:].astype(np.int64)
-
-
-def _earliest(data: np.ndarray, begin: np.ndarray, size: np.ndarray, doc: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """For every window of the strings, in order of string and offset, the smallest document that holds it."""
-    owner, offset = sorted_suffixes(data, begin, size)
-    window = offset + length <= size[owner]
-    owner, offset = owner[window], offset[window]
-    at = begin[owner] + offset
-    same = np.ones(max(len(at) - 1, 0), bool)  # common prefix of neighbours of ``length`` or more
-    for i in range(length):
-        same &= data[at[1:] + i] == data[at[:-1] + i]
-    start = np.flatnonzero(np.append(True, ~same)) if len(at) else np.zeros(0, np.int64)
-    smallest = np.repeat(np.minimum.reduceat(doc[owner], start), np.diff(np.append(start, len(at)))) if len(at) else doc[:0]
+    top = length - GRAM
+    first = top - anchor  # column of the first byte; of the byte behind the last one
+    end = first + size
+    by_end = np.argsort(end, kind="stable")
+    at_end = np.searchsorted(end[by_end], np.arange(top + length + 2))
     n = size - length + 1
     base = np.cumsum(n) - n
     out = np.empty(int(n.sum()), np.int64)
-    out[base[owner] + offset] = smallest
+    words = _words(np.append(data, np.zeros(8, np.uint8)))
+    offsets = [*range(0, length - 7, 8), length - 8]
+    order = np.zeros(0, np.int64)
+    for column in range(top + length - 1, -1, -1):
+        order = np.append(by_end[at_end[column + 1] : at_end[column + 2]], order[first[order] <= column])
+        order = order[np.argsort(data[begin[order] + column - first[order]], kind="stable")]
+        window = order[end[order] - column >= length]
+        if not len(window):
+            continue
+        offset = column - first[window]
+        at = begin[window] + offset
+        same = np.ones(len(at) - 1, bool)  # common prefix of neighbours of ``length`` or more
+        for i in offsets:
+            w = words[at + i]
+            same &= w[1:] == w[:-1]
+        start = np.flatnonzero(np.append(True, ~same))
+        least = np.minimum.reduceat(doc[window], start)
+        out[base[window] + offset] = np.repeat(least, np.diff(np.append(start, len(at))))
     return base, out
 
 
 def _covered(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _groups(batches):
-            doc, where = (np.concatenate([np.frombuffer(r[c], "<i8") for r in rows]) for c in ("docs", "starts"))
-            size = np.concatenate([np.frombuffer(r["sizes"], np.uint8) for r in rows]).astype(np.int64)
+            doc, where = (np.concatenate([_from_planes(r[c]) for r in rows]) for c in ("docs", "starts"))
+            size, anchor = (np.concatenate([np.frombuffer(r[c], np.uint8) for r in rows]).astype(np.int64) for c in ("sizes", "anchors"))
             data = np.frombuffer(b"".join(r["data"] for r in rows), np.uint8)
             rows.clear()
             begin = np.cumsum(size) - size
@@ -251,21 +251,19 @@ def _covered(length: int):
             _, one, of = np.unique(name, return_index=True, return_inverse=True)
             least = np.full(len(one), np.iinfo(np.int64).max)
             np.minimum.at(least, of, doc)
-            first_window, earliest = _earliest(data, begin[one], size[one], least, length)
+            first_window, earliest = _earliest(data, begin[one], size[one], anchor[one], least, length)
             n = size - length + 1
             window = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            low = earliest[np.repeat(first_window[of], n) + window]
-            d, p = np.repeat(doc, n), np.repeat(where, n) + window
-            hit = low < d
-            d, p = d[hit], p[hit]
-            order = np.lexsort((p, d))
-            d, p = d[order], p[order]
-            if not len(d):
+            hit = earliest[np.repeat(first_window[of], n) + window] < np.repeat(doc, n)
+            before = np.append(False, hit[:-1]) & (window > 0)
+            after = np.append(hit[1:], False) & (np.append(window[1:], 0) > 0)
+            start, stop = np.flatnonzero(hit & ~before), np.flatnonzero(hit & ~after)
+            if not len(start):
                 continue
-            cut = np.append(True, (d[1:] != d[:-1]) | (p[1:] > p[:-1] + length))
-            start = np.flatnonzero(cut)
-            stop = np.append(start[1:], len(d)) - 1
-            rd, ra, rb = d[start], p[start], p[stop] + length
+            string = np.repeat(np.arange(len(n)), n)[start]
+            order = np.lexsort((where[string] + window[start], doc[string]))
+            string, start, stop = string[order], start[order], stop[order]
+            rd, ra, rb = doc[string], where[string] + window[start], where[string] + window[stop] + length
             s, e = _runs(rd)
             pairs = np.stack([ra, rb], 1).astype("<i8")
             yield pa.RecordBatch.from_arrays(
