@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard as zstd
 from pyspark.sql import DataFrame, functions as F
 
@@ -136,13 +137,17 @@ def _shared_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         shared = np.minimum.reduceat(doc, start) < np.maximum.reduceat(doc, start) if len(start) else np.zeros(0, bool)
         keep = np.repeat(shared, end - start)
         doc, key = doc[keep], key[keep]
-        order = np.argsort(doc, kind="stable")
+        order = np.argsort(doc, kind="stable")  # keys stay in order within a document
         doc, key = doc[order], key[order]
+        new = np.ones(len(doc), bool)  # a key counts once in a document
+        new[1:] = (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])
+        doc, key = doc[new], key[new]
+        packed = _six(key)
         runs = list(zip(*_runs(doc), strict=True))
         for at in range(0, len(runs), 20_000):
             some = runs[at : at + 20_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([int(doc[lo]) for lo, _ in some], pa.int64()), pa.array([_six(np.unique(key[lo:hi])) for lo, hi in some], pa.binary())],
+                [pa.array([int(doc[lo]) for lo, _ in some], pa.int64()), pa.array([packed[6 * lo : 6 * hi] for lo, hi in some], pa.binary())],
                 names=["doc_id", "keys"],
             )
 
@@ -168,13 +173,15 @@ STRINGS = "part int, docs binary, starts binary, sizes binary, anchors binary, d
 
 def _send_strings(parts: int, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = zstd.ZstdCompressor(level=1)  # the strings of neighbouring anchors overlap
         for piece in pieces(_unpacked(batches)):
             ids = piece.batch.column(0).to_numpy(zero_copy_only=False)
             doc, key, at, first, last = anchors(piece, length)
-            mine = [_from_six(b.as_buffer()) for keys in piece.batch.column(2) for b in keys.values]
-            of = [d for d, keys in enumerate(piece.batch.column(2)) for _ in range(len(keys.values))]
-            tag = np.repeat(np.array(of, np.uint64), [len(m) for m in mine]) << np.uint64(48)  # a piece has under 2**16 texts of ``length`` bytes
-            keep = np.isin(key | doc.astype(np.uint64) << np.uint64(48), np.concatenate(mine) | tag)
+            lists = piece.batch.column(2)
+            mine = lists.flatten()
+            of = np.repeat(pc.list_parent_indices(lists).to_numpy(), pc.binary_length(mine).to_numpy() // 6)
+            tag = of.astype(np.uint64) << np.uint64(48)  # a piece has under 2**16 texts of ``length`` bytes
+            keep = np.isin(key | doc.astype(np.uint64) << np.uint64(48), _from_six(b"".join(mine.to_pylist())) | tag)
             doc, key, at, first, last = doc[keep], key[keep], at[keep], first[keep], last[keep]
             part = (mix64(key ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
@@ -185,7 +192,7 @@ def _send_strings(parts: int, length: int):
                 byte = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(first[mine], size)
                 where = first[mine] - piece.starts[doc[mine]]
                 small = (size.astype("u1").tobytes(), (at[mine] - first[mine]).astype("u1").tobytes())
-                rows.append((int(part[mine[0]]), _planes(ids[doc[mine]]), _planes(where), *small, piece.data[byte].tobytes()))
+                rows.append((int(part[mine[0]]), _planes(ids[doc[mine]]), _planes(where), *small, tool.compress(piece.data[byte].tobytes())))
             kinds = (pa.int32(), *[pa.binary()] * 5)
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["part", "docs", "starts", "sizes", "anchors", "data"])
 
@@ -237,10 +244,11 @@ def _earliest(data: np.ndarray, begin: np.ndarray, size: np.ndarray, anchor: np.
 
 def _covered(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = zstd.ZstdDecompressor()
         for _, rows in _groups(batches):
             doc, where = (np.concatenate([_from_planes(r[c]) for r in rows]) for c in ("docs", "starts"))
             size, anchor = (np.concatenate([np.frombuffer(r[c], np.uint8) for r in rows]).astype(np.int64) for c in ("sizes", "anchors"))
-            data = np.frombuffer(b"".join(r["data"] for r in rows), np.uint8)
+            data = np.frombuffer(b"".join(tool.decompress(r["data"]) for r in rows), np.uint8)
             rows.clear()
             begin = np.cumsum(size) - size
             # equal strings enter once, with their smallest document
