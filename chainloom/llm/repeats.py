@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 import zstandard as zstd
 from pyspark.sql import DataFrame, functions as F
 
-from chainloom.llm.common import INVERSE, Piece, mix64, pieces, powers, prefix_hashes, stored
+from chainloom.llm.common import INVERSE, Piece, mix64, pieces, powers, prefix_hashes
 
 GRAM = 24
 PARTITION_BYTES = 32_000_000  # text per partition of the anchors
@@ -310,7 +310,10 @@ def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def covered_ranges(docs: DataFrame, length: int = 50) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, list of packed byte ranges covered by earlier documents) and (doc_id, compressed text)."""
+    """(doc_id, list of packed byte ranges covered by earlier documents) and (doc_id, compressed text).
+
+    Both are parts of one plan: a join of the two by doc_id reads the shuffle of the compressed texts again.
+    """
     docs = docs.where("doc_id is not null and octet_length(text) >= %d" % length).select(F.col("doc_id").cast("bigint"), "text")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     partitions = max(1, -(-total // PARTITION_BYTES))
@@ -322,7 +325,7 @@ def covered_ranges(docs: DataFrame, length: int = 50) -> tuple[DataFrame, DataFr
     asked = packed.join(wanted, "doc_id")
     strings = asked.mapInArrow(_send_strings(partitions * STRING_PARTITIONS * PARTS, length), STRINGS)
     spans = by_part(strings, partitions * STRING_PARTITIONS).mapInArrow(_covered(length), "doc_id bigint, spans binary")
-    return stored(spans.groupBy("doc_id").agg(F.collect_list("spans").alias("spans")), "repeats-spans"), packed
+    return spans.groupBy("doc_id").agg(F.collect_list("spans").alias("spans")), packed
 
 
 def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
