@@ -6,8 +6,9 @@ released blocks goes first. So at every slot each source is less than one block
 
 All blocks of a period of Q slots start and end without lag, so one period is computed and repeated:
 a document finds its slot from its block number alone, in parallel. When a source can't fill another
-period, one closing period is made with what it has left, and the rest go on with their weights in
-proportion. No document is dropped or repeated.
+period, that period stops at the slot where the first source runs dry; the others go on from there in a new
+period, with their weights in proportion. So all targets hold up to the first source's end. No document is
+dropped or repeated.
 
 Edge cases: null or unlisted sources share the weight ``"*"``; without one, they get the smallest unit.
 Null and empty texts have size 0 and stay. Ties and repeated rows are kept, in an order fixed by their
@@ -56,27 +57,31 @@ def timetable(blocks: dict[str, int], units: dict[str, int]) -> list[tuple]:
     done = dict.fromkeys(left, 0)
     slot, rows = 0, []
 
-    def lay(share: dict[str, int], times: int) -> None:
+    def lay(names: list[str], order: list[int], times: int) -> None:
         nonlocal slot
-        names = sorted(share)
-        order = period([share[g] for g in names])
         for i, g in enumerate(names):
             at = [t for t, s in enumerate(order) if s == i]
-            rows.append((g, done[g], done[g] + times * share[g] - 1, share[g], slot, len(order), at))
-            done[g] += times * share[g]
-            left[g] -= times * share[g]
+            if at:
+                rows.append((g, done[g], done[g] + times * len(at) - 1, len(at), slot, len(order), at))
+                done[g] += times * len(at)
+                left[g] -= times * len(at)
         slot += times * len(order)
 
     while left:
-        active = {g: units[g] for g in left}
-        times = min(left[g] // u for g, u in active.items())
+        names = sorted(left)
+        order = period([units[g] for g in names])
+        times = min(left[g] // units[g] for g in names)
         if times:
-            lay(active, times)
-        closing = {g: min(u, left[g]) for g, u in active.items() if left[g]}
-        if closing and any(left[g] < active[g] for g in active):
-            lay(closing, 1)
-        for g in [g for g, n in left.items() if not n]:
-            del left[g]
+            lay(names, order, times)
+        if all(left.values()):
+            # a source can't fill the next period: up to the last block of the first one that runs dry
+            given = [0] * len(names)
+            for t, i in enumerate(order, 1):
+                given[i] += 1
+                if given[i] == left[names[i]]:
+                    break
+            lay(names, order[:t], 1)
+        left = {g: n for g, n in left.items() if n}
     return rows
 
 

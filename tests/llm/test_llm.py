@@ -161,6 +161,26 @@ def test_mix_keeps_every_row(docs, no_docs, texts):
     assert mixing.mix_sources(no_docs, {"src0": 1.0}).count() == 0
 
 
+@pytest.mark.parametrize("times", [1, 30])
+@pytest.mark.parametrize("resolution", [20, 1000])
+def test_mix_keeps_targets_up_to_the_first_exhaustion(spark, times, resolution):
+    """With fewer blocks than units and with many periods."""
+    sizes = {"src0": 12 * times, "src1": 13 * times, "src2": 12 * times, "src3": times, "zzz": 200 * times}
+    names = [s for s, n in sizes.items() for _ in range(n)]
+    docs = make_docs(spark, [(i, "x" * 10, s) for i, s in enumerate(names)])
+    out = mixing.mix_sources(docs, queries.TARGETS, block_size=10, resolution=resolution).select("slot", "mix_group").collect()
+    order = [g for _, g in sorted((r["slot"], r["mix_group"]) for r in out)]
+    assert sorted(r["slot"] for r in out) == list(range(len(names)))
+    total, given = sum(queries.TARGETS.values()), dict.fromkeys(queries.TARGETS, 0)
+    have = {g: sizes.get(g, sizes["zzz"]) for g in given}
+    for t, g in enumerate(order, 1):
+        given[g] += 1
+        assert all(abs(given[k] - t * w / total) < 1 for k, w in queries.TARGETS.items())
+        if given[g] == have[g]:
+            break
+    assert t >= 18 * times
+
+
 def test_repeats_against_brute_force(docs, no_docs, texts):
     got = {(r[0], r[1]): tuple(r)[2:] for r in repeats.remove_repeats(docs).collect()}
     assert repeats.remove_repeats(docs).count() == len(texts)
