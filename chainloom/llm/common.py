@@ -83,7 +83,8 @@ class Piece:
         return len(self.starts) - 1
 
 
-def _buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all texts with a newline behind each, their starts)."""
     raw = pc.fill_null(texts.cast(pa.large_binary()), b"")
     joined = pc.binary_join_element_wise(raw, pa.scalar(b"", pa.large_binary()), pa.scalar(b"\n", pa.large_binary()))
     starts = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset : joined.offset + len(joined) + 1]
@@ -104,7 +105,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             before = ends[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
             part = batch.slice(start, stop - start)
-            yield Piece(part, *_buffer(part.column(at)))
+            yield Piece(part, *buffer(part.column(at)))
             start = stop
 
 

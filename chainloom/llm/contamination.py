@@ -7,8 +7,14 @@ drops whole passages, the sum of their highest impacts in a block of items drops
 is scored in full. All items above the threshold are retrieved, then the share of the question's and of the
 answer's word trigrams found in the text around the passage decides.
 
+Words are runs of letters, digits and combining marks, in any case: punctuation, glued to a word or not, parts
+words and is left out, in items and texts alike. An item that has none but punctuation is compared by its runs
+of characters other than white space. ``start_word`` counts the words so made.
+
 The last sentence of an item is its answer, the rest its question; a single sentence is parted after three
-quarters of its words. The index is broadcast in shards of at most ``shard_items`` items, a bounded size; more
+quarters of its words. An answer of few words is also compared together with the words before it, one more than
+it has itself, so that a changed word leaves it several trigrams and the question alone never holds half of them;
+the better of both shares counts. The index is broadcast in shards of at most ``shard_items`` items, a bounded size; more
 items mean more shards, each a pass over the texts.
 
 Edge cases: null or empty texts and items match nothing; very long texts are read whole; equal items are all
@@ -23,17 +29,45 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from chainloom.llm.common import Piece, Words, combine, pieces, words_of
+from chainloom.llm.common import Piece, Words, buffer, combine, pieces, words_of
 
 HALF, BLOCK, K1, B = 64, 16, 1.2, 0.75
+SHORT = 5  # words of a short answer
 HITS = "doc_id bigint, item_id bigint, start_word bigint, score double, question_overlap double, answer_overlap double"
 
 
-def _hashes(text: str) -> np.ndarray:
-    batch = pa.RecordBatch.from_arrays([pa.array([text], pa.large_string())], names=["text"])
-    return words_of(next(pieces(iter([batch])))).hash
+_BLANK = np.arange(256, dtype=np.uint8)
+_BLANK[[i for i in range(128) if not chr(i).isalnum() and i != 0x0A]] = 0x20
+
+
+def _fold(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and starts of texts in one case, with a blank for everything but letters, digits, combining marks and newlines."""
+    texts = texts.cast(pa.large_string())
+    try:
+        one_case = pc.utf8_lower(pc.utf8_upper(texts))  # forms that only differ in lower case, as of sigma, become one
+    except pa.ArrowInvalid:  # bytes that are no UTF-8
+        texts = [None if t is None else t.decode("utf-8", "replace") for t in texts.cast(pa.large_binary()).to_pylist()]
+        one_case = pc.utf8_lower(pc.utf8_upper(pa.array(texts, pa.large_string())))
+    one_case = pc.replace_substring(one_case, "\u00df", "ss")
+    data, starts = buffer(pc.replace_substring_regex(one_case, r"[^\p{L}\p{N}\p{M}\x00-\x7F]+", " "))
+    return _BLANK[data], starts
+
+
+def folded(piece: Piece) -> Piece:
+    at = piece.batch.schema.get_field_index("text")
+    return Piece(piece.batch, *_fold(piece.batch.column(at)))
+
+
+def _hashes(text: str, fold: bool) -> np.ndarray:
+    piece = next(pieces(iter([pa.RecordBatch.from_arrays([pa.array([text], pa.large_string())], names=["text"])])))
+    return words_of(folded(piece) if fold else piece).hash
+
+
+def _has_words(text: str) -> bool:
+    return bool(_fold(pa.array([text]))[0].tobytes().strip())
 
 
 def _grams(h: np.ndarray) -> np.ndarray:
@@ -51,6 +85,12 @@ def split_item(text: str) -> tuple[str, str]:
     return " ".join(words[:cut]), " ".join(words[cut:])
 
 
+def _with_context(whole: np.ndarray, answer: np.ndarray) -> np.ndarray:
+    """Trigrams of a short answer and the words before it; none of an answer of many words."""
+    k = len(answer)
+    return _grams(whole[-(2 * k + 1) :]) if 0 < k <= SHORT else whole[:0]
+
+
 @dataclass
 class Index:
     terms: np.ndarray  # sorted word hashes
@@ -65,17 +105,23 @@ class Index:
     owner: np.ndarray  # item_id of each indexed part
     question: list[np.ndarray]
     answer: list[np.ndarray]
+    context: list[np.ndarray]  # of a short answer with the words before it
+    fold: bool  # items of words, or of punctuation only
 
     @property
     def n_blocks(self) -> int:
         return -(-len(self.owner) // BLOCK)
 
 
-def build_index(items: list[tuple[int, str]]) -> Index:
-    owner, parts, question, answer = [], [], [], []
+def build_index(items: list[tuple[int, str]], fold: bool = True) -> Index:
+    """The index of the items that have words, or of those of punctuation only without ``fold``."""
+    owner, parts, question, answer, context = [], [], [], [], []
     for item_id, text in sorted((i, t) for i, t in items if i is not None and t and t.strip()):
-        h = _hashes(text)
-        q, a = (_grams(_hashes(x)) for x in split_item(text))
+        if _has_words(text) != fold:
+            continue
+        h = _hashes(text, fold)
+        q, a = (_hashes(x, fold) for x in split_item(text))
+        q, a, c = _grams(q), _grams(a), _with_context(h, a)
         for at in range(0, len(h), HALF):
             if at and len(h) - at < HALF // 2:
                 break
@@ -83,6 +129,7 @@ def build_index(items: list[tuple[int, str]]) -> Index:
             parts.append(h[at : at + HALF] if len(h) - at >= HALF + HALF // 2 else h[at : at + HALF + HALF // 2])
             question.append(q)
             answer.append(a)
+            context.append(c)
     sizes = np.array([len(p) for p in parts], float)
     n = len(parts)
     pair_item = np.repeat(np.arange(n), sizes.astype(int))
@@ -106,7 +153,7 @@ def build_index(items: list[tuple[int, str]]) -> Index:
     return Index(
         terms, known, starts, item, impact, highest,
         np.searchsorted(bkey // n_blocks, np.arange(len(terms) + 1)), bkey % n_blocks, block_high,
-        np.array(owner, np.int64), question, answer,
+        np.array(owner, np.int64), question, answer, context, fold,
     )
 
 
@@ -162,14 +209,16 @@ def retrieve(index: Index, words: Words, threshold: float) -> tuple[np.ndarray,
 
 
 def _hits(index: Index, piece: Piece, ids: list, threshold: float, question: float, answer: float) -> list[tuple]:
-    words = words_of(piece)
+    words = words_of(folded(piece) if index.fold else piece)
     best: dict[tuple, tuple] = {}
     for doc, start, item, score in zip(*(x.tolist() for x in retrieve(index, words, threshold)), strict=True):
         lo, hi = words.bounds[doc], words.bounds[doc + 1]
-        q, a = index.question[item], index.answer[item]
+        q, a, c = index.question[item], index.answer[item], index.context[item]
         reach = len(q) + len(a) + HALF
-        near = _grams_all(words.hash[max(lo, lo + start - reach) : min(hi, lo + start + 2 * HALF + reach)], q, a)
+        near = _grams_all(words.hash[max(lo, lo + start - reach) : min(hi, lo + start + 2 * HALF + reach)])
         q_part, a_part = (float(np.isin(x, near).mean()) if len(x) else 1.0 for x in (q, a))
+        if len(c):
+            a_part = max(a_part, float(np.isin(c, near).mean()))
         if q_part >= question and a_part >= answer:
             key = (doc, int(index.owner[item]))
             row = (score, -start, q_part, a_part)
@@ -177,7 +226,7 @@ def _hits(index: Index, piece: Piece, ids: list, threshold: float, question: flo
     return [(ids[d], i, -s, sc, q, a) for (d, i), (sc, s, q, a) in sorted(best.items())]
 
 
-def _grams_all(h: np.ndarray, *parts: np.ndarray) -> np.ndarray:
+def _grams_all(h: np.ndarray) -> np.ndarray:
     """Trigrams of the words, and shorter ones, as a short question or answer is kept as one gram."""
     out = [combine(*(h[i : len(h) - n + 1 + i] for i in range(n))) for n in (1, 2, 3) if len(h) >= n]
     return np.concatenate(out) if out else h
@@ -199,13 +248,15 @@ def contaminated(
     out = None
     for s in range(shards):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == s).collect()  # about shard_items rows
-        index = spark.sparkContext.broadcast(build_index([(r[0], r[1]) for r in part]))
+        both = [build_index([(r[0], r[1]) for r in part], fold) for fold in (True, False)]
+        shared = spark.sparkContext.broadcast([x for x in both if len(x.owner)])
 
-        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             names = [c.split()[0] for c in HITS.split(", ")]
             kinds = [pa.int64() if " bigint" in c else pa.float64() for c in HITS.split(", ")]
             for piece in pieces(batches):
-                rows = _hits(index.value, piece, piece.batch.column(0).to_pylist(), threshold, question, answer)
+                ids = piece.batch.column(0).to_pylist()
+                rows = [r for index in shared.value for r in _hits(index, piece, ids, threshold, question, answer)]
                 if rows:
                     cols = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
                     yield pa.RecordBatch.from_arrays(cols, names=names)

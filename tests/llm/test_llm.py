@@ -221,6 +221,31 @@ def test_contamination(spark, sf_dir, docs, no_docs):
     assert contamination.decontaminated(docs, bench.limit(0)).count() == docs.count()
 
 
+def test_contamination_finds_every_whole_item(spark):
+    """Items that stand word for word in a text, whatever is glued to them, and in upper case."""
+    big = "/root/testdata/sf0.1"
+    want = set(duck(big).execute("SELECT doc_id, item_id FROM documents d, benchmark b WHERE contains(d.text, b.text)").fetchall())
+    bench = spark.read.parquet(f"{big}/benchmark.parquet")
+    found = contamination.contaminated(spark.read.parquet(f"{big}/documents.parquet"), bench).select("doc_id", "item_id")
+    assert {tuple(r) for r in found.collect()} >= want
+    upper = bench.select(F.col("item_id").alias("doc_id"), F.concat(F.lit("$$$("), F.upper("text"), F.lit(")...&&&")).alias("text"))
+    assert contamination.contaminated(upper, bench).where("doc_id = item_id").count() == bench.count()
+
+
+def test_contamination_edges(spark):
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa."
+    items = [(1, words + " one two three four five"), (2, words + " yes"), (3, "?! :: -> ++"), (4, "\u03bf\u03b4\u03bf\u03c2 stra\u00dfe na\u00efve caf\u00e9")]
+    rows = [
+        (1, words + " one two other four five", "s"), (2, words + " perhaps", "s"), (3, "x ?! :: -> ++ y", "s"),
+        (4, "\u039f\u0394\u039f\u03a3, STRASSE-NA\u00cfVE\u2026CAF\u00c9\u00bb", "s"), (5, None, "s"), (6, "... !!!", "s"),
+    ]
+    found = contamination.contaminated(make_docs(spark, rows), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(1, 1), (3, 3), (4, 4)}
+    broken = spark.sql("SELECT 1L AS doc_id, cast(concat(unhex('ff20'), cast(upper('%s yes') AS binary), unhex('ff')) AS string) AS text" % words)
+    found = contamination.contaminated(broken, spark.createDataFrame(items[1:2], "item_id bigint, text string"))
+    assert found.count() == 1
+
+
 @pytest.mark.parametrize(("name", "column"), [("op6_quality_classifier", "quality"), ("op9_toxicity", "toxic")])
 def test_held_out_accuracy(spark, name, column):
     big = "/root/testdata/sf0.1"
