@@ -1,15 +1,18 @@
 """Licence scans: a paragraph classifier over sparse word n-grams, and a comparison with templates.
 
-A softmax regression on hashed one- to three-word grams knows the licence families and an unknown class. It
-is trained on the notices below, whole, in part and inside other text, against paragraphs of the corpus and
-shuffled notices; a temperature fitted on held-out examples calibrates its probabilities. A paragraph
-is a line; lines of more than ``WINDOW`` words are read in overlapping windows. Each paragraph that is given a
-family is compared with the notices of that family: ``similarity`` is the largest share of a notice's word
-pairs that it holds.
-
-Edge cases: null and empty texts have no paragraph; a paragraph without any word pair of a notice is of the
-unknown class; very long texts and lines are read whole; repeated rows are reported each. Empty tables give no
-rows. Other columns are ignored.
+A softmax regression on hashed one- to three-word grams knows the licence families, reserved rights and an unknown
+class. It is trained on the notices and identifiers below, whole, in part and inside other text, against paragraphs of
+the corpus and shuffled notices; a temperature fitted on held-out examples calibrates its probabilities. A paragraph
+is a run of lines that are not blank; it is read line by line and, for wrapped notices, across its lines, in overlapping
+windows of ``WINDOW`` words. The model decides on every window: those left out before it is asked are windows whose
+grams can't outweigh the unknown class in any family. Each paragraph that is given a family is compared with the notices
+of that family: ``similarity`` is the largest share of a notice's word pairs (or of its only word) that it holds.
+
+Paragraphs that speak of licences or copyright (``TERMS``) and are given no family are reported as ``unknown``, with the
+probability of that class at the first such window. Reserved rights grant nothing, so that row is never ``confirmed``.
+
+Edge cases: null and empty texts have no paragraph; very long texts and lines are read whole; repeated rows are
+reported each. Empty tables give no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -69,7 +72,28 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ),
     "Unlicense": ("This is free and unencumbered software released into the public domain.",),
+    "All-rights-reserved": ("All rights reserved.", "Copyright holder. All rights reserved."),
 }
+# Identifiers as they stand in file heads and lists; each is a notice of its family.
+IDENTIFIERS: dict[str, tuple[str, ...]] = {
+    "Apache-2.0": ("Apache-2.0",),
+    "MIT": ("SPDX-License-Identifier: MIT",),
+    "GPL-3.0": ("GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later", "GPLv3", "GPLv3+"),
+    "GPL-2.0": ("GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPLv2", "GPLv2+"),
+    "LGPL": ("LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later", "LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPLv3", "LGPLv3+"),
+    "BSD": ("BSD-3-Clause", "BSD-2-Clause"),
+    "MPL-2.0": ("MPL-2.0",),
+    "CC-BY": ("CC-BY-4.0",),
+    "CC-BY-SA": ("CC-BY-SA-4.0",),
+    "CC-BY-NC": ("CC-BY-NC-4.0",),
+    "Unlicense": ("SPDX-License-Identifier: Unlicense",),
+}
+NOTICES = {f: n + IDENTIFIERS.get(f, ()) for f, n in NOTICES.items()}
+RESERVED, UNKNOWN = "All-rights-reserved", "unknown"
+TERMS = (
+    "license licence licenses licences licensed licenced licensing licensee licensor sublicense relicensed copyright copyrighted copyleft "
+    "spdx-license-identifier eula \u00a9 lizenz lizenziert licencia licenciado urheberrecht"
+)
 WINDOW, STRIDE, SLOTS = 48, 24, 2**18
 FOUND = "doc_id bigint, paragraph bigint, first_word bigint, family string, probability double, similarity double, confirmed boolean"
 
@@ -114,19 +138,30 @@ def _pairs(h: np.ndarray) -> np.ndarray:
 @dataclass
 class LicenceModel:
     families: list[str]
-    weight: np.ndarray  # slots x classes, the last class is unknown
+    weight: np.ndarray  # slots and a row of zeros x classes, the last class is unknown
     bias: np.ndarray
     temperature: float
-    pairs: np.ndarray  # sorted word pairs of all notices
+    evidence: np.ndarray  # of each slot, the most it can add to a family over the unknown class; 0 at least
+    terms: np.ndarray  # sorted hashes of TERMS
     notices: list[list[np.ndarray]]  # word pairs of each family's notices
 
-    def probabilities(self, slots: np.ndarray) -> np.ndarray:
-        z = (self.weight[slots].sum(0) / np.sqrt(max(len(slots), 1)) + self.bias) / self.temperature
-        z = np.exp(z - z.max())
-        return z / z.sum()
+    def probabilities(self, slots: list[np.ndarray], lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Class probabilities of the windows [lo, hi); ``slots`` are those of the grams of 1, 2, .. words from each word on."""
+        at = np.minimum(lo[:, None] + np.arange(WINDOW), len(slots[0]) - 1)
+        word = np.arange(WINDOW) < (hi - lo)[:, None]
+        rows = []
+        for n, s in enumerate(slots):
+            inside = word if n == 0 else np.pad(word[:, n:], ((0, 0), (0, n)))
+            rows.append(np.where(inside, s[np.minimum(at, len(s) - 1)], SLOTS))
+        mine = np.sort(np.concatenate(rows, 1), 1)
+        mine[:, 1:][mine[:, 1:] == mine[:, :-1]] = SLOTS  # a slot counts once; SLOTS has no weight
+        n = np.maximum((mine < SLOTS).sum(1), 1)
+        z = (self.weight[mine].sum(1) / np.sqrt(n)[:, None] + self.bias) / self.temperature
+        z = np.exp(z - z.max(1, keepdims=True))
+        return z / z.sum(1, keepdims=True)
 
     def similarity(self, family: int, h: np.ndarray) -> float:
-        mine = _pairs(h)
+        mine = np.concatenate([_pairs(h), h])
         return max(float(np.isin(p, mine).mean()) for p in self.notices[family])
 
 
@@ -139,7 +174,7 @@ def _examples(background: list[np.ndarray], rng: np.random.Generator) -> tuple[l
         for text in notices:
             h = _hashes(text)
             for i in range(24):
-                n = len(h) if i % 3 == 0 else int(rng.integers(max(3, (2 * len(h)) // 3), len(h) + 1))
+                n = len(h) if i % 3 == 0 else int(rng.integers(max(min(3, len(h)), (2 * len(h)) // 3), len(h) + 1))
                 at = int(rng.integers(0, len(h) - n + 1))
                 part = h[at : at + n]
                 if i % 2:
@@ -147,7 +182,7 @@ def _examples(background: list[np.ndarray], rng: np.random.Generator) -> tuple[l
                     part = np.concatenate([around[: int(rng.integers(0, 12))], part, around[12 : int(rng.integers(12, 28))]])
                 xs.append(part)
                 ys.append(y)
-            for _ in range(6):  # the words alone are no notice
+            for _ in range(6 if len(h) > 3 else 0):  # the words alone are no notice
                 xs.append(rng.permutation(h))
                 ys.append(unknown)
     notice_pairs = np.unique(np.concatenate([_pairs(_hashes(t)) for n in NOTICES.values() for t in n]))
@@ -195,10 +230,11 @@ def fit(background: list[str], *, steps: int = 200, rate: float = 2.0, ridge: fl
         (0.1, 0.2, 0.3, 0.5, 0.7, 1.0, 1.5, 2.0),
         key=lambda t: -np.log(soft(z / t)[np.arange(held.sum()), y[held]] + 1e-12).mean(),
     )
-    weight = np.zeros((SLOTS, classes), np.float32)
+    weight = np.zeros((SLOTS + 1, classes), np.float32)
     weight[used] = w
     notices = [[_pairs(_hashes(t)) for t in NOTICES[f]] for f in families]
-    return LicenceModel(families, weight, b, temperature, np.unique(np.concatenate(sum(notices, []))), notices)
+    evidence = np.maximum(0, (weight[:, :-1] - weight[:, -1:]).max(1))
+    return LicenceModel(families, weight, b, temperature, evidence, np.unique(_hashes(TERMS)), notices)
 
 
 def train(docs: DataFrame, *, rows: int = 1000) -> LicenceModel:
@@ -214,40 +250,75 @@ def train(docs: DataFrame, *, rows: int = 1000) -> LicenceModel:
 def _found(model: LicenceModel, piece: Piece, ids: list, least: float, similar: float) -> list[tuple]:
     words = words_of(_stripped(piece))
     h = words.hash
-    if len(h) < 2:
-        return []
-    pair = combine(h[:-1], h[1:])
-    at = np.minimum(np.searchsorted(model.pairs, pair), len(model.pairs) - 1)
-    hits = np.flatnonzero(model.pairs[at] == pair)
-    if not len(hits):
+    if not len(h):
         return []
+    # sums up to each word of what its grams can add to a family at most, and of the terms
+    most, slots = np.zeros(len(h) + 1), []
+    for n in range(1, min(3, len(h)) + 1):
+        grams = combine(*(h[i : len(h) - n + 1 + i] for i in range(n)))
+        slots.append((grams >> np.uint64(46)).astype(np.int32))
+        most[1 : len(h) - n + 2] += model.evidence[slots[-1]]
+    most = np.cumsum(most)
+    at = np.minimum(np.searchsorted(model.terms, h), len(model.terms) - 1)
+    terms = np.append(0, np.cumsum(model.terms[at] == h))
+    need = float(model.bias[-1] - model.bias[:-1].max())  # a window has one slot at least
+
     newlines = np.flatnonzero(piece.data == 0x0A)
     line = np.searchsorted(newlines, words.begin)
-    hits = hits[line[hits] == line[hits + 1]]
-    doc_line = np.searchsorted(newlines, piece.starts)  # lines before each text
-    doc = np.searchsorted(words.bounds, hits, "right") - 1
-    hit_line = line[hits]  # ascending
-    out = []
-    for d, ln in sorted(set(zip(doc.tolist(), line[hits].tolist(), strict=True))):
-        begin, end = np.searchsorted(line, ln), np.searchsorted(line, ln + 1)
-        mine = hits[np.searchsorted(hit_line, ln) : np.searchsorted(hit_line, ln + 1)]
-        best: dict[int, tuple] = {}
-        for lo in range(begin, max(begin + 1, end - WINDOW + STRIDE), STRIDE):
-            hi = min(end, lo + WINDOW)
-            if not ((mine >= lo) & (mine < hi - 1)).any():
-                continue
-            p = model.probabilities(_slots(h[lo:hi]))
-            c = int(p.argmax())
-            if c < len(model.families) and p[c] >= least:
-                row = (float(p[c]), model.similarity(c, h[lo:hi]), int(begin - lo))
-                best[c] = max(best.get(c, row), row)
-        for c, (p, s, back) in sorted(best.items()):
-            out.append((ids[d], int(ln - doc_line[d]), -back, model.families[c], p, s, s >= similar))
-    return out
+    doc = words.doc()
+    new_line = np.append(True, line[1:] != line[:-1])
+    # a line without words parts paragraphs if it is blank, not if it is of punctuation only
+    blank = np.append(0, np.cumsum(np.diff(np.append(-1, newlines)) - 1 == _spaces(piece, newlines)))
+    new_par = np.append(True, (doc[1:] != doc[:-1]) | (blank[line[1:]] > blank[line[:-1] + 1]))
+    new_line |= new_par
+    par_start = np.flatnonzero(new_par)
+    par_end = np.append(par_start[1:], len(h))
+    line_start = np.flatnonzero(new_line)
+    line_end = np.append(line_start[1:], len(h))
+    par_doc = doc[par_start]
+    number = np.arange(len(par_start)) - np.searchsorted(par_doc, par_doc)
+    # lines, and paragraphs of several lines
+    wide = np.searchsorted(line_start, par_end) - np.searchsorted(line_start, par_start) > 1
+    start, stop = np.append(line_start, par_start[wide]), np.append(line_end, par_end[wide])
+    count = np.maximum(1, -(-(stop - start - WINDOW + STRIDE) // STRIDE))
+    lo = np.repeat(start, count) + STRIDE * (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
+    hi = np.minimum(np.repeat(stop, count), lo + WINDOW)
+    some = np.flatnonzero((most[hi] - most[lo] > need) | (terms[hi] > terms[lo]))
+    lo, hi = lo[some], hi[some]
+    best: dict[tuple, tuple] = {}
+    unknown: dict[int, tuple] = {}
+    for i in range(0, len(lo), 1000):
+        a, z = lo[i : i + 1000], hi[i : i + 1000]
+        p = model.probabilities(slots, a, z)
+        c = p.argmax(1)
+        named = (c < len(model.families)) & (p.max(1) >= least)
+        par = np.searchsorted(par_start, a, "right") - 1
+        for w in np.flatnonzero(named | (terms[z] > terms[a])).tolist():
+            k, back = int(par[w]), int(par_start[par[w]] - a[w])
+            if named[w]:
+                row = (float(p[w, c[w]]), model.similarity(c[w], h[a[w] : z[w]]), back)
+                best[k, int(c[w])] = max(best.get((k, int(c[w])), row), row)
+            else:
+                row = (back, float(p[w, -1]))
+                unknown[k] = max(unknown.get(k, row), row)
+    known = {k for k, _ in best}
+    out = [(k, c, *row) for (k, c), row in best.items()]
+    out += [(k, len(model.families), q, 0.0, back) for k, (back, q) in unknown.items() if k not in known]
+    names = [*model.families, UNKNOWN]
+    return [
+        (ids[par_doc[k]], int(number[k]), -back, names[c], p, s, s >= similar and names[c] not in (RESERVED, UNKNOWN))
+        for k, c, p, s, back in sorted(out)
+    ]
+
+
+def _spaces(piece: Piece, newlines: np.ndarray) -> np.ndarray:
+    """Number of white-space bytes of each line, without its newline."""
+    space = np.append(0, np.cumsum(np.isin(piece.data, (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D))))
+    return space[newlines] - space[np.append(0, newlines[:-1] + 1)]
 
 
 def scan(docs: DataFrame, model: LicenceModel, *, least: float = 0.5, similar: float = 0.7) -> DataFrame:
-    """One row per paragraph and licence family found in it: probability, similarity, confirmed."""
+    """One row per paragraph and licence family (or ``unknown``) found in it: probability, similarity, confirmed."""
     names = [c.split()[0] for c in FOUND.split(", ")]
     types = {"bigint": pa.int64(), "string": pa.string(), "double": pa.float64(), "boolean": pa.bool_()}
     kinds = [types[c.split()[1]] for c in FOUND.split(", ")]

@@ -291,6 +291,25 @@ def test_licences(spark, sf_dir, docs, no_docs):
     assert licences.scan(no_docs, model).count() == 0
 
 
+def test_licences_beyond_the_templates(spark, sf_dir):
+    model = licences.train(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    mit = licences.NOTICES["MIT"][2].split()
+    wrapped = "\n".join(" ".join(mit[i : i + 5]) for i in range(0, len(mit), 5))
+    texts = [
+        "SPDX-License-Identifier: Apache-2.0", "GPLv3+", "one two\n \n\n" + wrapped + "\n\nthree", "All rights reserved.",
+        "Use follows the Zorblax house licence of the vendor.", "no such words here", None, "", "...",
+    ]
+    got = {}
+    for r in licences.scan(make_docs(spark, [(i, t, "s") for i, t in enumerate(texts)]), model).collect():
+        assert got.setdefault(r["doc_id"], r) is r
+    assert {i: (r["paragraph"], r["family"], r["confirmed"]) for i, r in got.items()} == {
+        0: (0, "Apache-2.0", True), 1: (0, "GPL-3.0", True), 2: (1, "MIT", True), 3: (0, "All-rights-reserved", False), 4: (0, "unknown", False),
+    }
+    big = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("contains(text, 'All rights reserved.')")
+    found = licences.scan(big, model).where("family = 'All-rights-reserved'")
+    assert found.select("doc_id").distinct().count() == big.select("doc_id").distinct().count() > 0
+
+
 def test_pipeline_on_edges(spark, docs, tmp_path):
     import corpus_pipeline as cp
 
