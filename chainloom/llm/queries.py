@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chainloom.llm import chat, contamination, jaccard, licences, lines, mixing, quality, repeats, topk, toxicity
+from chainloom.llm import alignment, chat, contamination, jaccard, licences, lines, mixing, quality, repeats, topk, toxicity
 from chainloom.llm.common import table
 from chainloom.session import configure
 
@@ -166,3 +166,8 @@ def _toxicity(spark, sf_dir):
 def _licences(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return licences.scan(docs, licences.train(docs))
+
+
+@_query("op13_tokenizer_alignment")
+def _alignment(spark, sf_dir):
+    return alignment.align(table(spark, sf_dir, "documents"))
