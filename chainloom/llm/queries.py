@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chainloom.llm import alignment, chat, contamination, jaccard, licences, lines, mixing, negatives, quality, repeats, topk, toxicity
+from chainloom.llm import alignment, chat, contamination, jaccard, licences, lines, mixing, negatives, quality, repeats, secrets, topk, toxicity
 from chainloom.llm.common import table
 from chainloom.session import configure
 
@@ -168,6 +168,23 @@ def _licences(spark, sf_dir):
     return licences.scan(docs, licences.train(docs))
 
 
+@_query("op11_secret_scan")
+def _secrets(spark, sf_dir):
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+
+    def shown(spans):
+        return F.array_join(F.transform(spans, lambda f: F.concat_ws(":", f["kind"], f["start"], f["stop"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    base = shown(F.filter("findings", lambda f: f["kind"] != "literal"))
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"), F.sha2(base, 256).alias("base_sha256"), shown(F.col("findings")).alias("spans"),
+        count("literal"),
+    )
+
+
 @_query(
     "op12_hard_negatives",
     """
