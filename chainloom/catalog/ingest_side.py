@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
+from dataclasses import dataclass, field
 
 from pyspark.sql import functions as F
 
@@ -12,16 +14,22 @@ from chainloom.catalog import standins as s
 from chainloom.catalog.read_side import _daily_sql
 from chainloom.catalog.registry import query, table
 from chainloom.constants import RELAY_EVENT_TYPE, RELAY_HANDLER
+from chainloom.extend import HandlerRegistry
+from chainloom.functions.numbers import parse_int_or_null
 from chainloom.functions.texts import tx_hash_of_raw
 from chainloom.operators import telemetry
 from chainloom.operators.events import dispatch_events, indexed_records
+from chainloom.operators.intervals import expand_ranges, merge_ranges
 from chainloom.operators.ledger import failure_counts
 from chainloom.operators.rollup import fact_dim_join
+from chainloom.plans.backfill import backfill_window
 from chainloom.plans.ingest import RelayStore, relay_ingest
+from chainloom.plans.store import EventStore
 from chainloom.session import shared_dir
 from chainloom.sinks.tables import BatchTable, VersionedTable, apply_sql_dir, refresh_view
 from chainloom.sources import blocks as bl
 from chainloom.sources import catalogue as cat
+from chainloom.sources.landed import LandedBlocks
 from chainloom.streaming.follow import follow_tip, request_rate
 
 _FMT = "'%Y-%m-%d %H:%M:%S.%f'"
@@ -329,9 +337,10 @@ def follow_tip_stream(spark, sf):
     f"""WITH {s.LANDED_FACTS_SQL} SELECT count(*) AS rows, count(DISTINCT block_height) AS heights, CAST(sum(cu) AS BIGINT) AS cu FROM landed""",
 )
 def stream_exactly_once(spark, sf):
-    """All files are followed again from a fresh checkpoint; the store stays as it is."""
-    _stream_store(spark, sf)
-    facts = _follow_all(spark, sf, _STREAMS[(spark.sparkContext.applicationId, sf)], 1).facts.read()
+    """All files are followed again from a fresh checkpoint; the rows stay as they are."""
+    root = _new_stream(spark, sf)
+    _follow_all(spark, sf, root, 0)
+    facts = _follow_all(spark, sf, root, 1).facts.read()
     return facts.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("block_height").alias("heights"), F.sum("cu").alias("cu"))
 
 
@@ -340,7 +349,7 @@ def stream_exactly_once(spark, sf):
     f"WITH {s.EVENTS_SQL} SELECT '{RELAY_HANDLER}' AS handler, event_id AS height, CASE WHEN k = 13 THEN 'txs: bad base64' ELSE 'block_results: bad json' END AS reason, 1 AS retries FROM ev WHERE k IN (13, 17)",
 )
 def dead_letter_stream(spark, sf):
-    return _stream_store(spark, sf).failures.read().select("handler", "height", "reason", "retries")
+    return _stream_store(spark, sf).ledger().select("handler", "height", "reason", "retries")
 
 
 @query(
@@ -351,7 +360,7 @@ def dead_letter_retry(spark, sf):
     """The five highest failed heights are tried again and fail again."""
     store = _follow_all(spark, sf, _new_stream(spark, sf), 0)
     store.retry_failures(s.landed_blocks(spark, sf), "retry-1", F.lit("2024-03-01").cast("timestamp"), 5, 5)
-    ledger = store.failures.read()
+    ledger = store.ledger()
     again = ledger.groupBy("handler").agg(F.count_if(F.col("retries") == 2).alias("max_seen"))
     return failure_counts(ledger).join(again, "handler")
 
@@ -369,16 +378,200 @@ def stream_daily_rollup(spark, sf):
     f"WITH {s.LANDED_FACTS_SQL} SELECT block_height, count(*) AS copies FROM landed GROUP BY 1",
 )
 def stream_dedup(spark, sf):
-    """Every block lands twice, in different files of different batches."""
+    """Every block lands twice, in different files, so of different batches or of one."""
     root = shared_dir(spark, "dedup")
     blocks = s.landed_blocks(spark, sf)
-    for copy in ("a", "b"):
-        blocks.coalesce(1).write.mode("append").parquet(f"{root}/landing")
+    for _ in range(2):
+        blocks.repartition(2, "height").write.mode("append").parquet(f"{root}/landing")
     store = RelayStore(spark, f"{root}/store")
-    follow_tip(spark, f"{root}/landing", store, f"{root}/checkpoint", max_files=1).awaitTermination()
+    follow_tip(spark, f"{root}/landing", store, f"{root}/checkpoint", max_files=2).awaitTermination()
     return store.facts.read().groupBy("block_height").agg(F.count(F.lit(1)).alias("copies"))
 
 
+@query("stream_recut", _landed_sql())
+def stream_recut(spark, sf):
+    """A second stream cuts the same files into other batches; rows are neither lost nor doubled."""
+    root = _new_stream(spark, sf)
+    follow_tip(spark, f"{root}/landing", RelayStore(spark, f"{root}/store"), f"{root}/checkpoint0", max_files=1).awaitTermination()
+    store = RelayStore(spark, f"{root}/store")
+    follow_tip(spark, f"{root}/landing", store, f"{root}/checkpoint1", max_files=3).awaitTermination()
+    return store.read(RELAY_HANDLER).select(*_FACT_OUT)
+
+
+class _CutShort(RelayStore):
+    """A store whose batches end before their manifest, as if the process had been stopped there."""
+
+    def commit(self, lines, batch_id):
+        raise InterruptedError(batch_id)
+
+
+@query(
+    "retry_replay",
+    f"""WITH {s.EVENTS_SQL}, hs AS (SELECT min(event_id) AS lo, max(event_id) AS hi, count(*) AS n FROM ev)
+SELECT 'fact' AS kind, event_id AS a, event_id AS b, CAST(floor(value) AS BIGINT) AS n FROM ev
+UNION ALL SELECT 'covered', lo, hi, n FROM hs""",
+)
+def retry_replay(spark, sf):
+    """Broken blocks are mended and tried again; the first try ends before its manifest, the second and third repeat it."""
+    root = shared_dir(spark, "retry")
+    store = RelayStore(spark, f"{root}/store")
+    landed = LandedBlocks(spark, f"{root}/landed", 1000)
+    landed.land(s.build_blocks(spark, sf, broken=False))
+    now = F.lit("2024-03-01").cast("timestamp")
+    store.ingest(s.landed_blocks(spark, sf), "first", now, 5)
+    with contextlib.suppress(InterruptedError):
+        _CutShort(spark, f"{root}/store").retry_failures(landed, "retry-1", now, 1_000_000, 5)
+    for _ in range(2):
+        store.retry_failures(landed, "retry-1", now, 1_000_000, 5)
+    wide = lambda kind, a, b, n: [F.lit(kind).alias("kind"), F.col(a).alias("a"), F.col(b).alias("b"), F.expr(n).alias("n")]
+    facts = store.facts.read().select(*wide("fact", "block_height", "block_height", "cu"))
+    waiting = store.ledger().select(*wide("waiting", "height", "height", "cast(retries as bigint)"))
+    claimed = store.open_claims().select(*wide("claimed", "height", "height", "1L"))
+    covered = merge_ranges(store.coverage()).select(*wide("covered", "from_height", "to_height", "to_height - from_height + 1"))
+    return facts.unionByName(waiting).unionByName(claimed).unionByName(covered)
+
+
+@query(
+    "quarantine_rows",
+    f"""WITH {s.EVENTS_SQL} SELECT event_id AS block_height, CAST(k % 4 AS BIGINT) AS record_idx, 'u' || user_id AS provider,
+  3000000000 AS relay_number, 'relay_number out of range' AS reason FROM ev WHERE k % 11 = 5 AND k NOT IN (13, 17)""",
+)
+def quarantine_rows(spark, sf):
+    """Every eleventh relay number does not fit its type; two batches keep these records beside the facts."""
+    root = shared_dir(spark, "quarantine")
+    blocks = s.landed_blocks(spark, sf).withColumn("_k", F.regexp_extract("results_json", r'"relayNumber\.\d+","value":"(\d+)"', 1).cast("int"))
+    wide = F.regexp_replace("results_json", r'("relayNumber\.\d+","value":")\d+"', '$13000000000"')
+    raw = blocks.withColumn("results_json", F.when(F.col("_k") % 11 == 5, wide).otherwise(F.col("results_json"))).drop("_k")
+    store = RelayStore(spark, f"{root}/store", rollup=False)
+    now = F.lit("2024-03-01").cast("timestamp")
+    for part in (0, 1):
+        store.ingest(raw.where(F.col("height") % 2 == part), f"part-{part}", now)
+    return store.quarantine.read().select("block_height", "record_idx", "provider", "relay_number", "reason")
+
+
+@dataclass
+class NotesHandler:
+    """An added handler: the notes of transfers and messages; a note divisible by 10 is rejected."""
+
+    name: str = "notes"
+    event_types: tuple[str, ...] = ("transfer", "message")
+    schema: str = "height bigint, event_idx int, kind_id int, note bigint"
+    key: tuple[str, ...] = ("height", "event_idx")
+    records: str = "height bigint, event_idx int, kind string, note bigint, reason string"
+    dictionaries: dict = field(default_factory=lambda: {"kind": ("kinds", "kind_id")})
+
+    def transform(self, events):
+        note = parse_int_or_null(F.try_element_at("attrs", F.lit("note")))
+        return events.select("height", "event_idx", F.col("type").alias("kind"), note.alias("note")).withColumn(
+            "reason", F.when(F.col("note") % 10 == 0, "round note")
+        )
+
+
+@query(
+    "custom_handler_ingest",
+    f"""WITH {s.EVENTS_SQL}, good AS (SELECT * FROM ev WHERE k NOT IN (13, 17)),
+rows_ AS (SELECT 'notes' AS handler, event_id AS height, i AS event_idx, CASE i WHEN 2 THEN 'transfer' ELSE 'message' END AS kind, k AS n
+  FROM good, generate_series(2, 3) AS g(i) WHERE k % 10 <> 0
+  UNION ALL SELECT '{RELAY_HANDLER}', event_id, 1, 'relay', CAST(floor(value) AS BIGINT) FROM good
+  UNION ALL SELECT 'rejected', event_id, i, CASE i WHEN 2 THEN 'transfer' ELSE 'message' END, k FROM good, generate_series(2, 3) AS g(i) WHERE k % 10 = 0)
+SELECT handler, height, CAST(event_idx AS BIGINT) AS event_idx, kind, CAST(n AS BIGINT) AS n FROM rows_
+UNION ALL SELECT 'covered ' || h, event_id, NULL, NULL, NULL FROM good, (VALUES ('notes'), ('{RELAY_HANDLER}')) AS t(h)
+UNION ALL SELECT 'failed ' || h, event_id, NULL, NULL, NULL FROM ev, (VALUES ('notes'), ('{RELAY_HANDLER}')) AS t(h) WHERE k IN (13, 17)""",
+)
+def custom_handler_ingest(spark, sf):
+    """Two handlers, one of them added here, are stored from one decode under one manifest, in two batches."""
+    root = shared_dir(spark, "handlers")
+    registry = HandlerRegistry([NotesHandler()])
+    store = RelayStore(spark, f"{root}/store", registry.select(["NOTES"]), rollup=False)
+    now = F.lit("2024-03-01").cast("timestamp")
+    for part in (0, 1):
+        store.ingest(s.landed_blocks(spark, sf).where(F.col("height") % 2 == part), f"part-{part}", now)
+    none = lambda c, kind: F.lit(None).cast(kind).alias(c)
+    empty = [none("event_idx", "int"), none("kind", "string"), none("n", "bigint")]
+    notes = store.read("notes").select(F.lit("notes").alias("handler"), "height", "event_idx", "kind", F.col("note").alias("n"))
+    relays = store.facts.read().select(F.lit(RELAY_HANDLER).alias("handler"), F.col("block_height").alias("height"), "event_idx", F.lit("relay").alias("kind"), F.col("cu").alias("n"))
+    rejected = store.rejected["notes"].read().select(F.lit("rejected").alias("handler"), "height", "event_idx", "kind", F.col("note").alias("n"))
+    covered = expand_ranges(store.coverage()).select(F.concat(F.lit("covered "), "handler").alias("handler"), "height", *empty)
+    failed = store.ledger().select(F.concat(F.lit("failed "), "handler").alias("handler"), "height", *empty)
+    return notes.unionByName(relays).unionByName(rejected).unionByName(covered).unionByName(failed)
+
+
+@query(
+    "rest_ingest",
+    f"""WITH {s.EVENTS_SQL} SELECT event_id AS height, i AS event_idx, CASE i WHEN 1 THEN 'transfer' ELSE 'message' END AS kind, CAST(k AS BIGINT) AS note
+FROM ev, generate_series(1, 2) AS g(i) WHERE k % 10 <> 0""",
+)
+def rest_ingest(spark, sf):
+    """Blocks that landed in the other shape go through the same stream and store."""
+    root = shared_dir(spark, "rest")
+    _rest_blocks(spark, sf).repartition(2, "height").write.parquet(f"{root}/landing")
+    store = EventStore(spark, f"{root}/store", [NotesHandler()])
+    follow_tip(spark, f"{root}/landing", store, f"{root}/checkpoint", max_files=1, shape="rest").awaitTermination()
+    return store.read("notes")
+
+
+@query(
+    "replies_ingest",
+    f"""WITH {s.EVENTS_SQL}, h AS (SELECT event_id, k, CASE WHEN (event_id // 50) % 17 = 0 THEN 'batch rpc error: overload' WHEN k = 23 THEN 'block h=' || event_id || ': boom'
+  WHEN k = 24 THEN 'block_results h=' || event_id || ': boom' WHEN k = 13 THEN 'txs: bad base64' WHEN k = 17 THEN 'block_results: bad json' END AS reason FROM ev)
+SELECT event_id AS height, CAST(i AS BIGINT) AS event_idx, CAST(NULL AS VARCHAR) AS reason FROM h, generate_series(2, 3) AS g(i) WHERE reason IS NULL AND k % 10 <> 0
+UNION ALL SELECT event_id, NULL, reason FROM h WHERE reason IS NOT NULL""",
+)
+def replies_ingest(spark, sf):
+    """Stored batch replies are paired and ingested; heights of failed replies go to the ledger."""
+    store = EventStore(spark, f"{shared_dir(spark, 'replies')}/store", [NotesHandler()])
+    store.ingest(_replies(spark, sf), "all", F.lit("2024-03-01").cast("timestamp"), shape="replies")
+    rows = store.read("notes").select("height", "event_idx", F.lit(None).cast("string").alias("reason"))
+    return rows.unionByName(store.ledger().select("height", F.lit(None).cast("int").alias("event_idx"), "reason"))
+
+
+@query(
+    "backfill_window",
+    f"""WITH {s.EVENTS_SQL}, span AS (SELECT max(event_id) + 1 AS n FROM ev),
+done AS (SELECT event_id AS h FROM ev, span WHERE k NOT IN (13, 17) AND (event_id BETWEEN n // 10 AND n * 9 // 10 OR event_id % 8 = 3)),
+isl AS (SELECT h, h - row_number() OVER (ORDER BY h) AS g FROM done)
+SELECT '{RELAY_HANDLER}' AS handler, min(h) AS from_height, max(h) AS to_height FROM isl GROUP BY g""",
+)
+def backfill_window_query(spark, sf):
+    """Every eighth height is stored already; the window's other heights are read from landed buckets."""
+    root = shared_dir(spark, "backfill")
+    landed = LandedBlocks(spark, f"{root}/landed", 512)
+    landed.land(s.landed_blocks(spark, sf))
+    store = RelayStore(spark, f"{root}/store", rollup=False)
+    now = F.lit("2024-03-01").cast("timestamp")
+    store.ingest(s.landed_blocks(spark, sf).where("height % 8 = 3"), "before", now)
+    n = s.events(spark, sf).agg(F.max("event_id")).first()[0] + 1
+    horizons = spark.createDataFrame([(n // 3, False), (n // 2, True)], "earliest_height bigint, disabled boolean")
+    backfill_window(store, landed, n // 10, n * 9 // 10, now, batch_heights=max(1, n // 2), horizons=horizons, width=s.WIDTH)
+    return merge_ranges(store.coverage(), width=s.WIDTH)
+
+
+@query(
+    "run_from_manifest",
+    f"""WITH {s.EVENTS_SQL}, good AS (SELECT * FROM ev WHERE k NOT IN (13, 17))
+SELECT 1 AS id, count(*) AS blocks_indexed, count(*) AS rows_written, 'interrupted' AS end_reason, strftime(TIMESTAMP '2024-03-01 00:02:00', {_FMT}) AS ended_at,
+  strftime(TIMESTAMP '2024-03-01 00:02:00', {_FMT}) AS last_heartbeat FROM good WHERE event_id % 4 < 2
+UNION ALL SELECT 2, count(*), count(*), 'stopped', strftime(TIMESTAMP '2024-03-01 01:00:00', {_FMT}), strftime(TIMESTAMP '2024-03-01 00:30:00', {_FMT}) FROM good WHERE event_id % 4 = 2
+UNION ALL SELECT 3, 0, 0, NULL, NULL, strftime(TIMESTAMP '2024-03-02 00:00:00', {_FMT})""",
+)
+def run_from_manifest(spark, sf):
+    """Three runs: two batches and no end, a batch given twice and an end, nothing yet."""
+    root = shared_dir(spark, "runs")
+    store = RelayStore(spark, f"{root}/store", rollup=False)
+    at = lambda t: F.lit(t).cast("timestamp")
+    part = lambda i: s.landed_blocks(spark, sf).where(F.col("height") % 4 == i)
+    first = store.start_run(at("2024-03-01 00:00:00"))
+    for i in (0, 1):
+        store.ingest(part(i), f"b{i}", at(f"2024-03-01 00:0{i + 1}:00"), run_id=first)
+    second = store.start_run(at("2024-03-01 00:20:00"))
+    for _ in range(2):
+        store.ingest(part(2), "b2", at("2024-03-01 00:30:00"), run_id=second)
+    for t in ("2024-03-01 01:00:00", "2024-03-01 02:00:00"):
+        store.end_run(second, "stopped", at(t))
+    store.start_run(at("2024-03-02 00:00:00"))
+    return store.runs().select("id", "blocks_indexed", "rows_written", "end_reason", "ended_at", "last_heartbeat")
+
+
 @query(
     "stream_rate",
     f"""WITH w AS (SELECT event_type AS source, epoch_us(ts) AS us, unnest(generate_series(0, 19)) AS i FROM events),

@@ -231,16 +231,17 @@ def landed_blocks(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(schemas.LANDED_BLOCKS).parquet(_LANDED[key])
 
 
-def build_blocks(spark: SparkSession, sf: str) -> DataFrame:
+def build_blocks(spark: SparkSession, sf: str, broken: bool = True) -> DataFrame:
     """One landed block per event: height is the event id.
 
     Per block: a begin event, a relay and a transfer event in transaction 0, a message in
     transaction 1, which has no raw bytes for every fifth k, and an end event. k = 13 has bad
-    base64, k = 17 bad JSON.
+    base64, k = 17 bad JSON, unless ``broken`` is off.
     """
     k = F.col("k")
+    bad = lambda n: (k == n) & F.lit(broken)
     raw = lambda p: F.base64(F.concat(F.lit(p), F.col("event_id").cast("string")).cast("binary"))
-    txs = F.when(k == 13, F.array(F.lit("***"))).when(k % 5 == 0, F.array(raw("tx-"))).otherwise(
+    txs = F.when(bad(13), F.array(F.lit("***"))).when(k % 5 == 0, F.array(raw("tx-"))).otherwise(
         F.array(raw("tx-"), raw("tx2-"))
     )
     time = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
@@ -262,7 +263,7 @@ def build_blocks(spark: SparkSession, sf: str) -> DataFrame:
     return events(spark, sf).select(
         F.col("event_id").alias("height"),
         F.to_json(block).alias("block_json"),
-        F.when(k == 17, F.concat(F.lit("{bad"), body)).otherwise(body).alias("results_json"),
+        F.when(bad(17), F.concat(F.lit("{bad"), body)).otherwise(body).alias("results_json"),
     )
 
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass, field
 from typing import Protocol, runtime_checkable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
 
@@ -24,6 +26,66 @@ class Handler(Protocol):
         ...
 
 
+def _names(schema: str) -> list[str]:
+    return [part.split()[0] for part in schema.split(", ")]
+
+
+@dataclass
+class HandlerSpec:
+    """How a store keeps the rows of a handler; what the handler does not state follows from its schema.
+
+    ``height`` is the column that holds the height, ``key`` what makes a row unique (all columns by default),
+    ``records`` the schema of what ``transform`` returns, ``dictionaries`` maps text columns to (dictionary, id column),
+    ``fatal`` lists the reasons that fail a whole height, ``split`` turns records into rows and rejected records.
+    """
+
+    name: str
+    event_types: tuple[str, ...]
+    schema: str
+    transform: Callable[[DataFrame], DataFrame]
+    table: str
+    height: str
+    key: list[str]
+    records: str
+    dictionaries: dict[str, tuple[str, str]] = field(default_factory=dict)
+    fatal: tuple[str, ...] = ()
+    split: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None
+
+    @classmethod
+    def of(cls, handler: Handler) -> HandlerSpec:
+        columns = _names(handler.schema)
+        height = getattr(handler, "height", "height")
+        if height not in columns:
+            raise ValueError(f"handler {handler.name}: its schema lacks the height column {height}")
+        stated = {k: getattr(handler, k) for k in ("dictionaries", "fatal", "split") if getattr(handler, k, None)}
+        return cls(
+            handler.name, tuple(handler.event_types), handler.schema, handler.transform,
+            getattr(handler, "table", f"rows_{handler.name.lower()}"), height, list(getattr(handler, "key", columns)),
+            getattr(handler, "records", f"{handler.schema}, reason string"), **stated,
+        )
+
+    def columns(self) -> list[str]:
+        return _names(self.schema)
+
+    def rows_and_rejects(self, records: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Rows to store and rejected records; rows of a height with a fatal reason are not stored."""
+        if self.split:
+            return self.split(records)
+        rejected = records.where(F.col("reason").isNotNull())
+        rows = records.where(F.col("reason").isNull()).drop("reason")
+        if self.fatal:
+            rows = rows.join(self.failed(records).select(F.col("height").alias(self.height)), self.height, "left_anti")
+        return rows, rejected
+
+    def failed(self, records: DataFrame) -> DataFrame:
+        """Heights that a fatal reason fails: ``height, reason``."""
+        return (
+            records.where(F.col("reason").isin(*self.fatal) if self.fatal else F.lit(False))
+            .groupBy(F.col(self.height).alias("height"))
+            .agg(F.min("reason").alias("reason"))
+        )
+
+
 @runtime_checkable
 class Snapshotter(Protocol):
     """Takes calendar snapshots."""

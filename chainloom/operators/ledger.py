@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from chainloom.constants import DENOM_SEED, SUPPRESSED_TEST_DENOM
 from chainloom.operators.dictionary import dict_encode
-from chainloom.operators.intervals import expand_ranges, points_to_islands
+from chainloom.operators.intervals import expand_ranges, points_to_islands, range_overlap_join
 from chainloom.operators.merge import delete_keys
 
 FAILURE_KEY = ["handler", "height"]
@@ -68,6 +68,43 @@ def record_permanent(ledger: DataFrame, failures: DataFrame, now: Column) -> Dat
     )
 
 
+def fold_failures(log: DataFrame, covered: DataFrame, claimed: DataFrame) -> DataFrame:
+    """The ledger as it follows from what was committed; nothing is updated in place.
+
+    ``log`` is ``(handler, height, reason, permanent, max_retries, seq, at)``, ``covered`` the committed ranges
+    ``(handler, from_height, to_height, seq)``, ``claimed`` the heights ``(handler, height)`` of open retries. A range
+    committed after a failure recovers its heights; later failures start anew. The rules are those of
+    :func:`record_failures` and :func:`record_permanent` applied in the order of ``seq``.
+    """
+    points = log.select("handler", "height").distinct().select(
+        "handler", F.col("height").alias("from_height"), F.col("height").alias("to_height")
+    )
+    recovered = (
+        range_overlap_join(points, covered.select("handler", "from_height", "to_height", F.col("seq").alias("_done")))
+        .groupBy("handler", F.col("from_height").alias("height"))
+        .agg(F.max("_done").alias("_done"))
+    )
+    standing = log.join(recovered, FAILURE_KEY, "left").where(F.col("_done").isNull() | (F.col("seq") > F.col("_done")))
+    so_far = Window.partitionBy(*FAILURE_KEY).orderBy("seq")  # one row per failure of one height
+    tries = standing.withColumn("_n", F.count_if(~F.col("permanent")).over(so_far)).withColumn(
+        "_final", F.col("permanent") | ((F.col("max_retries") > 0) & (F.col("_n") > 1) & (F.col("_n") >= F.col("max_retries")))
+    )
+    return (
+        tries.groupBy(*FAILURE_KEY)
+        .agg(
+            F.max_by("reason", "seq").alias("reason"),
+            F.greatest(F.max("_n"), F.lit(1)).cast("int").alias("retries"),
+            F.bool_or("_final").alias("permanent"),
+            F.min_by("at", "seq").alias("first_seen_at"),
+            F.max_by("at", "seq").alias("last_seen_at"),
+            F.min_by("at", F.when(F.col("_final"), F.col("seq"))).alias("max_retries_reached_at"),
+        )
+        .join(claimed.distinct().withColumn("_claimed", F.lit(True)), FAILURE_KEY, "left")
+        .withColumn("in_retry", F.coalesce("_claimed", F.lit(False)))
+        .drop("_claimed")
+    )
+
+
 def fail_range(ranges: DataFrame, handlers: DataFrame, reason: Column) -> DataFrame:
     """One failure per handler and height of the failed ranges, ready to record.
 
@@ -180,6 +217,29 @@ def heartbeat(runs: DataFrame, manifest: DataFrame) -> DataFrame:
     )
 
 
+def runs_from_manifest(spans: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Runs with totals and last sign of life derived from the committed batches that name them.
+
+    ``spans`` holds starts and ends only, so no stored sum can drift or be added twice. A run that a later one
+    found open is closed at its last sign of life.
+    """
+    totals = manifest.where("handler is null and run_id is not null").groupBy(F.col("run_id").alias("id")).agg(
+        F.sum("blocks").alias("blocks_indexed"), F.sum("rows").alias("rows_written"), F.max("committed_at").alias("_beat")
+    )
+    newest = spans.agg(F.max("id")).scalar()
+    left_open = F.col("ended_at").isNull() & (F.col("id") < newest)
+    beat = F.coalesce(F.greatest("started_at", "_beat"), "started_at")
+    return spans.join(totals, "id", "left").select(
+        "id",
+        "started_at",
+        beat.alias("last_heartbeat"),
+        F.when(left_open, beat).otherwise(F.col("ended_at")).alias("ended_at"),
+        F.coalesce("blocks_indexed", F.lit(0)).cast("bigint").alias("blocks_indexed"),
+        F.coalesce("rows_written", F.lit(0)).cast("bigint").alias("rows_written"),
+        F.when(left_open, "interrupted").otherwise(F.col("end_reason")).alias("end_reason"),
+    )
+
+
 def end_run(runs: DataFrame, ids: DataFrame, reason: Column, now: Column) -> DataFrame:
     """Close the listed runs; the first end and reason stay."""
     listed = runs.join(ids.select("id").distinct().withColumn("_end", F.lit(True)), "id", "left")

@@ -2,29 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainloom import schemas
 from chainloom.constants import RELAY_EVENT_TYPE, RELAY_HANDLER
+from chainloom.extend import Handler, HandlerSpec
 from chainloom.operators.dictionary import dict_decode, dict_encode, dict_lookup
 from chainloom.operators.events import (
     BAD_HASH,
-    dispatch_events,
     mark_records,
     split_records,
     unpivot_indexed_attrs,
 )
-from chainloom.operators.intervals import points_to_islands
-from chainloom.operators.ledger import clear_recovered, pop_failures, record_failures
 from chainloom.operators.merge import first_per_key
 from chainloom.operators.rollup import ROLLUP_KEYS, ROLLUP_SUMS, add_rollups, daily_by_id, relay_daily
+from chainloom.plans.store import EventStore
 from chainloom.session import cut
-from chainloom.sinks.tables import BatchTable, VersionedTable, discard
-from chainloom.sources.blocks import decode_errors, explode_events, parse_blocks
+from chainloom.sources.blocks import decode_errors, parse_blocks, stage_blocks, staged_events
 
 FACT_COLUMNS = [
     "block_height", "tx_hash", "event_idx", "record_idx", "timestamp", "provider_id", "chain_id",
@@ -40,21 +38,22 @@ class RelayHandler:
     name: str = RELAY_HANDLER
     event_types: tuple[str, ...] = (RELAY_EVENT_TYPE,)
     schema: str = schemas.FACTS
+    table: str = "relay_payments"
+    height: str = "block_height"
+    key: list[str] = field(default_factory=lambda: list(schemas.FACT_KEY))
+    records: str = schemas.QUARANTINE
+    dictionaries: dict[str, tuple[str, str]] = field(
+        default_factory=lambda: {"provider": ("providers", "provider_id"), "chain": ("chains", "chain_id")}
+    )
+    fatal: tuple[str, ...] = (BAD_HASH,)
 
     def transform(self, events: DataFrame) -> DataFrame:
         """Text-keyed records, with the reason for those that do not fit the fact types."""
         return mark_records(unpivot_indexed_attrs(events))
 
-
-def relay_records(
-    spark: SparkSession, parsed: DataFrame, handler: RelayHandler | None = None
-) -> DataFrame:
-    """Marked relay records of parsed blocks."""
-    handler = handler or RelayHandler()
-    routed = dispatch_events(
-        spark, explode_events(parsed), [(handler.name, t) for t in handler.event_types]
-    )
-    return handler.transform(routed)
+    def split(self, records: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Facts, and the records that fit none."""
+        return split_records(records)
 
 
 def encode_facts(facts: DataFrame, providers: DataFrame, chains: DataFrame) -> DataFrame:
@@ -74,9 +73,10 @@ def relay_batch(
     not decode or carry a bad transaction hash; ``heights`` are the heights done. ``keep`` stores
     the decoded rows once, since everything below reads them several times.
     """
-    parsed = parse_blocks(raw)
-    records = keep(relay_records(spark, parsed), "records")
-    decoded = keep(parsed.select("height", "error"), "heights")
+    handler = RelayHandler()
+    staged = keep(stage_blocks(parse_blocks(raw), handler.event_types), "blocks")
+    records = keep(handler.transform(staged_events(staged, handler.event_types)), "records")
+    decoded = staged.select("height", "error")
     facts, quarantine = split_records(records)
     bad = decode_errors(decoded).unionByName(
         quarantine.where(F.col("reason") == BAD_HASH)
@@ -115,106 +115,20 @@ _WHOLE = {
 }
 
 
-def _columns(schema: str) -> list[str]:
-    return [part.split()[0] for part in schema.split(", ")]
-
-
-class RelayStore:
-    """Stored tables of the relay ingest under one root directory."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
-        self.facts = BatchTable(spark, f"{root}/relay_payments", schemas.FACTS)
-        self.providers = VersionedTable(spark, f"{root}/providers", schemas.DICTIONARY)
-        self.chains = VersionedTable(spark, f"{root}/chains", schemas.DICTIONARY)
-        self.failures = VersionedTable(spark, f"{root}/failures", schemas.FAILURES)
-        rollup = "date date, chain_id int, provider_id int, " + ", ".join(
-            f"{c} {'bigint' if c in _WHOLE else 'double'}" for c in ROLLUP_SUMS
-        )
-        self.deltas = BatchTable(
-            spark, f"{root}/rollup_deltas", rollup, manifest=self.facts.manifest_path
-        )
-        self.quarantine = BatchTable(
-            spark, f"{root}/quarantine", schemas.QUARANTINE, manifest=self.facts.manifest_path
-        )
-
-    def ingest(
-        self, raw: DataFrame, batch_id: str, now: Column, max_retries: int = 0, rollup: bool = True
-    ) -> None:
-        """Store one batch. A committed id is never touched again, whatever ``raw`` holds.
-
-        Ids must be unique per checkpoint. Order of writes: decoded rows to a staging folder (so blocks are decoded once),
-        dictionaries (they only grow), facts, quarantine and rollup delta (own partitions), failure ledger
-        (tagged with the batch), manifest (makes the batch visible). A crash at any point leaves
-        the old state visible, and a replay completes the batch.
-        """
-        if self.facts.committed(batch_id):
-            return
-        spark = self.spark
-        staging = f"{self.root}/staging/{batch_id}"
-
-        def keep(df: DataFrame, name: str) -> DataFrame:
-            df.write.mode("overwrite").parquet(f"{staging}/{name}")
-            return spark.read.schema(df.schema).parquet(f"{staging}/{name}")
-
-        batch = relay_batch(spark, raw, keep)
-        for dictionary, text in ((self.providers, "provider"), (self.chains, "chain")):
-            self._grow(dictionary, batch["facts"], text)
-        others = self.facts.read().where(F.col("batch_id") != batch_id)
-        # a fact of another batch has the same height, so only overlapping heights are compared
-        fresh = encode_facts(batch["facts"], self.providers.read(), self.chains.read()).join(
-            others.select(*schemas.FACT_KEY), schemas.FACT_KEY, "left_anti"
-        )
-        self.facts.write_batch(fresh, batch_id)
-        # records that fit no fact are kept beside the facts of their batch
-        self.quarantine.write_batch(batch["quarantine"].select(*_columns(schemas.QUARANTINE)), batch_id)
-        written = self.facts.read_batch(batch_id)
-        if rollup:
+class RelayStore(EventStore):
+    """The relay handler's tables with their dictionaries and daily rollup, and those of further handlers."""
+
+    def __init__(self, spark: SparkSession, root: str, handlers: Iterable[Handler] = (), rollup: bool = True):
+        super().__init__(spark, root, [RelayHandler(), *handlers])
+        self.rollup = rollup
+        self.facts, self.quarantine = self.tables[RELAY_HANDLER], self.rejected[RELAY_HANDLER]
+        self.providers, self.chains = self.dictionaries["providers"], self.dictionaries["chains"]
+        measures = ", ".join(f"{c} {'bigint' if c in _WHOLE else 'double'}" for c in ROLLUP_SUMS)
+        self.deltas = self._batches("rollup_deltas", f"date date, chain_id int, provider_id int, {measures}")
+
+    def after_write(self, spec: HandlerSpec, written: DataFrame, batch_id: str) -> None:
+        if self.rollup and spec.name == RELAY_HANDLER:
             self.deltas.write_batch(daily_by_id(written), batch_id)
-        if self.failures.tag() != batch_id:
-            failed = batch["failures"].withColumn("seq", F.lit(0).cast("bigint"))
-            ledger = clear_recovered(self.failures.read(), batch["heights"])
-            ledger = record_failures(ledger, failed, now, max_retries)
-            self.failures.replace(ledger.select(*_columns(schemas.FAILURES)), tag=batch_id)
-        total = written.agg(F.count(F.lit(1))).scalar()
-        islands = points_to_islands(batch["heights"])
-        lowest = islands.agg(F.min("from_height")).scalar()
-        self.facts.commit(
-            islands.select(
-                "handler",
-                "from_height",
-                "to_height",
-                (F.col("to_height") - F.col("from_height") + 1).alias("blocks"),
-                # the row count of the batch stands once, next to its lowest range
-                F.when(F.col("from_height") == lowest, total).otherwise(0).alias("rows"),
-                now.alias("committed_at"),
-            ),
-            batch_id,
-        )
-        discard(spark, staging)
-
-    def _grow(self, dictionary: VersionedTable, facts: DataFrame, text: str) -> None:
-        """Add unseen texts to a dictionary; most batches bring none and write nothing."""
-        known = dictionary.read()
-        unseen = facts.select(F.col(text).alias("value")).join(known, "value", "left_anti")
-        if not unseen.isEmpty():
-            dictionary.replace(dict_encode(facts, known, text))
-
-    def retry_failures(
-        self, raw: DataFrame, batch_id: str, now: Column, limit: int, max_retries: int
-    ) -> None:
-        """Take waiting heights (highest first) out of the ledger and ingest them again.
-
-        ``raw`` is the landed table; only the popped heights are read from it. A height that
-        fails again returns to the ledger with its counter raised. A committed id changes nothing; after a
-        crash the heights already taken are still marked and go into this call.
-        """
-        if self.facts.committed(batch_id):
-            return
-        popped, marked = pop_failures(self.failures.read(), limit)
-        self.failures.replace(marked)
-        waiting = self.failures.read().where("in_retry").select("height").distinct()
-        self.ingest(raw.join(waiting, "height", "left_semi"), batch_id, now, max_retries)
 
     def daily(self) -> DataFrame:
         """Rollup of everything committed, summed from the small per-batch deltas."""

@@ -67,9 +67,19 @@ RUNS = (
     "id bigint, started_at timestamp, last_heartbeat timestamp, ended_at timestamp, "
     "blocks_indexed bigint, rows_written bigint, end_reason string"
 )
+#: One row per covered range; a batch of several tables also has one row without handler that carries its totals.
 MANIFEST = (
     "batch_id string, handler string, from_height bigint, to_height bigint, blocks bigint, "
-    "rows bigint, committed_at timestamp"
+    "rows bigint, committed_at timestamp, seq bigint, run_id bigint"
+)
+#: What happened to heights, batch by batch; the failure ledger is folded from it.
+FAILURE_LOG = (
+    "handler string, height bigint, reason string, permanent boolean, max_retries int, seq bigint, at timestamp"
+)
+#: Heights a retry took out of the ledger; open until their batch is committed.
+CLAIMS = "handler string, height bigint"
+RUN_SPANS = (
+    "id bigint, started_at timestamp, ended_at timestamp, end_reason string"
 )
 REWARD_SNAPSHOTS = (
     "block_height bigint, snapshot_date date, block_time timestamp, provider_count bigint, "

@@ -121,6 +121,24 @@ class BatchTable:
         """Rows written for one batch, committed or not."""
         return self.spark.read.schema(self.schema).parquet(f"{self.path}/batch_id={batch_id}")
 
+    def read_batches(self, batch_ids: list[str]) -> DataFrame:
+        """Rows of some batches; only their folders are listed and read."""
+        files = _Files(self.spark, self.path)
+        paths = [p for b in batch_ids if files.exists(f"{(p := f'{self.path}/batch_id={b}')}/{_MARKER}")]
+        schema = f"{self.schema}, batch_id string"
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", self.path).parquet(*paths)
+
+    def written(self, batch_id: str) -> bool:
+        """Whether the rows of a batch are complete, committed or not."""
+        target = f"{self.path}/batch_id={batch_id}"
+        return _Files(self.spark, target).exists(f"{target}/{_MARKER}")
+
+    def batches(self) -> list[str]:
+        """Ids of the batches written so far, committed or not."""
+        return sorted(c.rsplit("batch_id=", 1)[1] for c in _Files(self.spark, self.path).children(self.path) if "batch_id=" in c)
+
     def write_batch(self, df: DataFrame, batch_id: str) -> None:
         """Write the rows of one batch; writing it again replaces exactly these rows."""
         # AQE splits or joins the output files by size
@@ -171,7 +189,7 @@ class BatchTable:
 
     def coverage(self) -> DataFrame:
         """Covered ranges derived from the manifest, so rows and coverage cannot disagree."""
-        return self.manifest().select("handler", "from_height", "to_height")
+        return self.manifest().where("handler is not null").select("handler", "from_height", "to_height")
 
 
 def refresh_view(table: VersionedTable, build) -> int:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,31 +81,50 @@ def _event_array() -> str:
     return "array<struct<type: string, attributes: array<struct<key: string, value: string>>>>"
 
 
+def _attribute_map(attributes: Column) -> Column:
+    """Attributes as a map; a repeated key keeps its last value (session option set by ``configure``)."""
+    none = F.from_json(F.lit("[]"), "array<struct<key: string, value: string>>")
+    return F.map_from_entries(
+        F.transform(
+            F.coalesce(attributes, none),
+            lambda a: F.struct(
+                F.coalesce(a["key"], F.lit("")).alias("key"), F.coalesce(a["value"], F.lit("")).alias("value")
+            ),
+        )
+    )
+
+
 def explode_events(parsed: DataFrame) -> DataFrame:
     """Event rows ``height, time, tx_hash, type, attrs, event_idx`` of decodable heights.
 
-    The position in the block is the event index. A repeated attribute key keeps its last value
-    (session option set by ``configure``).
+    The position in the block is the event index.
     """
     return (
         parsed.where(F.col("error").isNull())
         .select("height", "time", F.posexplode("events").alias("event_idx", "_e"))
-        .select(
-            "height",
-            "time",
-            "_e.tx_hash",
-            "_e.type",
-            F.map_from_entries(
-                F.transform(
-                    F.coalesce(F.col("_e.attributes"), F.from_json(F.lit("[]"), "array<struct<key: string, value: string>>")),
-                    lambda a: F.struct(
-                        F.coalesce(a["key"], F.lit("")).alias("key"),
-                        F.coalesce(a["value"], F.lit("")).alias("value"),
-                    ),
-                )
-            ).alias("attrs"),
-            "event_idx",
-        )
+        .select("height", "time", "_e.tx_hash", "_e.type", _attribute_map(F.col("_e.attributes")).alias("attrs"), "event_idx")
+    )
+
+
+def stage_blocks(parsed: DataFrame, types: Iterable[str]) -> DataFrame:
+    """Parsed blocks with the events of the wanted types only, each with its place in the block.
+
+    Written once, this is all that handlers read; the JSON is parsed a single time.
+    """
+    placed = F.transform(
+        "events",
+        lambda e, i: F.struct(e["tx_hash"].alias("tx_hash"), e["type"].alias("type"), e["attributes"].alias("attributes"), i.alias("event_idx")),
+    )
+    wanted = F.filter(placed, lambda e: e["type"].isin(sorted(set(types))))
+    return parsed.select("height", "time", "error", F.when(F.col("error").isNull(), wanted).alias("events"))
+
+
+def staged_events(staged: DataFrame, types: Iterable[str]) -> DataFrame:
+    """Event rows of some types, as :func:`explode_events` gives them, from staged blocks."""
+    return (
+        staged.select("height", "time", F.explode("events").alias("_e"))
+        .where(F.col("_e.type").isin(sorted(set(types))))
+        .select("height", "time", "_e.tx_hash", "_e.type", _attribute_map(F.col("_e.attributes")).alias("attrs"), "_e.event_idx")
     )
 
 
@@ -188,6 +209,18 @@ def pair_batch_replies(replies: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, marked.where(F.col("reason").isNotNull()).select("height", "reason")
 
 
+def parse_replies(replies: DataFrame) -> DataFrame:
+    """As :func:`parse_blocks` for stored batch replies; heights without a pair carry the error of their reply."""
+    good, bad = pair_batch_replies(replies)
+    parsed = parse_blocks(good)
+    lost = bad.select("height", F.col("reason").alias("error"))
+    return parsed.unionByName(lost, allowMissingColumns=True)
+
+
+#: How landed rows of each shape become parsed blocks.
+SHAPES = {"rpc": parse_blocks, "rest": parse_rest_blocks, "replies": parse_replies}
+
+
 def block_headers(raw: DataFrame) -> DataFrame:
     """``(height, time)`` of landed blocks; only the header of the JSON is read."""
     header = "block struct<header: struct<height: string, time: string>>"

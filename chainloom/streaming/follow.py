@@ -15,13 +15,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chainloom import schemas
-from chainloom.plans.ingest import RelayStore
+from chainloom.plans.store import EventStore
+
+_LANDED = {"rpc": schemas.LANDED_BLOCKS, "rest": schemas.LANDED_REST, "replies": schemas.BATCH_REPLIES}
 
 
 def follow_tip(
     spark: SparkSession,
     landing: str,
-    store: RelayStore,
+    store: EventStore,
     checkpoint: str,
     fmt: str = "parquet",
     max_files: int = 64,
@@ -29,15 +31,17 @@ def follow_tip(
     available_now: bool = True,
     interval: str = "10 seconds",
     name: str = "follow",
+    shape: str = "rpc",
+    run_id: int | None = None,
 ) -> StreamingQuery:
-    """Ingest landed block files as they appear.
+    """Ingest landed block files as they appear; ``shape`` says how blocks landed, ``run_id`` names the run they count for.
 
     ``available_now`` takes everything present and stops (a bounded run); otherwise the query
     keeps polling. Batch ids carry ``name`` and the checkpoint's id, so no two streams collide.
     """
     stream = (
         spark.readStream.format(fmt)
-        .schema(schemas.LANDED_BLOCKS)
+        .schema(_LANDED[shape])
         .option("maxFilesPerTrigger", max_files)
         .load(landing)
     )
@@ -47,12 +51,7 @@ def follow_tip(
         return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
     def persist(batch: DataFrame, batch_id: int) -> None:
-        # the batch is read more than once below
-        rows = batch.persist()
-        try:
-            store.ingest(rows, f"{name}-{checkpoint_id()}-{batch_id:012d}", F.current_timestamp(), max_retries)
-        finally:
-            rows.unpersist()
+        store.ingest(batch, f"{name}-{checkpoint_id()}-{batch_id:012d}", F.current_timestamp(), max_retries, run_id, shape)
 
     writer = stream.writeStream.foreachBatch(persist).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
