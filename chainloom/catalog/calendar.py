@@ -223,18 +223,44 @@ SELECT {_MONTH_SQL} AS snapshot_date, m AS block_height, s_name AS provider, n_n
 FROM ln0 LEFT JOIN meta ON meta.b = ln0.b WHERE m % 6 <> 5 AND NOT coalesce(suppress, false))"""
 
 
-def _priced(spark, sf):
+def _priced(spark, sf, tail=None):
     supplier = table(spark, sf, "supplier").select(F.col("s_suppkey").cast("int").alias("id"), F.col("s_name").alias("value"))
     nation = table(spark, sf, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("value"))
+    rewards = _rewards(spark, sf)
+    if tail:
+        text = F.concat((F.col("amount") / 10000).cast("bigint").cast("string"), F.lit(tail))
+        rewards = rewards.withColumn("amount_text", text).withColumn("amount", F.col("amount_text").try_cast("decimal(38,0)"))
     return sn.priced_rewards(
-        _rewards(spark, sf), _snapshots(spark, sf), supplier, nation,
+        rewards, _snapshots(spark, sf), supplier, nation,
         _denoms(spark, sf), _metadata(spark, sf), _prices(spark, sf),
     )
 
 
 @query("priced_rewards", f"{_PRICED_SQL} SELECT * FROM priced")
 def priced_rewards(spark, sf):
-    return _priced(spark, sf).drop("block_time")
+    return _priced(spark, sf).drop("block_time", "raw_text", "display_text", "value_text")
+
+
+#: Digits behind the amounts of the exact queries; with them amounts have up to 40.
+_TAIL = "7".rjust(32, "0")
+
+
+@query(
+    "priced_rewards_exact",
+    f"""WITH {_LINES_SQL}, big AS (SELECT m AS block_height, s_name AS provider, n_name AS spec, CAST(ln % 4 AS BIGINT) AS source_kind,
+  CASE WHEN ln0.b % 3 = 0 THEN 'ibc/H' || ln0.b ELSE p_brand END AS source_denom, CAST(cents AS VARCHAR) || '{_TAIL}' AS raw_text,
+  CASE WHEN factor IS NOT NULL THEN length(CAST(factor AS BIGINT)::VARCHAR) - 1 END AS fd, CASE WHEN ln0.b % 5 <> 4 THEN (m * 7 + ln0.b) % 1000 END AS p, cents
+  FROM ln0 LEFT JOIN meta ON meta.b = ln0.b WHERE m % 6 <> 5 AND NOT coalesce(suppress, false)),
+mul AS (SELECT *, CAST(cents * p AS VARCHAR) || lpad(CAST(7 * p AS VARCHAR), 32, '0') AS product FROM big)
+SELECT block_height, provider, spec, source_kind, source_denom, raw_text,
+  CASE WHEN fd IS NOT NULL THEN left(raw_text, length(raw_text) - fd) || '.' || rpad(right(raw_text, fd), 18, '0') END AS display_text,
+  CASE WHEN fd IS NULL OR p IS NULL THEN NULL WHEN p = 0 THEN '0.000000000000'
+       ELSE left(product, length(product) - fd - 2) || '.' || rpad(right(product, fd + 2), 12, '0') END AS value_text FROM mul""",
+)
+def priced_rewards_exact(spark, sf):
+    """Amounts of up to 40 digits, shown and valued to the last place."""
+    columns = ["block_height", "provider", "spec", "source_kind", "source_denom", "raw_text", "display_text", "value_text"]
+    return _priced(spark, sf, _TAIL).select(*columns)
 
 
 @query(
@@ -280,7 +306,7 @@ def load_bearing_first(spark, sf):
 # --- stored responses -------------------------------------------------------------------------
 
 
-def _responses(spark, sf):
+def _responses(spark, sf, tail=""):
     """One stored rewards response per line.
 
     The quantity picks what went wrong: rate limits (many in every seventh month), pruned
@@ -296,7 +322,7 @@ def _responses(spark, sf):
     amount = (
         F.when((m % 29 == 0) & (q == 8), F.lit("1.5"))
         .when((m % 37 == 0) & (q == 10), F.lit("abc.0"))
-        .otherwise(F.concat(F.col("cents").cast("string"), F.lit(".000")))
+        .otherwise(F.concat(F.col("cents").cast("string"), F.lit(f"{tail}.000")))
     )
     coin = lambda d, a: F.struct(d.alias("denom"), a.alias("amount"))
     coins = F.when(
@@ -428,10 +454,10 @@ def drop_suppressed(spark, sf):
     return kept.groupBy("source_denom").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _rewards_plan(spark, sf):
+def _rewards_plan(spark, sf, tail=""):
     supplier = table(spark, sf, "supplier").select(F.col("s_suppkey").cast("int").alias("id"), F.col("s_name").alias("value"))
     return rewards_plan(
-        _targets(spark, sf), _responses(spark, sf), _metadata(spark, sf), _denoms(spark, sf),
+        _targets(spark, sf), _responses(spark, sf, tail), _metadata(spark, sf), _denoms(spark, sf),
         supplier, s.empty_dictionary(spark), _traces(spark, sf),
     )
 
@@ -458,9 +484,7 @@ def rewards_snapshot(spark, sf):
     return _rewards_plan(spark, sf)["snapshots"].drop("block_time")
 
 
-@query(
-    "rewards_snapshot_rows",
-    f"""WITH {_VERDICT_SQL},
+_REWARD_ROWS_SQL = f"""WITH {_VERDICT_SQL},
 am AS (SELECT m, s_name, CASE WHEN q = 7 THEN 3 WHEN ln % 4 = 3 THEN 2 ELSE ln % 4 END AS kind, CASE WHEN q = 7 THEN '' ELSE n_name END AS spec,
    source_denom, p_brand, amount_text, pos, q, ln FROM live),
 rows_ AS (SELECT m, s_name, kind, spec, source_denom, CASE WHEN source_denom IN ('ibc/', 'ibc/H24') THEN NULL ELSE p_brand END AS resolved, amount_text, pos, 0 AS ap FROM am
@@ -468,10 +492,28 @@ rows_ AS (SELECT m, s_name, kind, spec, source_denom, CASE WHEN source_denom IN
             'unative', 'unative', CAST(q AS VARCHAR), pos, 1 FROM res JOIN g2 USING (m) WHERE g2.status = 'ok' AND outcome = 'fetched' AND q <> 6 AND ln % 2 = 0),
 num AS (SELECT r.*, row_number() OVER (PARTITION BY r.m, s_name, kind, spec, source_denom, resolved ORDER BY pos, ap, CAST(amount_text AS BIGINT)) AS rn
   FROM rows_ r JOIN snaps ON snaps.m = r.m AND snaps.status = 'ok' WHERE resolved IS NOT NULL)
-SELECT m AS block_height, s_name AS provider, spec, CAST(kind AS BIGINT) AS source_kind, source_denom, resolved AS resolved_denom, amount_text AS amount FROM num WHERE rn = 1""",
+"""
+
+
+@query(
+    "rewards_snapshot_rows",
+    f"""{_REWARD_ROWS_SQL} SELECT m AS block_height, s_name AS provider, spec, CAST(kind AS BIGINT) AS source_kind, source_denom, resolved AS resolved_denom, amount_text AS amount FROM num WHERE rn = 1""",
 )
 def rewards_snapshot_rows(spark, sf):
-    out = _rewards_plan(spark, sf)
+    return _named_rewards(_rewards_plan(spark, sf)).drop("amount_text")
+
+
+@query(
+    "rewards_rows_exact",
+    f"""{_REWARD_ROWS_SQL} SELECT m AS block_height, s_name AS provider, spec, CAST(kind AS BIGINT) AS source_kind, source_denom, resolved AS resolved_denom,
+  amount_text || CASE WHEN source_denom = 'unative' THEN '' ELSE '{_TAIL}' END AS amount_text FROM num WHERE rn = 1""",
+)
+def rewards_rows_exact(spark, sf):
+    """Responses whose amounts have up to 40 digits."""
+    return _named_rewards(_rewards_plan(spark, sf, _TAIL)).drop("amount")
+
+
+def _named_rewards(out):
     text = lambda d, key, name: out[d].select(F.col("id").alias(key), F.col("value").alias(name))
     return (
         out["rewards"]
@@ -555,13 +597,13 @@ def price_responses(spark, sf):
 # --- supply -----------------------------------------------------------------------------------
 
 
-def _supply_responses(spark, sf):
+def _supply_responses(spark, sf, tail=""):
     """Monthly supply falling by the order totals of the month; some answers are broken."""
     date = F.col("o_orderdate")
     monthly = table(spark, sf, "orders").groupBy((F.year(date) * 12 + F.month(date)).cast("bigint").alias("m")).agg(
         F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents")
     )
-    m, text = F.col("m"), F.lit(10**17).cast("bigint") - F.col("cents")
+    m, text = F.col("m"), F.concat((F.lit(10**17).cast("bigint") - F.col("cents")).cast("string"), F.lit(tail))
     coin = lambda d, a: F.struct(F.lit(d).alias("denom"), a.cast("string").alias("amount"))
     coins = (
         F.when(m % 11 == 3, F.array(coin("uatom", F.lit(5)), coin("uosmo", F.lit(6))))
@@ -591,7 +633,18 @@ sup AS (SELECT m, {_MONTH_SQL} AS snapshot_date, 100000000000000000 - cents AS s
   CAST(CASE WHEN error IS NULL THEN supply ELSE 0 END AS VARCHAR) AS total_supply, CASE WHEN error IS NULL THEN 'ok' ELSE 'failed' END AS status, error FROM sup""",
 )
 def supply_snapshot(spark, sf):
-    return price_plan.supply_snapshot(_supply_responses(spark, sf))
+    return price_plan.supply_snapshot(_supply_responses(spark, sf)).drop("supply_text")
+
+
+@query(
+    "supply_exact",
+    f"""WITH {_SUPPLY_SQL}, big AS (SELECT snapshot_date, supply, supply - lag(supply) OVER (ORDER BY snapshot_date) AS grown FROM sup WHERE error IS NULL)
+SELECT snapshot_date, CAST(supply AS VARCHAR) || '{"9" * 23}' AS total_supply,
+  CASE WHEN grown IS NULL THEN NULL WHEN grown = 0 THEN '0' ELSE CAST(-grown AS VARCHAR) || '{"0" * 23}' END AS burned FROM big""",
+)
+def supply_exact(spark, sf):
+    """Supplies of 40 digits and what was burned between them."""
+    return sn.supply_burn(price_plan.supply_snapshot(_supply_responses(spark, sf, "9" * 23))).drop("previous_supply")
 
 
 @query(

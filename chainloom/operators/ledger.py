@@ -86,14 +86,15 @@ def fold_failures(log: DataFrame, covered: DataFrame, claimed: DataFrame) -> Dat
     )
     standing = log.join(recovered, FAILURE_KEY, "left").where(F.col("_done").isNull() | (F.col("seq") > F.col("_done")))
     so_far = Window.partitionBy(*FAILURE_KEY).orderBy("seq")  # one row per failure of one height
-    tries = standing.withColumn("_n", F.count_if(~F.col("permanent")).over(so_far)).withColumn(
+    counts = ~F.col("permanent") | F.col("_first")  # a permanent failure is a try only where it is the first
+    tries = standing.withColumn("_first", F.row_number().over(so_far) == 1).withColumn("_n", F.count_if(counts).over(so_far)).withColumn(
         "_final", F.col("permanent") | ((F.col("max_retries") > 0) & (F.col("_n") > 1) & (F.col("_n") >= F.col("max_retries")))
     )
     return (
         tries.groupBy(*FAILURE_KEY)
         .agg(
             F.max_by("reason", "seq").alias("reason"),
-            F.greatest(F.max("_n"), F.lit(1)).cast("int").alias("retries"),
+            F.max("_n").cast("int").alias("retries"),
             F.bool_or("_final").alias("permanent"),
             F.min_by("at", "seq").alias("first_seen_at"),
             F.max_by("at", "seq").alias("last_seen_at"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chainloom.constants import NATIVE_PRICE_ID
-from chainloom.functions.numbers import display_amount, value_usd
+from chainloom.functions.wide import difference_text, product_text, quotient_text
 
 
 def slots_due(slots: DataFrame, snapshots: DataFrame) -> DataFrame:
@@ -168,7 +168,9 @@ def priced_rewards(
 ) -> DataFrame:
     """Rewards of good snapshots with display amount, price and value.
 
-    Suppressed denoms are left out; a denom without metadata or price keeps its row with NULLs.
+    Suppressed denoms are left out; a denom without metadata or price keeps its row with NULLs. The columns that end in
+    ``_text`` are exact for amounts of up to 40 digits; the decimals beside them are NULL where they don't hold the value.
+    ``rewards`` may lack ``amount_text``.
     """
     ok = snapshots.where(F.col("status") == "ok").select("block_height", "snapshot_date", "block_time")
     texts = lambda d, key, out: d.select(F.col("id").alias(key), F.col("value").alias(out))
@@ -181,8 +183,10 @@ def priced_rewards(
         .where(~F.coalesce(F.col("suppress"), F.lit(False)))
         .join(prices.select("snapshot_date", "denom_id", "price_usd"), ["snapshot_date", "denom_id"], "left")
     )
-    shown = joined.withColumn("display_amount", display_amount(F.col("amount"), F.col("factor")))
-    return shown.select(
+    raw = F.col("amount_text") if "amount_text" in rewards.columns else F.col("amount").cast("string")
+    texts_ = joined.withColumn("_raw", raw).withColumn("_shown", quotient_text(F.col("_raw"), F.col("factor")))
+    valued = texts_.withColumn("_value", product_text(F.col("_shown"), F.col("price_usd")))
+    return valued.select(
         "snapshot_date",
         "block_height",
         "block_time",
@@ -193,17 +197,25 @@ def priced_rewards(
         "resolved_denom",
         F.col("base_denom").alias("display_denom"),
         F.col("amount").alias("raw_amount"),
-        "display_amount",
+        F.col("_shown").try_cast("decimal(38,18)").alias("display_amount"),
         "price_usd",
-        value_usd(F.col("display_amount"), F.col("price_usd")).alias("value_usd"),
+        F.col("_value").try_cast("decimal(38,12)").alias("value_usd"),
+        F.col("_raw").alias("raw_text"),
+        F.col("_shown").alias("display_text"),
+        F.col("_value").alias("value_text"),
     )
 
 
 def supply_burn(snapshots: DataFrame) -> DataFrame:
-    """Supply lost since the previous good snapshot; one row per calendar snapshot."""
+    """Supply lost since the previous good snapshot, as exact texts; one row per calendar snapshot."""
     w = Window.orderBy("snapshot_date")
     return (
         snapshots.where(F.col("status") == "ok")
-        .select("snapshot_date", "total_supply", F.lag("total_supply").over(w).alias("previous_supply"))
-        .withColumn("burned", F.col("previous_supply") - F.col("total_supply"))
+        .select("snapshot_date", "supply_text", F.lag("supply_text").over(w).alias("_previous"))
+        .select(
+            "snapshot_date",
+            F.col("supply_text").alias("total_supply"),
+            F.col("_previous").alias("previous_supply"),
+            difference_text(F.col("_previous"), F.col("supply_text")).alias("burned"),
+        )
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chainloom import schemas
+from chainloom.functions.wide import order_key, whole_text
 from chainloom.operators.dictionary import dict_encode, dict_lookup
 from chainloom.operators.merge import first_per_key
 from chainloom.operators.snapshots import drop_suppressed, provider_count, resolve_denoms, snapshot_gate
@@ -75,6 +76,8 @@ def rewards_snapshot(
     rows = (
         resolved.where(F.col("resolved_denom").isNotNull())
         .join(good, "height", "left_semi")
+        # amounts have up to 40 digits: the text is exact, the decimal is NULL beyond 38
+        .withColumn("amount_text", F.coalesce(whole_text(F.col("amount_text")), F.lit("")))
         .withColumn("amount", F.col("amount_text").try_cast("decimal(38,0)"))
     )
     providers_next = dict_encode(
@@ -89,15 +92,15 @@ def rewards_snapshot(
     )
     # a repeated key keeps its first amount in response order
     rewards = first_per_key(
-        coded.where(F.col("amount").isNotNull()),
+        coded.where(F.col("amount_text") != ""),
         schemas.REWARD_KEY,
-        ["position", "entry_pos", "amount_pos", "amount"],
-    ).select(*schemas.REWARD_KEY, "amount")
+        ["position", "entry_pos", "amount_pos", order_key(F.col("amount_text"))],
+    ).select(*schemas.REWARD_KEY, "amount", "amount_text")
     return {
         "snapshots": snapshots,
         "rewards": rewards,
         "providers": providers_next,
         "specs": specs_next,
         "denoms": denoms_next,
-        "quarantine": rows.where(F.col("amount").isNull()),
+        "quarantine": rows.where(F.col("amount_text") == ""),
     }

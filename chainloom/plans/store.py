@@ -10,13 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chainloom import schemas
+from chainloom.constants import HEIGHT_BUCKET
 from chainloom.extend import Handler, HandlerSpec
 from chainloom.operators.dictionary import dict_encode, dict_lookup
-from chainloom.operators.intervals import points_to_islands, range_overlap_join
 from chainloom.operators.ledger import fold_failures, pop_failures, runs_from_manifest
 from chainloom.operators.merge import first_per_key
 from chainloom.sinks.tables import BatchTable, VersionedTable, discard
@@ -24,6 +24,22 @@ from chainloom.sources.blocks import SHAPES, stage_blocks, staged_events
 from chainloom.sources.landed import LandedBlocks
 
 
+def islands_in_buckets(heights: DataFrame) -> DataFrame:
+    """Consecutive heights ``(handler, height)`` as ranges, cut at the edges of height buckets.
+
+    Coverage may touch or overlap, as readers merge it, so a batch needs no pass across buckets.
+    """
+    bucket = F.floor(F.col("height") / HEIGHT_BUCKET)
+    placed = heights.select("handler", "height", bucket.alias("_bucket"))
+    order = Window.partitionBy("handler", "_bucket").orderBy("height")
+    return (
+        placed.withColumn("_island", F.col("height") - F.row_number().over(order))
+        .groupBy("handler", "_bucket", "_island")
+        .agg(F.min("height").alias("from_height"), F.max("height").alias("to_height"))
+        .select("handler", "from_height", "to_height")
+    )
+
+
 class EventStore:
     """Tables of the selected handlers under one root directory.
 
@@ -106,9 +122,20 @@ class EventStore:
         near = self.manifest().where(
             (F.col("batch_id") != but) & F.col("handler").isNotNull() & (F.col("from_height") <= zone[1]) & (F.col("to_height") >= zone[0])
         )
-        if near.isEmpty():
-            return []
-        met = range_overlap_join(near.select("batch_id", "handler", "from_height", "to_height"), islands)
+
+        def spread(df: DataFrame, *columns: str) -> DataFrame:
+            at = lambda c: F.floor(F.col(c) / HEIGHT_BUCKET)
+            return df.select("handler", *columns, F.explode(F.sequence(at("from_height"), at("to_height"))).alias("_bucket"))
+
+        clipped = near.withColumns(  # what lies outside the batch needs no buckets
+            {"from_height": F.greatest("from_height", F.lit(zone[0])), "to_height": F.least("to_height", F.lit(zone[1]))}
+        )
+        mine = islands.withColumnsRenamed({"from_height": "a", "to_height": "b"}).withColumns({"from_height": F.col("a"), "to_height": F.col("b")})
+        met = (
+            spread(clipped, "batch_id", "from_height", "to_height")
+            .join(spread(mine, "a", "b"), ["handler", "_bucket"])
+            .where((F.col("from_height") <= F.col("b")) & (F.col("to_height") >= F.col("a")))
+        )
         return sorted(r[0] for r in met.select("batch_id").distinct().collect())
 
     def ingest(
@@ -135,27 +162,19 @@ class EventStore:
             return self.spark.read.schema(df.schema).parquet(f"{staging}/{name}")
 
         staged = keep(stage_blocks(SHAPES[shape](raw), [t for s in self.specs for t in s.event_types]), "blocks")
-        good = staged.where("error is null").select("height").distinct()
-        undecoded = staged.where("error is not null").groupBy("height").agg(F.min("error").alias("reason")).join(good, "height", "left_anti")
         records = {s.name: keep(self._records(s, staged), f"records_{s.table}") for s in self.specs}
-        failed = keep(
-            self._all(
-                s.failed(records[s.name]).unionByName(undecoded).withColumn("handler", F.lit(s.name)) for s in self.specs
-            ),
-            "failed",
-        )
-        heights = self._all(good.withColumn("handler", F.lit(s.name)) for s in self.specs).join(failed, ["handler", "height"], "left_anti")
-        islands = keep(points_to_islands(heights), "islands")
+        # one good copy of a height is enough
+        copies = staged.groupBy("height").agg(F.min("error").alias("error"), F.bool_or(F.col("error").isNull()).alias("ok"))
+        outcome = copies.select("height", F.when(~F.col("ok"), F.col("error")).alias("error"))
+        heights = keep(self._all(self._heights(s, outcome, records[s.name]) for s in self.specs), "heights")
+        failed = heights.where("reason is not null")
+        islands = keep(islands_in_buckets(heights.where("reason is null")), "islands")
         others = self.overlapping(islands, batch_id)
         seq = (self.manifest().agg(F.max("seq")).first()[0] or 0) + 1
         rows = 0
         for s in self.specs:
-            fresh, rejects = s.rows_and_rejects(records[s.name])
-            self._write_rows(s, fresh, others, batch_id)
-            self.rejected[s.name].write_batch(rejects, batch_id)
-            written = self.tables[s.name].read_batch(batch_id)
-            self.after_write(s, written, batch_id)
-            rows += written.count()
+            rows += self._write_rows(s, records[s.name], others, batch_id)
+            self.after_write(s, self.tables[s.name].read_batch(batch_id), batch_id)
         self._log.write_batch(
             failed.select(
                 "handler", "height", "reason", F.lit(False).alias("permanent"), F.lit(max_retries).alias("max_retries"),
@@ -163,7 +182,8 @@ class EventStore:
             ),
             batch_id,
         )
-        totals = good.agg(F.count(F.lit(1)).alias("blocks"), F.lit(rows).cast("bigint").alias("rows"))
+        decoded = staged.where("error is null").select("height").distinct()
+        totals = decoded.agg(F.count(F.lit(1)).alias("blocks"), F.lit(rows).cast("bigint").alias("rows"))
         length = F.col("to_height") - F.col("from_height") + 1
         lines = islands.select("handler", "from_height", "to_height", length.alias("blocks")).unionByName(totals, allowMissingColumns=True)
         self.commit(
@@ -200,19 +220,30 @@ class EventStore:
             out = out.withColumn("reason", F.lit(None).cast("string"))
         return out.select(*[part.split()[0] for part in spec.records.split(", ")])
 
-    def _write_rows(self, spec: HandlerSpec, fresh: DataFrame, others: list[str], batch_id: str) -> None:
-        """Rows of a batch, ids looked up, one per key and none that an overlapping batch holds."""
-        texts = [t for t in spec.dictionaries if t in fresh.columns]
-        fresh = first_per_key(fresh, spec.key, [*spec.key, *[c for c in fresh.columns if c not in spec.key]])
-        for text in texts:
-            name, id_column = spec.dictionaries[text]
-            self._grow(self.dictionaries[name], fresh, text)
+    @staticmethod
+    def _heights(spec: HandlerSpec, outcome: DataFrame, records: DataFrame) -> DataFrame:
+        """``handler, height, reason`` of a batch; no reason where the height is done."""
+        out = outcome.withColumnRenamed("error", "reason")
+        if spec.fatal:
+            refused = spec.failed(records).withColumnRenamed("reason", "_refused")
+            out = out.join(refused, "height", "left").select("height", F.coalesce("reason", "_refused").alias("reason"))
+        return out.select(F.lit(spec.name).alias("handler"), "height", "reason")
+
+    def _write_rows(self, spec: HandlerSpec, records: DataFrame, others: list[str], batch_id: str) -> int:
+        """Rows of a batch, ids looked up, one per key and none that an overlapping batch holds; and rejected records."""
+        rows, rejects = spec.rows_and_rejects(records)
+        fresh = first_per_key(rows, spec.key, [*spec.key, *[c for c in rows.columns if c not in spec.key]])
+        for text, (name, id_column) in spec.dictionaries.items():
+            self._grow(self.dictionaries[name], records.where("reason is null"), text)
             fresh = dict_lookup(fresh, self.dictionaries[name].read(), text, id_column)
         fresh = fresh.select(*spec.columns())
         if others:
             stored = self.tables[spec.name].read_batches(others).select(*spec.key)
             fresh = fresh.join(stored, spec.key, "left_anti")
-        self.tables[spec.name].write_batch(fresh, batch_id)
+        count = Observation()
+        self.tables[spec.name].write_batch(fresh.observe(count, F.count(F.lit(1)).alias("n")), batch_id)
+        self.rejected[spec.name].write_batch(rejects, batch_id)
+        return count.get["n"]
 
     def _grow(self, dictionary: VersionedTable, rows: DataFrame, text: str) -> None:
         """Add unseen texts to a dictionary; most batches bring none and write nothing."""

@@ -87,7 +87,7 @@ REWARD_SNAPSHOTS = (
 )
 REWARDS = (
     "block_height bigint, provider_id int, spec_id int, source_kind smallint, denom_id int, "
-    "source_denom string, amount decimal(38,0)"
+    "source_denom string, amount decimal(38,0), amount_text string"
 )
 REWARD_KEY = ["block_height", "provider_id", "spec_id", "source_kind", "denom_id", "source_denom"]
 DENOM_METADATA = (
@@ -99,5 +99,5 @@ PRICE_SNAPSHOTS = (
 PRICES = "snapshot_date date, denom_id int, price_usd decimal(38,18), coingecko_id string"
 SUPPLY_SNAPSHOTS = (
     "snapshot_date date, block_height bigint, block_time timestamp, total_supply decimal(38,0), "
-    "status string, error string"
+    "supply_text string, status string, error string"
 )

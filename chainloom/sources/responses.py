@@ -14,6 +14,7 @@ from chainloom.functions.payloads import (
     rewards_outcome,
     trace_of,
 )
+from chainloom.functions.wide import whole_text
 from chainloom import schemas
 
 
@@ -96,7 +97,7 @@ def supply_results(responses: DataFrame, denom: str = NATIVE_DENOM) -> DataFrame
         }
     ).withColumn("_text", F.coalesce(F.try_element_at("_mine", F.lit(-1))["amount"], F.lit("")))
     trimmed = F.regexp_replace("_text", r"^\s+|\s+\z", "")
-    number = F.when(trimmed.rlike(r"^[+-]?[0-9]+\z"), trimmed.try_cast("decimal(38,0)"))
+    number = whole_text(trimmed)
     error = (
         F.when(~status.between(200, 299), F.concat(F.lit("fetch supply: http "), status.cast("string")))
         .when(is_bad(F.col("_j")), "fetch supply: decode supply body")
@@ -109,7 +110,9 @@ def supply_results(responses: DataFrame, denom: str = NATIVE_DENOM) -> DataFrame
     judged = listed.withColumn("_number", number).withColumn("error", error)
     return judged.select(
         *_rest(responses),
-        F.when(F.col("error").isNull(), F.col("_number")).otherwise(F.lit(0).cast("decimal(38,0)")).alias("total_supply"),
+        # beyond 38 digits the decimal is NULL and the text alone holds the supply
+        F.when(F.col("error").isNull(), F.col("_number").try_cast("decimal(38,0)")).otherwise(F.lit(0)).cast("decimal(38,0)").alias("total_supply"),
+        F.when(F.col("error").isNull(), F.col("_number")).otherwise("0").alias("supply_text"),
         F.when(F.col("error").isNull(), "ok").otherwise("failed").alias("status"),
         "error",
     )
