@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from chainloom import schemas
 from chainloom.catalog import standins as s
 from chainloom.catalog.registry import query, table
 from chainloom.functions.times import expected_slots as slots_of
@@ -11,6 +12,9 @@ from chainloom.operators import asof
 from chainloom.operators import snapshots as sn
 from chainloom.plans import prices as price_plan
 from chainloom.plans.rewards import rewards_snapshot as rewards_plan
+from chainloom.plans.snapshots import RewardsSnapshotter, SupplySnapshotter, run_snapshots
+from chainloom.session import shared_dir
+from chainloom.sinks.tables import VersionedTable, refresh_view
 from chainloom.sources import responses as rs
 from chainloom.sources.blocks import block_headers as headers_of
 
@@ -663,3 +667,57 @@ def supply_burn(spark, sf):
 def supply_lookup(spark, sf):
     found = rs.supply_results(_supply_responses(spark, sf))
     return found.groupBy(F.coalesce("error", F.lit("ok")).alias("verdict")).agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- stored snapshots -------------------------------------------------------------------------
+
+
+@query(
+    "stored_snapshots",
+    f"""{_REWARD_ROWS_SQL}, {_SUPPLY_SQL.strip()},
+kept AS (SELECT m, count(*) AS n, count(*) FILTER (WHERE resolved <> 'Brand#11') AS shown FROM num WHERE rn = 1 GROUP BY m)
+SELECT 'rewards' AS name, {_MONTH_SQL} AS snapshot_date, status, CAST(coalesce(n, 0) AS VARCHAR) AS rows FROM snaps LEFT JOIN kept USING (m)
+UNION ALL SELECT 'due', {_MONTH_SQL}, NULL, NULL FROM verdict WHERE m NOT IN (SELECT m FROM snaps)
+UNION ALL SELECT 'view', {_MONTH_SQL}, NULL, CAST(shown AS VARCHAR) FROM kept
+UNION ALL SELECT 'supply', snapshot_date, CASE WHEN error IS NULL THEN 'ok' ELSE 'failed' END, CASE WHEN error IS NULL THEN CAST(supply AS VARCHAR) ELSE '0' END FROM sup""",
+)
+def stored_snapshots(spark, sf):
+    """Due dates, their blocks, snapshots and a priced view are stored; a second run adds nothing to what is there."""
+    root = shared_dir(spark, "snapshots")
+    metadata = lambda denoms: _metadata_of(denoms, _metadata(spark, sf), _denoms(spark, sf))
+    rewards = RewardsSnapshotter(spark, root, _responses(spark, sf), _traces(spark, sf), metadata)
+    rewards.dictionaries["denoms"].replace(_denoms(spark, sf))
+    supply = SupplySnapshotter(spark, root, _supply_responses(spark, sf))
+    view = VersionedTable(spark, f"{root}/priced", "snapshot_date date, raw_text string, resolved_denom string")
+
+    def priced():
+        named = {n: d.read() for n, d in rewards.dictionaries.items()}
+        rows = sn.priced_rewards(
+            rewards.store.read("rewards"), rewards.store.read("snapshots"), named["providers"], named["specs"], named["denoms"],
+            metadata(named["denoms"]), spark.createDataFrame([], schemas.PRICES),
+        )
+        return rows.select("snapshot_date", "raw_text", "resolved_denom")
+
+    now = F.lit("2024-03-01").cast("timestamp")
+    for snapshotter, targets in ((rewards, _targets(spark, sf)), (supply, _supply_responses(spark, sf).withColumn("slot", F.col("block_time")))):
+        slots = targets.select("slot", F.col("snapshot_date").alias("slot_date"))
+        headers = targets.select(F.col("block_height").alias("height"), (F.col("slot") + F.expr("INTERVAL 1 HOUR")).alias("time"))
+        for _ in range(2):
+            run_snapshots([snapshotter], slots, headers, now, [lambda: refresh_view(view, priced)])
+        if snapshotter is rewards:
+            due = slots.select("slot_date").subtract(rewards.store.taken().select("snapshot_date"))
+    none = F.lit(None).cast("string")
+    counts = rewards.store.read("rewards").groupBy("block_height").agg(F.count(F.lit(1)).alias("n"))
+    taken = rewards.store.taken().join(counts, "block_height", "left")
+    return (
+        taken.select(F.lit("rewards").alias("name"), "snapshot_date", "status", F.coalesce("n", F.lit(0)).cast("string").alias("rows"))
+        .unionByName(due.select(F.lit("due").alias("name"), F.col("slot_date").alias("snapshot_date"), none.alias("status"), none.alias("rows")))
+        .unionByName(view.read().groupBy("snapshot_date").agg(F.count(F.lit(1)).cast("string").alias("rows")).select(F.lit("view").alias("name"), "snapshot_date", none.alias("status"), "rows"))
+        .unionByName(supply.store.taken().select(F.lit("supply").alias("name"), "snapshot_date", "status", F.col("supply_text").alias("rows")))
+    )
+
+
+def _metadata_of(denoms, metadata, known):
+    """The overlay of the known denoms under the ids of a grown dictionary."""
+    by_name = metadata.join(known.withColumnsRenamed({"id": "denom_id"}), "denom_id").drop("denom_id")
+    return by_name.join(denoms.withColumnsRenamed({"id": "denom_id"}), "value").drop("value")

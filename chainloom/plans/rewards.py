@@ -27,8 +27,8 @@ def rewards_snapshot(
 
     ``targets`` is ``(block_height, snapshot_date, block_time)``. Per height: a failed gate, a
     denom that cannot be resolved or an amount that is no number decides alone over that height.
-    An unreadable amount leaves the date without a row, so it stays due; amounts that need more
-    than 38 digits are listed in ``quarantine`` and not stored.
+    An unreadable amount leaves the date without a row, so it stays due; amounts of more than 40
+    digits are listed in ``quarantine`` and are no rewards.
     """
     wanted = responses.join(
         targets.select(F.col("block_height").alias("height")), "height", "left_semi"
@@ -77,8 +77,8 @@ def rewards_snapshot(
         resolved.where(F.col("resolved_denom").isNotNull())
         .join(good, "height", "left_semi")
         # amounts have up to 40 digits: the text is exact, the decimal is NULL beyond 38
-        .withColumn("amount_text", F.coalesce(whole_text(F.col("amount_text")), F.lit("")))
-        .withColumn("amount", F.col("amount_text").try_cast("decimal(38,0)"))
+        .withColumn("_exact", whole_text(F.col("amount_text")))
+        .withColumn("amount", F.col("_exact").try_cast("decimal(38,0)"))
     )
     providers_next = dict_encode(
         results.where(F.col("outcome") == "fetched").join(good, "height", "left_semi"), providers, "provider"
@@ -92,7 +92,7 @@ def rewards_snapshot(
     )
     # a repeated key keeps its first amount in response order
     rewards = first_per_key(
-        coded.where(F.col("amount_text") != ""),
+        coded.where(F.col("_exact").isNotNull()).withColumn("amount_text", F.col("_exact")),
         schemas.REWARD_KEY,
         ["position", "entry_pos", "amount_pos", order_key(F.col("amount_text"))],
     ).select(*schemas.REWARD_KEY, "amount", "amount_text")
@@ -102,5 +102,5 @@ def rewards_snapshot(
         "providers": providers_next,
         "specs": specs_next,
         "denoms": denoms_next,
-        "quarantine": rows.where(F.col("amount_text") == ""),
+        "quarantine": rows.where(F.col("_exact").isNull()).drop("_exact"),
     }
