@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from chainloom import schemas
@@ -296,15 +297,16 @@ def denoms_at_height(spark, sf):
 
 @query(
     "load_bearing_first",
-    f"""WITH {_LINES_SQL}, top AS (SELECT max(m) AS m FROM ln0)
-SELECT DISTINCT CAST(ln0.b AS BIGINT) AS denom_id, cgid AS coingecko_id FROM ln0 JOIN meta ON meta.b = ln0.b JOIN top ON top.m = ln0.m
-WHERE cgid IS NOT NULL AND NOT suppress""",
+    f"""WITH {_LINES_SQL}, d AS (SELECT DISTINCT m, ln0.b, cgid FROM ln0 JOIN meta ON meta.b = ln0.b WHERE cgid IS NOT NULL AND NOT suppress)
+SELECT m AS block_height, CAST(b AS BIGINT) AS denom_id, cgid AS coingecko_id,
+  row_number() OVER (PARTITION BY m ORDER BY CASE WHEN cgid = 'coin-8' THEN 0 ELSE 1 END, b) AS place FROM d""",
 )
 def load_bearing_first(spark, sf):
-    rewards = _rewards(spark, sf)
-    top = rewards.agg(F.max("block_height")).scalar()
-    denoms = sn.denoms_at_heights(rewards.where(F.col("block_height") == top), _metadata(spark, sf))
-    return sn.load_bearing_first(denoms, native="coin-8").drop("block_height")
+    """The fetch order of every height; the place in the order is read off the ordered rows."""
+    denoms = sn.denoms_at_heights(_rewards(spark, sf), _metadata(spark, sf))
+    ordered = sn.load_bearing_first(denoms, by=["block_height"], native="coin-8")
+    order = Window.partitionBy("block_height").orderBy("_at")
+    return ordered.withColumn("_at", F.monotonically_increasing_id()).withColumn("place", F.row_number().over(order)).drop("_at")
 
 
 # --- stored responses -------------------------------------------------------------------------

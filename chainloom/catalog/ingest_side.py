@@ -30,7 +30,7 @@ from chainloom.sinks.tables import BatchTable, VersionedTable, apply_sql_dir, re
 from chainloom.sources import blocks as bl
 from chainloom.sources import catalogue as cat
 from chainloom.sources.landed import LandedBlocks
-from chainloom.streaming.follow import follow_tip, request_rate
+from chainloom.streaming.follow import END_OF_LOG, follow_tip, request_rate
 
 _FMT = "'%Y-%m-%d %H:%M:%S.%f'"
 _FACT_OUT = [
@@ -239,16 +239,16 @@ def genesis_info(spark, sf):
 # --- sinks ------------------------------------------------------------------------------------
 
 
-@query("write_facts", f"WITH {s.FACTS_SQL} SELECT block_height, cu FROM fact WHERE chain IN ('view', 'click')")
+@query("write_facts", f"WITH {s.FACTS_SQL} SELECT block_height, cu FROM fact WHERE chain <> 'error'")
 def write_facts(spark, sf):
-    """Three batches are written, one of them twice and one without its manifest row."""
+    """Every kind of event is a batch; one is written twice, and the errors stay without their manifest row."""
     root = shared_dir(spark, "facts")
     facts = s.relay_facts(spark, sf)
     store = BatchTable(spark, f"{root}/facts", "block_height bigint, cu bigint")
     rows = lambda kind: facts.where(F.col("chain") == kind).select("block_height", "cu")
     cover = lambda df: df.agg(F.min("block_height").alias("from_height"), F.max("block_height").alias("to_height"), F.count(F.lit(1)).alias("blocks")).withColumn("handler", F.lit("h"))
     now = F.lit("2024-02-01").cast("timestamp")
-    for kind in ("view", "click", "view"):
+    for kind in ("view", "click", "signup", "purchase", "view"):
         store.write_facts(rows(kind), kind, cover(rows(kind)), now, key=["block_height"])
     store.write_batch(rows("error"), "error")
     return store.read().select("block_height", "cu")
@@ -579,25 +579,20 @@ b AS (SELECT source, (us // 3000000) * 3000000 - i * 3000000 AS start FROM w)
 SELECT source, strftime(make_timestamp(start), {_FMT}) AS window_start, count(*) AS requests, round(count(*) / CAST(60 AS DOUBLE), 6) AS rps FROM b GROUP BY 1, 2""",
 )
 def stream_rate(spark, sf):
-    """The rate stream over the landed log, run to its end."""
+    """The rate stream over the landed log, run to its end in append mode: each window comes out once."""
     root = shared_dir(spark, "rate")
     log = s.events(spark, sf).select(F.col("event_type").alias("source"), F.col("ts").alias("at"))
-    log.write.parquet(f"{root}/log")
+    end = log.agg((F.max("at") + F.expr("INTERVAL 1 HOUR")).alias("at")).select(F.lit(END_OF_LOG).alias("source"), "at")
+    log.unionByName(end).write.parquet(f"{root}/log")
     stream = spark.readStream.schema(log.schema).parquet(f"{root}/log")
-    out = []
-
-    def keep(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}")
-        out.append(batch_id)
-
     (
         request_rate(stream)
-        .writeStream.outputMode("complete")
-        .foreachBatch(keep)
+        .writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", f"{root}/out")
         .option("checkpointLocation", f"{root}/checkpoint")
         .trigger(availableNow=True)
         .start()
         .awaitTermination()
     )
-    last = spark.read.parquet(f"{root}/out/batch_id={max(out)}")
-    return last.select("source", "window_start", "requests", "rps")
+    return spark.read.parquet(f"{root}/out").select("source", "window_start", "requests", "rps")

@@ -199,8 +199,8 @@ def start_run(runs: DataFrame, run_id: int, now: Column) -> DataFrame:
 def heartbeat(runs: DataFrame, manifest: DataFrame) -> DataFrame:
     """Blocks, rows and last sign of life of runs, summed from the batch manifest.
 
-    ``manifest`` has ``run_id, blocks, rows, committed_at``; deriving the totals instead of
-    updating them means rows and counters cannot disagree.
+    ``manifest`` has ``run_id, blocks, rows, committed_at``. Totals are derived, not added to: a run with batches takes
+    their sums, so a second heartbeat changes nothing; a run without any keeps what is stored.
     """
     totals = manifest.groupBy(F.col("run_id").alias("id")).agg(
         F.sum("blocks").alias("_blocks"), F.sum("rows").alias("_rows"), F.max("committed_at").alias("_beat")
@@ -209,8 +209,8 @@ def heartbeat(runs: DataFrame, manifest: DataFrame) -> DataFrame:
         runs.join(totals, "id", "left")
         .withColumns(
             {
-                "blocks_indexed": F.col("blocks_indexed") + F.coalesce(F.col("_blocks"), F.lit(0)),
-                "rows_written": F.col("rows_written") + F.coalesce(F.col("_rows"), F.lit(0)),
+                "blocks_indexed": F.coalesce("_blocks", "blocks_indexed"),
+                "rows_written": F.coalesce("_rows", "rows_written"),
                 "last_heartbeat": F.greatest("last_heartbeat", "_beat"),
             }
         )

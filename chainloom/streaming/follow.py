@@ -58,10 +58,17 @@ def follow_tip(
     return writer.trigger(**trigger).queryName(name).start()
 
 
+#: Source of rows that only move the watermark on. A filter on it would be pushed below the watermark, so there is none:
+#: the windows of the last such row just never come out.
+END_OF_LOG = "_end"
+
+
 def request_rate(log: DataFrame, window: str = "60 seconds", slide: str = "3 seconds", delay: str = "2 minutes") -> DataFrame:
-    """Requests per second of a live log over sliding windows.
+    """Requests per second of a live log over sliding windows, for append mode.
 
-    The only operator with a watermark: a metric may be final, data may not.
+    The only operator with a watermark: a metric may be final, data may not. A window is given once, when the watermark
+    has passed its end, and its state goes; rows later than ``delay`` are dropped, and :func:`late_rows` counts them. The
+    windows of a log that has ended come out after a row of source ``END_OF_LOG`` behind its last ones.
     """
     seconds = F.lit(int(window.split()[0])).cast("double")
     return (
@@ -76,3 +83,13 @@ def request_rate(log: DataFrame, window: str = "60 seconds", slide: str = "3 sec
             (F.col("requests") / seconds).alias("rps"),
         )
     )
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came too late for their windows, over the recent progress of a query; a row counts per window."""
+    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"])
+
+
+def state_rows(query: StreamingQuery) -> list[int]:
+    """Rows of state after each batch."""
+    return [sum(int(op["numRowsTotal"]) for op in p["stateOperators"]) for p in query.recentProgress]

@@ -198,3 +198,31 @@ def test_records_that_fit_no_fact_are_stored(spark, sf_dir, tmp_path):
     batch = relay_batch(spark, landed)
     assert store.quarantine.read().count() == batch["quarantine"].count()
     assert store.facts.read().count() == batch["facts"].count()
+
+
+def test_late_requests_are_dropped_and_counted_and_state_expires(spark, tmp_path):
+    from chainloom.streaming.follow import END_OF_LOG, late_rows, request_rate, state_rows
+
+    kind = "source string, at timestamp"
+    minute = lambda m, s=0: datetime(2024, 1, 1, m // 60, m % 60, s)
+    (tmp_path / "log").mkdir()
+    stream = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/log")
+    run = lambda: (
+        request_rate(stream, "60 seconds", "60 seconds").writeStream.outputMode("append").format("parquet")
+        .option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start()
+    )
+    sizes, late = [], 0
+    for part in range(6):
+        rows = [("a", minute(20 * part + i, i)) for i in range(20)]
+        if part == 3:
+            rows.append(("a", minute(1)))
+        if part == 5:
+            rows.append((END_OF_LOG, minute(200)))
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(f"{tmp_path}/log")
+        query = run()
+        query.awaitTermination()
+        late += late_rows(query)
+        sizes.append(state_rows(query)[-1])
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert late == 1 and max(sizes) <= 4
+    assert out.count() == 120 and {r.requests for r in out.collect()} == {1}, "each window once, the late row in none"
