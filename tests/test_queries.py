@@ -9,8 +9,11 @@ import pytest
 from chainloom import catalog
 from tests.compare import difference, duck
 
-# each of these follows a stream of its own, which takes half a minute
-SLOW = {"stream_exactly_once", "dead_letter_retry", "stream_dedup"}
+# each of these fills stores of its own, which takes half a minute or more
+SLOW = {
+    "stream_exactly_once", "dead_letter_retry", "stream_dedup", "stream_recut", "custom_handler_ingest", "backfill_window",
+    "run_from_manifest", "stored_snapshots",
+}
 NAMES = [n for n in catalog.QUERIES if n not in SLOW or os.environ.get("CHAINLOOM_SLOW_TESTS")]
 
 
