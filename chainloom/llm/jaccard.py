@@ -2,15 +2,16 @@
 
 Documents with equal shingle sets are one class. Each class enters the index with a prefix of its shingles
 in an order that puts frequent ones last; two sets above the threshold share at least ``_need`` shingles of their
-prefixes. The index lists are in blocks by set size and by position (near or far in the prefix): two
-far entries can't belong to a similar pair, so those blocks never meet.
+prefixes. The index lists are in blocks by set size and by position in the prefix, both part of the join key: an
+entry meets only blocks near enough that the two positions leave room for a similar pair.
 
 Answers are reused between similar sets. Every block of a list has a leader, its first class; a class is
 compared with its leaders, and the shingles in which it differs from the first similar one, its flips, are kept. Two
 classes of one leader differ in just the shingles that one of their flips has and the other's lacks, so their
 answer follows from the flips without their texts. Flips come in blocks by their number, and blocks whose numbers
-lie too far apart are skipped. Index lists are searched only between classes of different leaders. What is
-written per group is its links at most, never its pairs.
+lie too far apart are skipped. Index lists are searched only between classes of different leaders. Leaders meet
+first: Jaccard distance is a metric, so two leaders' distance and the distances of their members to them rule out
+members, or both groups, without a look at their sets. What is written per group is its links at most, never its pairs.
 
 Edge cases: null and empty texts have an empty set and no link; a text of fewer words than a shingle is one
 shingle; rows of one doc_id are sets of their own under that id; a row without doc_id has a set, but no
@@ -111,10 +112,10 @@ def _heavy(prefixes: DataFrame, least: int, most: int) -> np.ndarray:
     return np.sort(rows.view(np.uint64))
 
 
-def _compare(pairs: DataFrame, texts: DataFrame, size: int, similar: float, chunk: int = 256) -> DataFrame:
+def _compare(pairs: DataFrame, texts: DataFrame, size: int, similar: float, with_flips: bool = True, chunk: int = 256) -> DataFrame:
     """(a, b, shared, flips) of pairs of classes with a similarity of ``similar`` or more, from their whole sets.
 
-    Rows of one ``a`` are dealt in chunks of about ``chunk``, each with one copy of a's text, and streamed.
+    Flips are empty without ``with_flips``. Rows of one ``a`` are dealt in chunks of about ``chunk``, each with one copy of a's text, and streamed.
     """
     counts = pairs.groupBy("a").agg((F.count(F.lit(1)) / chunk).cast("int").alias("last"))
     left = counts.select("a", F.explode(F.sequence(F.lit(0), "last")).alias("part"), F.lit(0).alias("kind"), F.col("a").alias("b"))
@@ -140,7 +141,7 @@ def _compare(pairs: DataFrame, texts: DataFrame, size: int, similar: float, chun
                 if both >= similar * (len(mine) + len(s) - both):
                     keep.append(i)
                     shared.append(both)
-                    flips.append(np.setxor1d(mine, s, assume_unique=True))
+                    flips.append(np.setxor1d(mine, s, assume_unique=True) if with_flips else s[:0])
                     ends.append(ends[-1] + len(flips[-1]))
             cols = [
                 pa.array(a[keep]),
@@ -186,14 +187,44 @@ def _links_of_blocks(left: tuple, right: tuple, num: int, den: int) -> list[tupl
     return out
 
 
-def _within_leaders(members: DataFrame, num: int, den: int, block: int = 256) -> DataFrame:
+def _leader_pairs(rows: DataFrame, num: int, den: int, blocks: int = 8) -> DataFrame:
+    """(t, band, lead, band_b, lead_b, least) of groups of different leaders that meet in a list; group b has the smaller sets.
+
+    The excess ``e`` of an entry is its position beyond half of what a similar pair may differ by; excesses of a
+    similar pair sum to 0 at most. So an entry of excess f > 0 goes to its own position block, and one of
+    excess -m to the blocks up to m, besides the block in which entries without excess meet.
+    """
+    groups = rows.groupBy("t", "band", "lead").agg(F.min("e").alias("e"), F.min("n").alias("least"))
+    apart = (den - num) / den - (den - num) / (den + num)
+    smaller = groups.withColumn("at", F.explode(F.array("band", F.col("band") + 1)))
+    larger = groups.withColumn("at", F.col("band"))
+
+    def placed(df: DataFrame, far: int, near: int) -> DataFrame:
+        width = F.greatest(F.lit(1.0), F.ceil(F.pow(F.lit(den / num), F.col("at")) * (apart * 2 / blocks)))
+        block = F.least(F.floor(F.abs("e") / width), F.lit(blocks)).cast("int")
+        low = F.concat(F.array(F.lit(0)), F.transform(F.sequence(F.lit(0), block), lambda j: j * 2 + near))
+        return df.withColumn("block", F.explode(F.when(F.col("e") > 0, F.array(block * 2 + far)).otherwise(low)))
+
+    a = placed(larger, 1, 2)
+    b = placed(smaller, 2, 1).select(
+        "t", "at", "block", F.col("band").alias("band_b"), F.col("lead").alias("lead_b"), F.col("e").alias("e_b"), F.col("least").alias("least_b")
+    )
+    return a.join(b, ["t", "at", "block"]).where("lead <> lead_b and e + e_b <= 0").select(
+        "t", "band", "lead", "band_b", "lead_b", F.least("least", "least_b").alias("least")
+    )
+
+
+def _within_leaders(members: DataFrame, num: int, den: int, block: int = 256, salts: int = 64) -> DataFrame:
     """Links (a, b) between members (leader, cid, n, root, flips) of one leader that lie in different components."""
     open_ = members.groupBy("leader").agg(
         F.max("n").alias("top"), F.min("root").alias("x"), F.max("root").alias("y")
     ).where("x <> y").select("leader", "top")
     # similar members differ in their number of flips by (n + n') (den - num) / (den + num) at most: a band at most
     width = F.greatest(F.lit(1), F.ceil(F.col("top") * (2 * (den - num)) / (den + num)))
-    rows = members.join(open_, "leader").withColumn("band", (F.size("flips") / width).cast("int"))
+    # a leader may have very many members: they are dealt by a salt, and the leader's row is repeated for each
+    salted = members.withColumn("salt", F.pmod(F.xxhash64("cid"), F.lit(salts)).cast("int"))
+    open_ = open_.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    rows = salted.join(open_, ["leader", "salt"]).drop("salt").withColumn("band", (F.size("flips") / width).cast("int"))
     counts = rows.groupBy("leader", "band").agg((F.count(F.lit(1)) / block).cast("int").alias("last"))
     rows = rows.join(counts, ["leader", "band"]).withColumn("part", F.pmod(F.xxhash64("cid"), F.col("last") + 1).cast("int"))
     blocks = stored(
@@ -253,15 +284,19 @@ def jaccard_join(
         "jaccard-postings",
     )
     shared = postings.groupBy("t").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("t")
-    # sets differ in at most (na + nb) (den - num) / (den + num) shingles; a position beyond n times that is far
-    far = F.col("pos") * (den + num) > F.col("n") * (den - num) + 2 * (_need(F.col("n")) - 1) * (den + num)
-    lists = stored(postings.join(shared, "t").withColumn("far", far), "jaccard-lists")
+    # sets differ in at most (na + nb) (den - num) / (den + num) shingles; e is a position's excess over n times that
+    # and over the shared shingles before it, whose number is that of the largest set that can be similar
+    partner = _need(F.ceil(F.col("n") * den / num))
+    lists = stored(
+        postings.join(shared, "t").withColumn("e", F.floor(F.col("pos") - F.col("n") * (den - num) / (den + num) - (partner - 1) - 1e-9)),
+        "jaccard-lists",
+    )
     fits = (F.least("na", "nb") * den >= F.greatest("na", "nb") * num) & (
         (F.col("pa") + F.col("pb") - 2 * (F.greatest(_need(F.col("na")), _need(F.col("nb"))) - 1)) * (den + num)
         <= (F.col("na") + F.col("nb")) * (den - num)
     )
     def side(df: DataFrame, x: str) -> DataFrame:
-        return df.select("t", "band", "far", "lead", F.col("cid").alias(x), F.col("n").alias(f"n{x}"), F.col("pos").alias(f"p{x}"))
+        return df.select("t", "band", "lead", F.col("cid").alias(x), F.col("n").alias(f"n{x}"), F.col("pos").alias(f"p{x}"), F.col("dist").alias(f"d{x}"))
 
     def counted(met: DataFrame) -> DataFrame:
         return met.where(fits).groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.count(F.lit(1)).alias("k"))
@@ -288,29 +323,40 @@ def jaccard_join(
         _compare(pairs.select("a", "b"), texts_for(pairs, "jaccard-leader-texts"), size, similar).join(pairs, ["a", "b"]),
         "jaccard-answers",
     )
+    distance = 1 - F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared"))
     first_leader = stored(
-        compared.groupBy("b").agg(F.min(F.struct("a", "flips", "nb")).alias("m")).select(
-            F.col("b").alias("cid"), F.col("m.a").alias("lead"), F.col("m.flips").alias("flips"), F.col("m.nb").alias("n")
+        compared.withColumn("dist", distance).groupBy("b").agg(F.min(F.struct("a", "flips", "nb", "dist")).alias("m")).select(
+            F.col("b").alias("cid"), F.col("m.a").alias("lead"), F.col("m.flips").alias("flips"), F.col("m.nb").alias("n"), F.col("m.dist").alias("dist")
         ),
         "jaccard-led",
     )
     # 2. the index between classes of different leaders: their lists meet by leader first, then by member
-    rows = lists.join(first_leader.select("cid", "lead"), "cid", "left").withColumn("lead", F.coalesce("lead", "cid"))
+    rows = lists.join(first_leader.select("cid", "lead", "dist"), "cid", "left")
+    rows = rows.withColumns({"lead": F.coalesce("lead", "cid"), "dist": F.coalesce("dist", F.lit(0.0))})
     open_lists = rows.groupBy("t").agg(F.min("lead").alias("x"), F.max("lead").alias("y")).where("x <> y").select("t")
     rows = stored(rows.join(open_lists, "t"), "jaccard-open")
-    groups = rows.select("t", "band", "far", "lead").distinct()
-    # the smaller set, or the smaller id, goes to its own size block and the next; far meets near only
-    smaller = groups.withColumn("at", F.explode(F.array("band", F.col("band") + 1))).withColumn(
-        "of", F.explode(F.when(F.col("far"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True))))
-    )
-    smaller = smaller.select("t", F.col("band").alias("band_b"), F.col("far").alias("far_b"), F.col("lead").alias("lead_b"), F.col("at").alias("band"), F.col("of").alias("far"))
-    pairs_of_groups = groups.join(smaller, ["t", "band", "far"]).where("lead <> lead_b")
-    b = side(rows, "b").withColumnsRenamed({"band": "band_b", "far": "far_b", "lead": "lead_b"})
-    met = pairs_of_groups.join(side(rows, "a"), ["t", "band", "far", "lead"]).join(b, ["t", "band_b", "far_b", "lead_b"])
-    met = met.where("nb < na or (nb = na and b < a)")
+    x, y = F.least("lead", "lead_b").alias("a"), F.greatest("lead", "lead_b").alias("b")
+    groups = stored(_leader_pairs(rows, num, den).select("*", x, y), "jaccard-groups")
+    radius = first_leader.groupBy("lead").agg(F.max("dist").alias("r"))
+    leaders = groups.groupBy("a", "b").agg(F.min("least").alias("least"), F.countDistinct("t").alias("k")).where(F.col("k") >= _need(F.col("least")))
+    for c in "ab":
+        leaders = leaders.join(radius.select(F.col("lead").alias(c), F.col("r").alias(f"r{c}")), c, "left")
+    leaders = stored(leaders.select("a", "b", F.coalesce("ra", F.lit(0.0)).alias("ra"), F.coalesce("rb", F.lit(0.0)).alias("rb")), "jaccard-leader-pairs")
+    # leaders without members are left to the comparison of members
+    wide = leaders.where("ra + rb > 0")
+    sizes = classes.select("cid", "n")
+    apart = _compare(wide.select("a", "b"), texts_for(wide, "jaccard-group-texts"), size, 0.0, with_flips=False).drop("flips")
+    apart = apart.join(wide, ["a", "b"]).join(sizes.select(F.col("cid").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("cid").alias("b"), F.col("n").alias("nb")), "b")
+    reach = 1 - num / den + 1e-9
+    apart = apart.select("a", "b", "ra", "rb", distance.alias("d")).where(F.col("d") <= F.col("ra") + F.col("rb") + reach)
+    kept = stored(apart.unionByName(leaders.where("ra + rb = 0").withColumn("d", F.lit(0.0))), "jaccard-near-groups")
+    met = groups.drop("least").join(kept, ["a", "b"]).withColumn("r_b", F.when(F.col("lead_b") == F.col("b"), F.col("rb")).otherwise(F.col("ra")))
+    met = met.select("t", "band", "lead", "band_b", "lead_b", "d", "r_b").join(side(rows, "a"), ["t", "band", "lead"]).where(F.col("da") + F.col("r_b") + reach >= F.col("d"))
+    b = side(rows, "b").withColumnsRenamed({"band": "band_b", "lead": "lead_b"})
+    met = met.join(b, ["t", "band_b", "lead_b"]).where((F.col("da") + F.col("db") + reach >= F.col("d")) & F.expr("nb < na or (nb = na and b < a)"))
     pairs = stored(counted(met).where(F.col("k") >= _need(F.least("na", "nb"))).drop("k"), "jaccard-pairs")
     between = stored(
-        _compare(pairs.select("a", "b"), texts_for(pairs, "jaccard-texts"), size, num / den - 1e-9).drop("flips").join(pairs, ["a", "b"]),
+        _compare(pairs.select("a", "b"), texts_for(pairs, "jaccard-texts"), size, num / den - 1e-9, with_flips=False).drop("flips").join(pairs, ["a", "b"]),
         "jaccard-between",
     )
     links = stored(linked(compared).unionByName(linked(between)), "jaccard-links")
