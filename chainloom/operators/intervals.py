@@ -18,7 +18,9 @@ from chainloom.operators.prefix import (
     join_carry,
     max_before,
     row_numbers,
+    running_sum,
 )
+from chainloom.operators.sweep import sweep
 
 HANDLER = ["handler"]
 _ALL = "_all"
@@ -209,18 +211,19 @@ def needs_range(
 
     ``requests`` are distinct (key, from, to) rows.
     """
-    keys = [*by, "from_height", "to_height"]
-    wanted = requests.where(F.col("to_height") >= F.col("from_height"))
-    overlap = F.least("to_height", "r_to") - F.greatest("from_height", "r_from") + 1
-    covered = (
-        range_overlap_join(wanted, merge_ranges(ranges, by, width), by)
-        .groupBy(*keys)
-        .agg(F.sum(overlap).alias("covered"))
+    df, keys = _keyed(requests.select(*by, "from_height", "to_height"), by)
+    have, _ = _keyed(ranges.select(*by, "from_height", "to_height"), by)
+    # every first height gets the first height from there on that no range covers
+    asked = df.where("to_height >= from_height").select(*keys, F.col("from_height").alias("at"))
+    swept = sweep({"ranges": have}, keys, width, asked, "ranges").select(
+        *keys, F.col("at").alias("from_height"), "ranges_until"
     )
-    length = F.col("to_height") - F.col("from_height") + 1
-    return requests.join(covered, keys, "left").select(
-        *keys,
-        ((length > 0) & (F.coalesce(F.col("covered"), F.lit(0)) < length)).alias("needs"),
+    empty = F.col("to_height") < F.col("from_height")
+    return df.join(swept, [*keys, "from_height"], "left").select(
+        *by,
+        "from_height",
+        "to_height",
+        (~empty & (F.col("ranges_until") <= F.col("to_height"))).alias("needs"),
     )
 
 
@@ -277,39 +280,47 @@ def expand_ranges(ranges: DataFrame) -> DataFrame:
 def subtract_points(
     ranges: DataFrame, points: DataFrame, by: list[str] = HANDLER, width: int = HEIGHT_BUCKET
 ) -> DataFrame:
-    """Ranges minus single heights, range by range."""
-    whole = ranges.select(*by, "from_height", "to_height").distinct()
-    hits = range_overlap_join(
-        whole,
-        points.select(*by, F.col("height").alias("from_height"), F.col("height").alias("to_height")).distinct(),
-        by,
+    """Ranges minus single heights, range by range.
+
+    Distinct points are numbered per key. The numbers at a range's two ends name the gaps between
+    points that it touches, so its pieces come from an equi join on the gap's number.
+    """
+    whole, keys = _keyed(ranges.where("to_height >= from_height").select(*by, "from_height", "to_height"), by)
+    single, _ = _keyed(points.select(*by, F.col("height").alias("at")), by)
+    whole = whole.distinct()
+    ends = whole.select("*", F.explode(F.array("from_height", "to_height")).alias("at"))
+    is_point = lambda n: F.lit(n).cast("bigint").alias("_point")
+    positions = (
+        single.select(*keys, "at", is_point(1))
+        .unionByName(ends.select(*keys, "at", is_point(0)))
+        .groupBy(*keys, "at")
+        .agg(F.max("_point").alias("_point"))
     )
-    keys = [*by, "start_height", "end_height"]
-    inside = hits.select(
-        *by,
-        F.col("from_height").alias("start_height"),
-        F.col("to_height").alias("end_height"),
-        F.col("r_from").alias("from_height"),
-        F.col("r_to").alias("to_height"),
+    ranked = running_sum(positions, keys, F.col("at"), ["at"], "_point", "_rank", width)
+    # gap n lies between point n and point n + 1; the outermost ones have one end
+    none = F.lit(None).cast("bigint")
+    sides = F.array(
+        F.struct(F.col("_rank").alias("_gap"), (F.col("at") + 1).alias("_lo"), none.alias("_hi")),
+        F.struct((F.col("_rank") - 1).alias("_gap"), none.alias("_lo"), (F.col("at") - 1).alias("_hi")),
     )
-    pieces = (
-        max_before(
-            inside, keys, "from_height", "to_height", "_reach", width
-        )
-        .withColumn("_lo", F.coalesce(F.col("_reach") + 1, F.col("start_height")))
-        .where(F.col("from_height") > F.col("_lo"))
-        .select(*by, F.col("_lo").alias("gap_from"), (F.col("from_height") - 1).alias("gap_to"))
+    gaps = (
+        ranked.where("_point = 1")
+        .select(*keys, F.inline(sides))
+        .groupBy(*keys, "_gap")
+        .agg(F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
     )
-    last = inside.groupBy(*keys).agg(F.max("to_height").alias("_reach"))
-    tail = (
-        whole.withColumnsRenamed({"from_height": "start_height", "to_height": "end_height"})
-        .join(last, keys, "left")
-        .withColumn("gap_from", F.coalesce(F.col("_reach") + 1, F.col("start_height")))
-        .where(F.col("gap_from") <= F.col("end_height"))
-        .select(*by, "gap_from", F.col("end_height").alias("gap_to"))
+    touched = (
+        ends.join(ranked.drop("_point"), [*keys, "at"])
+        .groupBy(*keys, F.col("from_height").alias("_start"), F.col("to_height").alias("_end"))
+        .agg(F.min("_rank").alias("from_height"), F.max("_rank").alias("to_height"))
     )
-    return pieces.unionByName(tail).withColumnsRenamed(
-        {"gap_from": "from_height", "gap_to": "to_height"}
+    return (
+        expand_ranges(touched)
+        .withColumnRenamed("height", "_gap")
+        .join(gaps, [*keys, "_gap"], "left")
+        # greatest and least skip the missing end
+        .select(*by, F.greatest("_start", "_lo").alias("from_height"), F.least("_end", "_hi").alias("to_height"))
+        .where("from_height <= to_height")
     )
 
 

@@ -8,6 +8,8 @@ from collections import defaultdict
 import pytest
 
 from chainloom.operators import intervals as iv
+from chainloom.operators.sweep import sweep
+from chainloom.plans.coverage import coverage_report
 
 START, END = 50, 400
 WINDOW = "handler string, start_height bigint, end_height bigint"
@@ -128,3 +130,53 @@ def test_coverage_counts_overlaps_once(spark):
     df = spark.createDataFrame([("a", 1, 10), ("a", 5, 20), ("a", 90, 200)], RANGE)
     win = spark.createDataFrame([("a", 1, 100), ("b", 1, 10), ("c", 5, 4)], WINDOW)
     assert {r.handler: r.ratio for r in iv.coverage_ratio(df, win).collect()} == {"a": 0.31, "b": 0.0, "c": 0.0}
+
+
+@pytest.mark.parametrize("width", [1, 7, 64, 1 << 17])
+def test_sweep_depths(frames, data, width):
+    ranges, windows = frames
+    inside = windows.withColumnsRenamed({"start_height": "from_height", "end_height": "to_height"})
+    got = sweep({"stored": ranges, "window": inside}, ["handler"], width, until="stored").collect()
+    for h, rs in data.items():
+        rows = sorted((r for r in got if r.handler == h), key=lambda r: r["at"])
+        assert [r.next_at for r in rows] == [r["at"] for r in rows[1:]] + [None]
+        assert (rows[-1].stored, rows[-1].window) == (0, 0)
+        before = 0
+        for r in rows:
+            assert (r.stored, r.stored_before) == (sum(f <= r["at"] <= t for f, t in rs), before)
+            assert r.window == (START <= r["at"] <= END)
+            assert r.stored_until == next(x for x in range(r["at"], 2000) if x not in covered(rs))
+            before = r.stored
+
+
+def test_points_at_ends_and_in_overlapping_ranges(spark):
+    df = spark.createDataFrame([("a", 1, 9), ("a", 4, 12), ("a", 4, 12), ("a", 5, 5), ("b", 1, 3), ("c", 3, 2)], RANGE)
+    pts = spark.createDataFrame([("a", 1), ("a", 5), ("a", 5), ("a", 6), ("a", 12), ("z", 2)], "handler string, height bigint")
+    for width in (1, 4, 1 << 17):
+        assert grouped(iv.subtract_points(df, pts, width=width)) == {
+            "a": [(2, 4), (4, 4), (7, 9), (7, 11)],
+            "b": [(1, 3)],
+        }
+
+
+def test_report_against_the_model(spark, frames, data):
+    rng = random.Random(11)
+    failed = {h: {rng.randint(0, 450) for _ in range(rng.randint(0, 30))} for h in data}
+    ledger = spark.createDataFrame(
+        [(h, p, False, False, 1) for h, ps in failed.items() for p in ps],
+        "handler string, height bigint, permanent boolean, in_retry boolean, retries int",
+    )
+    windows = frames[1].union(spark.createDataFrame([("empty", 10, 9), ("bare", 10, 19)], WINDOW))
+    genesis, tip = 20, 420
+    got = {r.handler: r for r in coverage_report(frames[0], ledger, windows, genesis, tip, 16).collect()}
+    assert set(got) == {*data, "empty", "bare"}
+    window, chain = set(range(START, END + 1)), set(range(genesis, tip + 1))
+    for h, rs in data.items():
+        have, bad, r = covered(rs), failed[h], got[h]
+        gaps = window - have - bad
+        assert (r.covered_start, r.covered_end) == ((min(have), max(have)) if have else (None, None))
+        assert (r.ranges, r.gaps, r.gap_heights) == (len(runs(have)), len(runs(gaps)), len(gaps))
+        assert (r.failed_ranges, r.open_failures, r.retrying) == (len(runs(bad)), len(bad - have), len(bad))
+        assert r.window_pct == pytest.approx(100 * len(have & window) / len(window))
+        assert r.chain_pct == pytest.approx(100 * len(have & chain) / len(chain))
+    assert (got["empty"].window_pct, got["empty"].gaps, got["bare"].gap_heights) == (0.0, 0, 10)
