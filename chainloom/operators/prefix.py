@@ -5,6 +5,7 @@ fails when one key holds a third of the table. Here the position axis is cut int
 window runs inside ``(key, bucket)`` and each bucket additionally receives the aggregate of all
 earlier (or later) buckets of its key. Only one row per non-empty bucket reaches the second
 window, so its size is the length of the axis over the bucket width, not the number of rows.
+Where many rows may share a short stretch of the axis, as in a log, :func:`even_bounds` cuts it further.
 """
 
 from __future__ import annotations
@@ -17,9 +18,41 @@ from pyspark.sql import functions as F
 BUCKET = "_bucket"
 
 
-def with_bucket(df: DataFrame, position: Column, width: int) -> DataFrame:
-    """Add the bucket number of a BIGINT position."""
-    return df.withColumn(BUCKET, F.floor(position / F.lit(width)).cast("bigint"))
+def even_bounds(df: DataFrame, position: Column, depth: int = 1 << 16, most: int = 2048) -> list[int]:
+    """Positions that cut the rows into parts of about ``depth`` rows, from a quantile sketch.
+
+    At most ``most`` positions come to the driver, however many rows there are, and above
+    ``depth * most`` rows the parts grow with them. The list is fixed before the plan is built, so
+    every branch and every retried task cuts alike. Rows of one position are never cut.
+    """
+    shares = [i / most for i in range(1, most)]
+    rows, cuts = df.agg(
+        F.count(position), F.percentile_approx(position, shares, 10 * most)
+    ).first()
+    parts = min(most, -(-rows // depth))
+    if parts < 2:
+        return []
+    return sorted({cuts[i * most // parts - 1] for i in range(1, parts)})
+
+
+def with_bucket(df: DataFrame, position: Column, width: int, bounds: list[int] = ()) -> DataFrame:
+    """Add the bucket number of a BIGINT position; buckets end at ``width`` and at every bound.
+
+    Both the number of the stretch of ``width`` and the number of bounds up to a position never
+    fall along the axis, so their sum names a bucket of both and keeps the order.
+    """
+    bucket = F.floor(position / F.lit(width)).cast("bigint")
+    if bounds:
+        ends = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>")
+        halves = F.array(*[F.lit(1 << i) for i in reversed(range(len(bounds).bit_length()))])
+        # binary search: steps of falling powers of two while the bound reached is not beyond
+        passed = F.aggregate(
+            halves,
+            F.lit(0),
+            lambda n, step: F.when(F.get(ends, n + step - 1) <= position, n + step).otherwise(n),
+        )
+        bucket = bucket + passed
+    return df.withColumn(BUCKET, bucket)
 
 
 def bucket_window(keys: list[str], order: list[Column | str]) -> Window:
@@ -82,10 +115,17 @@ def row_numbers(
 
 
 def running_sum(
-    df: DataFrame, keys: list[str], position: Column, order: list[Column | str], value: str, out: str, width: int
+    df: DataFrame,
+    keys: list[str],
+    position: Column,
+    order: list[Column | str],
+    value: str,
+    out: str,
+    width: int,
+    bounds: list[int] = (),
 ) -> DataFrame:
     """Running total per key including the current row."""
-    bucketed = with_bucket(df, position, width)
+    bucketed = with_bucket(df, position, width, bounds)
     carried = carry(bucketed, keys, {"_carry": F.sum(value)}, {"_carry": F.sum})
     local = F.sum(value).over(
         bucket_window(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -10,13 +10,16 @@ from chainloom.operators.prefix import (
     BUCKET,
     bucket_window,
     carry,
+    even_bounds,
     join_carry,
     running_sum,
     with_bucket,
 )
 
-# one bucket holds what one source logs in this time
+# a bucket spans this time at most, and less where the log is dense
 _BUCKET_MICROS = 600_000_000
+# rows that a bucket should hold at most
+_DEPTH = 1 << 16
 
 
 def latency_quantiles(log: DataFrame, ring: int = LATENCY_RING) -> DataFrame:
@@ -48,7 +51,9 @@ def error_rate(log: DataFrame) -> DataFrame:
     )
 
 
-def _neighbours(samples: DataFrame, offset_micros: int, payload: Column, backward: bool) -> DataFrame:
+def _neighbours(
+    samples: DataFrame, offset_micros: int, payload: Column, backward: bool, depth: int
+) -> DataFrame:
     """For each sample at t, the payload of the last sample before ``t - offset`` (or, backward,
     of the first one at or after it) of the same source, as ``_found``.
 
@@ -64,7 +69,9 @@ def _neighbours(samples: DataFrame, offset_micros: int, payload: Column, backwar
         F.lit(0).alias("_kind"),
         F.lit(None).cast(rows.schema["_payload"].dataType).alias("_payload"),
     )
-    both = with_bucket(rows.unionByName(probes), F.col("_t"), _BUCKET_MICROS)
+    # the probes of a dense stretch lie before it, so both kinds make the bounds
+    both = rows.unionByName(probes)
+    both = with_bucket(both, F.col("_t"), _BUCKET_MICROS, even_bounds(both, F.col("_t"), depth))
     keys = ["source"]
     here = bucket_window(keys, ["_t", "_kind", "request_id"])
     if backward:
@@ -86,14 +93,17 @@ def _neighbours(samples: DataFrame, offset_micros: int, payload: Column, backwar
     )
 
 
-def rolling_rate(samples: DataFrame, window_seconds: int = RATE_WINDOW_SECONDS) -> DataFrame:
+def rolling_rate(
+    samples: DataFrame, window_seconds: int = RATE_WINDOW_SECONDS, depth: int = _DEPTH
+) -> DataFrame:
     """Rate of a cumulative ``total`` at each sample over the last window.
 
     One sample older than the window stays as anchor (the very first one where there is none);
-    fewer than two samples or no elapsed time give 0.
+    fewer than two samples or no elapsed time give 0. Stretches with more than ``depth`` rows are
+    cut at quantiles of the log.
     """
     point = F.struct("at", "total")
-    anchored = _neighbours(samples, window_seconds * 1_000_000, point, backward=False)
+    anchored = _neighbours(samples, window_seconds * 1_000_000, point, False, depth)
     first = samples.groupBy("source").agg(
         F.min_by(point, F.struct("at", "request_id")).alias("_first")
     )
@@ -109,32 +119,35 @@ def rolling_rate(samples: DataFrame, window_seconds: int = RATE_WINDOW_SECONDS)
     )
 
 
-def rolling_rps(log: DataFrame, window_seconds: int = RATE_WINDOW_SECONDS) -> DataFrame:
+def rolling_rps(log: DataFrame, window_seconds: int = RATE_WINDOW_SECONDS, depth: int = _DEPTH) -> DataFrame:
     """Requests of the last window at each request, over the seconds since the first of them.
 
-    The time span is at least a quarter second.
+    The time span is at least a quarter second. ``depth`` as in :func:`rolling_rate`.
     """
+    micros = F.unix_micros("at")
     counted = running_sum(
         log.withColumn("_one", F.lit(1).cast("bigint")),
         ["source"],
-        F.floor(F.unix_micros("at") / F.lit(_BUCKET_MICROS)).cast("bigint") * _BUCKET_MICROS,
+        micros,
         ["at", "request_id"],
         "_one",
         "_n",
         _BUCKET_MICROS,
+        even_bounds(log, micros, depth),
     ).drop("_one")
-    opened = _neighbours(counted, window_seconds * 1_000_000, F.struct("at", "_n"), backward=True)
-    seconds = (F.unix_micros("at") - F.unix_micros(F.col("_found.at"))) / F.lit(1e6)
+    opened = _neighbours(counted, window_seconds * 1_000_000, F.struct("at", "_n"), True, depth)
+    seconds = (micros - F.unix_micros(F.col("_found.at"))) / F.lit(1e6)
     inside = F.col("_n") - F.col("_found._n") + 1
     return opened.withColumn(
         "rps", inside / F.greatest(seconds, F.lit(RATE_FLOOR_SECONDS))
     ).withColumn("requests", inside).drop("_found", "_n")
 
 
-def peak_in_flight(log: DataFrame) -> DataFrame:
+def peak_in_flight(log: DataFrame, depth: int = _DEPTH) -> DataFrame:
     """Most requests open at one moment per source; a request ends ``latency_ms`` after ``at``.
 
     Ends count before starts of the same microsecond, so moments can be summed up first.
+    ``depth`` as in :func:`rolling_rate`.
     """
     start = F.unix_micros("at")
     stop = start + F.round(F.col("latency_ms") * 1000).cast("bigint")
@@ -148,7 +161,9 @@ def peak_in_flight(log: DataFrame) -> DataFrame:
         ).alias("_e"),
     ).select("source", "_e.t", "_e.step")
     moments = edges.groupBy("source", "t").agg(F.sum("step").alias("step"))
-    running = running_sum(moments, ["source"], F.col("t"), ["t"], "step", "open", _BUCKET_MICROS)
+    # a moment is one row at most for every edge, so bounds over edges hold for moments
+    bounds = even_bounds(edges, F.col("t"), depth)
+    running = running_sum(moments, ["source"], F.col("t"), ["t"], "step", "open", _BUCKET_MICROS, bounds)
     return running.groupBy("source").agg(F.max("open").alias("peak"))
 
 
