@@ -17,6 +17,7 @@ from chainloom import schemas
 from chainloom.constants import HEIGHT_BUCKET
 from chainloom.extend import Handler, HandlerSpec
 from chainloom.operators.dictionary import dict_encode, dict_lookup
+from chainloom.operators.intervals import range_overlap_join
 from chainloom.operators.ledger import fold_failures, pop_failures, runs_from_manifest
 from chainloom.operators.merge import first_per_key
 from chainloom.sinks.tables import BatchTable, VersionedTable, discard
@@ -114,7 +115,8 @@ class EventStore:
     def overlapping(self, islands: DataFrame, but: str) -> list[str]:
         """Committed batches that cover a height of ``islands``: the only ones that can hold the same rows.
 
-        The zone map, lowest and highest height of each batch, leaves out most; what is left is compared range by range.
+        The zone map, lowest and highest height of each batch, leaves out most; what is left is compared range by range,
+        in buckets as wide as the longer range, so scattered heights don't meet all others of a wide bucket.
         """
         zone = islands.agg(F.min("from_height"), F.max("to_height")).first()
         if zone[0] is None:
@@ -123,19 +125,10 @@ class EventStore:
             (F.col("batch_id") != but) & F.col("handler").isNotNull() & (F.col("from_height") <= zone[1]) & (F.col("to_height") >= zone[0])
         )
 
-        def spread(df: DataFrame, *columns: str) -> DataFrame:
-            at = lambda c: F.floor(F.col(c) / HEIGHT_BUCKET)
-            return df.select("handler", *columns, F.explode(F.sequence(at("from_height"), at("to_height"))).alias("_bucket"))
-
-        clipped = near.withColumns(  # what lies outside the batch needs no buckets
+        clipped = near.withColumns(  # what lies outside the batch meets nothing
             {"from_height": F.greatest("from_height", F.lit(zone[0])), "to_height": F.least("to_height", F.lit(zone[1]))}
         )
-        mine = islands.withColumnsRenamed({"from_height": "a", "to_height": "b"}).withColumns({"from_height": F.col("a"), "to_height": F.col("b")})
-        met = (
-            spread(clipped, "batch_id", "from_height", "to_height")
-            .join(spread(mine, "a", "b"), ["handler", "_bucket"])
-            .where((F.col("from_height") <= F.col("b")) & (F.col("to_height") >= F.col("a")))
-        )
+        met = range_overlap_join(clipped.select("handler", "batch_id", "from_height", "to_height"), islands)
         return sorted(r[0] for r in met.select("batch_id").distinct().collect())
 
     def ingest(

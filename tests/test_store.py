@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from chainloom import schemas
 from chainloom.catalog import standins
+from chainloom.catalog.ingest_side import NotesHandler
 from chainloom.constants import RELAY_HANDLER
 from chainloom.operators.intervals import expand_ranges
 from chainloom.operators.ledger import fold_failures, record_failures, record_permanent
 from chainloom.plans.backfill import backfill_window
 from chainloom.plans.ingest import RelayStore
+from chainloom.plans.store import EventStore
 from chainloom.sources.landed import LandedBlocks
 
 def now():
@@ -149,3 +153,18 @@ def test_runs_follow_from_committed_batches(spark, blocks, tmp_path):
     covered = expand_ranges(store.coverage()).count()
     assert (row.id, row.blocks_indexed, row.rows_written, row.ended_at) == (run, covered, store.facts.read().count(), None)
     assert store.coverage().where(F.col("handler") != RELAY_HANDLER).count() == 0
+
+
+def test_scattered_heights_meet_few_ranges(spark, tmp_path):
+    """Ranges of one height each do not meet all others of a wide bucket: 65,536 by 65,536 pairs of each bucket took a minute."""
+    store = EventStore(spark, str(tmp_path / "scattered"), [NotesHandler()])
+    at = lambda df, h: df.select(F.lit("notes").alias("handler"), h.alias("from_height"), h.alias("to_height"))
+    lines = lambda h: at(spark.range(260_000), h).withColumns({"blocks": F.lit(1).cast("bigint"), "rows": F.lit(1).cast("bigint"), "committed_at": F.lit("2024-03-01").cast("timestamp"), "seq": F.lit(1).cast("bigint"), "run_id": F.lit(None).cast("bigint")})
+    store.commit(lines(F.col("id") * 2), "even")
+    store.commit(lines(F.col("id") * 2 + 800_001), "later")
+    begun = time.monotonic()
+    assert store.overlapping(at(spark.range(260_000), F.col("id") * 2 + 1), "mine") == []
+    assert time.monotonic() - begun < 25
+    assert store.overlapping(at(spark.range(100), F.col("id") * 2 + 519_990), "mine") == ["even"]
+    assert store.overlapping(at(spark.range(2), F.col("id") * 800_000 + 2), "even") == []
+    assert store.overlapping(at(spark.range(1), F.lit(800_001).cast("bigint")), "mine") == ["later"]
