@@ -75,13 +75,14 @@ def decode_errors(spark, sf):
     return bl.decode_errors(bl.parse_blocks(s.landed_blocks(spark, sf)))
 
 
-def _rest_blocks(spark, sf):
+def _rest_blocks(spark, sf, files=None):
     header = F.to_json(F.struct(F.struct(F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("time")).alias("header")).alias("block")))
     note = F.array(F.struct(F.lit("note").alias("key"), F.col("k").cast("string").alias("value")))
     ev = lambda t: F.struct(F.lit(t).alias("type"), note.alias("attributes"))
     tx = lambda p, es: F.struct(F.sha2(F.concat(F.lit(p), F.col("event_id").cast("string")), 256).alias("txhash"), F.array(*es).alias("events"))
     txs = F.to_json(F.struct(F.array(tx("a", [ev("relay"), ev("transfer")]), tx("b", [ev("message")])).alias("tx_responses")))
-    return s.events(spark, sf).select(F.col("event_id").alias("height"), header.alias("header_json"), txs.alias("txs_json"))
+    rows = s.events(spark, sf)
+    return (rows.repartition(files, "event_id") if files else rows).select(F.col("event_id").alias("height"), header.alias("header_json"), txs.alias("txs_json"))
 
 
 @query(
@@ -104,7 +105,7 @@ def _replies(spark, sf):
     whose number is a multiple of 17 came back as one error object."""
     per = 50
     batch = F.floor(F.col("height") / per).cast("bigint")
-    based = s.landed_blocks(spark, sf).join(s.events(spark, sf).select(F.col("event_id").alias("height"), "k"), "height").withColumn("batch_id", batch)
+    based = s.build_blocks(spark, sf, also=("k",)).where("height is not null").withColumn("batch_id", batch)
     half = lambda odd, c, bad: F.struct(
         ((F.col("height") % per) * 2 + odd).cast("int").alias("id"),
         F.when(F.col("k") != bad, F.col(c)).alias("result"),
@@ -300,19 +301,20 @@ def data_time_bounds(spark, sf):
 # --- streams ----------------------------------------------------------------------------------
 
 
+def _landing(spark, sf) -> tuple[str, int]:
+    """The landed files, and how many of them are a quarter of all."""
+    folder, files = s.landed_folder(spark, sf)
+    return folder, -(-files // 4)
+
+
 def _follow_all(spark, sf, root: str, attempt: int) -> RelayStore:
-    """Follow the landed files to their end from a fresh checkpoint."""
+    """Follow the landed files, half of them at a time, to their end from a fresh checkpoint."""
     store = RelayStore(spark, f"{root}/store")
-    follow_tip(spark, f"{root}/landing", store, f"{root}/checkpoint{attempt}", max_files=2).awaitTermination()
+    landing, quarter = _landing(spark, sf)
+    follow_tip(spark, landing, store, f"{root}/checkpoint{attempt}", max_files=2 * quarter).awaitTermination()
     return store
 
 
-def _new_stream(spark, sf) -> str:
-    root = shared_dir(spark, "stream")
-    s.landed_blocks(spark, sf).repartition(4, "height").write.parquet(f"{root}/landing")
-    return root
-
-
 _STREAMS: dict[tuple[str, str], str] = {}
 
 
@@ -320,7 +322,7 @@ def _stream_store(spark, sf) -> RelayStore:
     """A followed store, shared by the queries that only read it."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _STREAMS:
-        root = _new_stream(spark, sf)
+        root = shared_dir(spark, "stream")
         _follow_all(spark, sf, root, 0)
         _STREAMS[key] = root
     return RelayStore(spark, f"{_STREAMS[key]}/store")
@@ -338,7 +340,7 @@ def follow_tip_stream(spark, sf):
 )
 def stream_exactly_once(spark, sf):
     """All files are followed again from a fresh checkpoint; the rows stay as they are."""
-    root = _new_stream(spark, sf)
+    root = shared_dir(spark, "stream")
     _follow_all(spark, sf, root, 0)
     facts = _follow_all(spark, sf, root, 1).facts.read()
     return facts.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("block_height").alias("heights"), F.sum("cu").alias("cu"))
@@ -358,7 +360,7 @@ def dead_letter_stream(spark, sf):
 )
 def dead_letter_retry(spark, sf):
     """The five highest failed heights are tried again and fail again."""
-    store = _follow_all(spark, sf, _new_stream(spark, sf), 0)
+    store = _follow_all(spark, sf, shared_dir(spark, "stream"), 0)
     store.retry_failures(s.landed_blocks(spark, sf), "retry-1", F.lit("2024-03-01").cast("timestamp"), 5, 5)
     ledger = store.ledger()
     again = ledger.groupBy("handler").agg(F.count_if(F.col("retries") == 2).alias("max_seen"))
@@ -382,19 +384,21 @@ def stream_dedup(spark, sf):
     root = shared_dir(spark, "dedup")
     blocks = s.landed_blocks(spark, sf)
     for _ in range(2):
-        blocks.repartition(2, "height").write.mode("append").parquet(f"{root}/landing")
+        blocks.write.mode("append").parquet(f"{root}/landing")
+    files = len(spark.read.schema(blocks.schema).parquet(f"{root}/landing").inputFiles())
     store = RelayStore(spark, f"{root}/store")
-    follow_tip(spark, f"{root}/landing", store, f"{root}/checkpoint", max_files=2).awaitTermination()
+    follow_tip(spark, f"{root}/landing", store, f"{root}/checkpoint", max_files=-(-files // 2)).awaitTermination()
     return store.facts.read().groupBy("block_height").agg(F.count(F.lit(1)).alias("copies"))
 
 
 @query("stream_recut", _landed_sql())
 def stream_recut(spark, sf):
     """A second stream cuts the same files into other batches; rows are neither lost nor doubled."""
-    root = _new_stream(spark, sf)
-    follow_tip(spark, f"{root}/landing", RelayStore(spark, f"{root}/store"), f"{root}/checkpoint0", max_files=1).awaitTermination()
+    root = shared_dir(spark, "stream")
+    landing, quarter = _landing(spark, sf)
+    follow_tip(spark, landing, RelayStore(spark, f"{root}/store"), f"{root}/checkpoint0", max_files=quarter).awaitTermination()
     store = RelayStore(spark, f"{root}/store")
-    follow_tip(spark, f"{root}/landing", store, f"{root}/checkpoint1", max_files=3).awaitTermination()
+    follow_tip(spark, landing, store, f"{root}/checkpoint1", max_files=3 * quarter).awaitTermination()
     return store.read(RELAY_HANDLER).select(*_FACT_OUT)
 
 
@@ -504,9 +508,10 @@ FROM ev, generate_series(1, 2) AS g(i) WHERE k % 10 <> 0""",
 def rest_ingest(spark, sf):
     """Blocks that landed in the other shape go through the same stream and store."""
     root = shared_dir(spark, "rest")
-    _rest_blocks(spark, sf).repartition(2, "height").write.parquet(f"{root}/landing")
+    files = s.landed_files(spark, sf)
+    _rest_blocks(spark, sf, files).write.parquet(f"{root}/landing")
     store = EventStore(spark, f"{root}/store", [NotesHandler()])
-    follow_tip(spark, f"{root}/landing", store, f"{root}/checkpoint", max_files=1, shape="rest").awaitTermination()
+    follow_tip(spark, f"{root}/landing", store, f"{root}/checkpoint", max_files=-(-files // 2), shape="rest").awaitTermination()
     return store.read("notes")
 
 

@@ -17,6 +17,8 @@ from chainloom.session import shared_dir
 
 # Height buckets of a few thousand make the small test tables span several of them.
 WIDTH = 4096
+# a landed file holds about this many blocks, of 2 KB of text each
+BLOCKS_PER_FILE = 100_000
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:
@@ -225,18 +227,29 @@ def landed_blocks(spark: SparkSession, sf: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _LANDED:
         path = shared_dir(spark, "landed")
-        files = 2 * spark.sparkContext.defaultParallelism
-        build_blocks(spark, sf).repartition(files, "height").write.parquet(path)
+        build_blocks(spark, sf, files=landed_files(spark, sf)).write.parquet(path)
         _LANDED[key] = path
     return spark.read.schema(schemas.LANDED_BLOCKS).parquet(_LANDED[key])
 
 
-def build_blocks(spark: SparkSession, sf: str, broken: bool = True) -> DataFrame:
+def landed_files(spark: SparkSession, sf: str) -> int:
+    """Landed files grow in number, not in size."""
+    return max(2 * spark.sparkContext.defaultParallelism, -(-table(spark, sf, "events").count() // BLOCKS_PER_FILE))
+
+
+def landed_folder(spark: SparkSession, sf: str) -> tuple[str, int]:
+    """Folder of the landed files and how many there are."""
+    files = len(landed_blocks(spark, sf).inputFiles())
+    return _LANDED[(spark.sparkContext.applicationId, sf)], files
+
+
+def build_blocks(spark: SparkSession, sf: str, broken: bool = True, files: int | None = None, also: tuple[str, ...] = ()) -> DataFrame:
     """One landed block per event: height is the event id.
 
     Per block: a begin event, a relay and a transfer event in transaction 0, a message in
     transaction 1, which has no raw bytes for every fifth k, and an end event. k = 13 has bad
-    base64, k = 17 bad JSON, unless ``broken`` is off.
+    base64, k = 17 bad JSON, unless ``broken`` is off. Events are dealt out to ``files`` before their texts are
+    made, which are many times as large. ``also`` names further event columns to keep.
     """
     k = F.col("k")
     bad = lambda n: (k == n) & F.lit(broken)
@@ -260,10 +273,12 @@ def build_blocks(spark: SparkSession, sf: str, broken: bool = True) -> DataFrame
         F.array(_plain_event("end")).alias("end_block_events"),
     )
     body = F.to_json(results)
-    return events(spark, sf).select(
+    rows = events(spark, sf)
+    return (rows.repartition(files, "event_id") if files else rows).select(
         F.col("event_id").alias("height"),
         F.to_json(block).alias("block_json"),
         F.when(bad(17), F.concat(F.lit("{bad"), body)).otherwise(body).alias("results_json"),
+        *also,
     )
 
 
