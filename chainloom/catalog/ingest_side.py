@@ -105,7 +105,7 @@ def _replies(spark, sf):
     whose number is a multiple of 17 came back as one error object."""
     per = 50
     batch = F.floor(F.col("height") / per).cast("bigint")
-    based = s.build_blocks(spark, sf, also=("k",)).where("height is not null").withColumn("batch_id", batch)
+    based = s.build_blocks(spark, sf, files=s.landed_files(spark, sf), also=("k",)).where("height is not null").withColumn("batch_id", batch)
     half = lambda odd, c, bad: F.struct(
         ((F.col("height") % per) * 2 + odd).cast("int").alias("id"),
         F.when(F.col("k") != bad, F.col(c)).alias("result"),

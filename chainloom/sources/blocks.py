@@ -39,10 +39,16 @@ def parse_blocks(raw: DataFrame) -> DataFrame:
     transaction carries the hash of raw transaction i, or "" when there is none. A height whose
     JSON, time or base64 is bad has an ``error`` and no events.
     """
+    return _parse_blocks(raw.withColumn("_lost", F.lit(None).cast("string")))
+
+
+def _parse_blocks(raw: DataFrame) -> DataFrame:
+    """:func:`parse_blocks` of rows some of which were lost before (``_lost``): this is their error."""
     parsed = raw.select(
         "height",
         json_or_bad(F.col("block_json"), BLOCK_JSON).alias("_b"),
         json_or_bad(F.col("results_json"), BLOCK_RESULTS_JSON).alias("_r"),
+        "_lost",
     )
     txs = F.coalesce(F.col("_b.block.data.txs"), F.array().cast("array<string>"))
     hashed = parsed.withColumns(
@@ -58,8 +64,10 @@ def parse_blocks(raw: DataFrame) -> DataFrame:
             lambda tx, i: _tagged(tx["events"], F.coalesce(F.get("_hashes", i), none)),
         )
     )
+    lost = F.col("_lost")
     error = (
-        F.when(is_bad(F.col("_b")), "block: bad json")
+        F.when(lost.isNotNull(), lost)
+        .when(is_bad(F.col("_b")), "block: bad json")
         .when(is_bad(F.col("_r")), "block_results: bad json")
         .when(F.exists("_hashes", lambda h: h.isNull()), "txs: bad base64")
         .when(F.col("time").isNull(), "block: bad time")
@@ -67,11 +75,14 @@ def parse_blocks(raw: DataFrame) -> DataFrame:
     return hashed.select(
         "height",
         "time",
-        F.concat(
-            _tagged(F.col("_r.begin_block_events"), none),
-            per_tx,
-            _tagged(F.col("_r.end_block_events"), none),
-            _tagged(F.col("_r.finalize_block_events"), none),
+        F.when(
+            lost.isNull(),
+            F.concat(
+                _tagged(F.col("_r.begin_block_events"), none),
+                per_tx,
+                _tagged(F.col("_r.end_block_events"), none),
+                _tagged(F.col("_r.finalize_block_events"), none),
+            ),
         ).alias("events"),
         error.alias("error"),
     )
@@ -175,6 +186,17 @@ def pair_batch_replies(replies: DataFrame) -> tuple[DataFrame, DataFrame]:
     aggregate. Returns landed blocks and failed heights; an error in either half fails the
     height, and a reply without id (one error object for all) fails its whole batch.
     """
+    marked = _paired(replies)
+    good = marked.where(F.col("reason").isNull()).select("height", "block_json", "results_json")
+    return good, marked.where(F.col("reason").isNotNull()).select("height", "reason")
+
+
+def _paired(replies: DataFrame) -> DataFrame:
+    """Pairs ``height, block_json, results_json, reason``; the reason fails the height.
+
+    The bodies are shuffled once, by batch: the aggregate and the join with failed batches both use this placing. So no
+    task sorts the bodies of a whole input split before the shuffle.
+    """
     batch_error = (
         replies.where(F.col("id").isNull())
         .groupBy("batch_id")
@@ -183,6 +205,7 @@ def pair_batch_replies(replies: DataFrame) -> tuple[DataFrame, DataFrame]:
     last = lambda odd, c: F.max(F.when(F.col("id") % 2 == odd, F.col(c)))
     pairs = (
         replies.where(F.col("id").isNotNull())
+        .repartition("batch_id")
         .groupBy("batch_id", (F.col("first_height") + F.floor(F.col("id") / 2)).cast("bigint").alias("height"))
         .agg(
             last(0, "result").alias("block_json"),
@@ -204,17 +227,14 @@ def pair_batch_replies(replies: DataFrame) -> tuple[DataFrame, DataFrame]:
         )
         .when(F.col("block_json").isNull() | F.col("results_json").isNull(), "missing reply")
     )
-    marked = pairs.withColumn("reason", reason)
-    good = marked.where(F.col("reason").isNull()).select("height", "block_json", "results_json")
-    return good, marked.where(F.col("reason").isNotNull()).select("height", "reason")
+    return pairs.select("height", "block_json", "results_json", reason.alias("reason"))
 
 
 def parse_replies(replies: DataFrame) -> DataFrame:
     """As :func:`parse_blocks` for stored batch replies; heights without a pair carry the error of their reply."""
-    good, bad = pair_batch_replies(replies)
-    parsed = parse_blocks(good)
-    lost = bad.select("height", F.col("reason").alias("error"))
-    return parsed.unionByName(lost, allowMissingColumns=True)
+    lost = F.col("reason").isNotNull()
+    body = lambda c: F.when(~lost, F.col(c)).alias(c)
+    return _parse_blocks(_paired(replies).select("height", body("block_json"), body("results_json"), F.col("reason").alias("_lost")))
 
 
 #: How landed rows of each shape become parsed blocks.

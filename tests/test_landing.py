@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 
 from chainloom.catalog import ingest_side, standins
+from chainloom.sources import blocks
 
 
 def _tables(spark, folder, n):
@@ -41,3 +42,21 @@ def test_replies_need_no_join(spark, tmp_path):
     replies = ingest_side._replies(spark, sf)
     assert replies.where("height is null" if "height" in replies.columns else "first_height is null").isEmpty()
     assert "Join" not in replies._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_reply_bodies_are_shuffled_once(spark, tmp_path):
+    """Pairs, their failed batches and the decoded blocks of a batch come from one shuffle of the bodies and no sort before it."""
+    replies = spark.createDataFrame(
+        [(1, 10, 0, "{}", None), (1, 10, 1, "{}", None), (1, 10, 2, None, "boom"), (1, 10, 3, "{}", None), (2, 20, 1, "{}", None), (3, 30, 0, "{}", None), (3, 30, None, None, "full"), (None, 40, 0, "{}", None), (None, 40, 1, "{}", None)],
+        "batch_id bigint, first_height bigint, id int, result string, error string",
+    )
+    good, bad = blocks.pair_batch_replies(replies)
+    assert sorted(r.height for r in good.collect()) == [10, 40]
+    assert sorted(tuple(r) for r in bad.collect()) == [(11, "block h=11: boom"), (20, "missing reply"), (30, "batch rpc error: full")]
+    parsed = blocks.parse_replies(replies)
+    lost = {r.height: (r.error, r.events, r.time) for r in parsed.collect()}
+    assert lost[11] == ("block h=11: boom", None, None) and lost[10][0] == "block: bad time" and len(lost) == 5
+    for df in (good, parsed):
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+        assert plan.count("Exchange hashpartitioning(batch_id") == 2  # the bodies, and the errors of whole batches
+        assert "height#" not in "".join(x for x in plan.splitlines() if "Exchange hashpartitioning" in x)
