@@ -95,7 +95,7 @@ def drop_suppressed(amounts: DataFrame, metadata: DataFrame, denoms: DataFrame)
         .join(denoms, F.col("denom_id") == F.col("id"))
         .select(F.col("value").alias("source_denom"))
     )
-    return amounts.join(bad, "source_denom", "left_anti")
+    return amounts.join(F.broadcast(bad), "source_denom", "left_anti")
 
 
 def resolve_denoms(amounts: DataFrame, traces: DataFrame) -> DataFrame:
@@ -120,7 +120,7 @@ def resolve_denoms(amounts: DataFrame, traces: DataFrame) -> DataFrame:
         F.col("base_denom").alias("_base"),
         F.when(F.col("hash") != "", F.when(F.col("_answered").isNull(), F.lit("no stored trace")).otherwise(F.col("_error"))).alias("_trace_error"),
     )
-    return amounts.join(mapping, "source_denom", "left").select(
+    return amounts.join(F.broadcast(mapping), "source_denom", "left").select(
         *amounts.columns,
         F.when(ibc, F.col("_base")).otherwise(F.col("source_denom")).alias("resolved_denom"),
         F.when(

@@ -30,14 +30,16 @@ def rewards_snapshot(
     An unreadable amount leaves the date without a row, so it stays due; amounts of more than 40
     digits are listed in ``quarantine`` and are no rewards.
     """
+    # the calendar bounds heights; suppressed denoms, traced denoms, specs and denoms are lists of names: none is worth
+    # a shuffle of the amounts, which would put all rows of a height or denom into one task
     wanted = responses.join(
-        targets.select(F.col("block_height").alias("height")), "height", "left_semi"
+        F.broadcast(targets.select(F.col("block_height").alias("height"))), "height", "left_semi"
     )
     # decoded bodies and resolved amounts feed several steps, so each is computed once
     results = cut(reward_results(wanted), "reward-results")
     gate = snapshot_gate(results, ["height"])
     passed = gate.where(F.col("status") == "ok").select("height")
-    amounts = reward_amounts(results.join(passed, "height", "left_semi"))
+    amounts = reward_amounts(results.join(F.broadcast(passed), "height", "left_semi"))
     kept = drop_suppressed(amounts, metadata, denoms)
     resolved = cut(resolve_denoms(kept, traces), "reward-amounts")
     broken = resolved.groupBy("height").agg(
@@ -75,19 +77,19 @@ def rewards_snapshot(
     good = snapshots.where(F.col("status") == "ok").select(F.col("block_height").alias("height"))
     rows = (
         resolved.where(F.col("resolved_denom").isNotNull())
-        .join(good, "height", "left_semi")
+        .join(F.broadcast(good), "height", "left_semi")
         # amounts have up to 40 digits: the text is exact, the decimal is NULL beyond 38
         .withColumn("_exact", whole_text(F.col("amount_text")))
         .withColumn("amount", F.col("_exact").try_cast("decimal(38,0)"))
     )
     providers_next = dict_encode(
-        results.where(F.col("outcome") == "fetched").join(good, "height", "left_semi"), providers, "provider"
+        results.where(F.col("outcome") == "fetched").join(F.broadcast(good), "height", "left_semi"), providers, "provider"
     )
     specs_next = dict_encode(rows, specs, "spec")
     denoms_next = dict_encode(rows, denoms, "resolved_denom")
     coded = dict_lookup(rows, providers_next, "provider", "provider_id")
-    coded = dict_lookup(coded, specs_next, "spec", "spec_id")
-    coded = dict_lookup(coded, denoms_next, "resolved_denom", "denom_id").withColumnRenamed(
+    coded = dict_lookup(coded, F.broadcast(specs_next), "spec", "spec_id")
+    coded = dict_lookup(coded, F.broadcast(denoms_next), "resolved_denom", "denom_id").withColumnRenamed(
         "height", "block_height"
     )
     # a repeated key keeps its first amount in response order
