@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 HOUR_MICROS = 3_600_000_000
+DAY_MICROS = 24 * HOUR_MICROS
 #: Buckets of a group; a group's buckets are looked through in one task, and groups are few.
 GROUP = 1024
 
