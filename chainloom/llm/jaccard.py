@@ -58,34 +58,53 @@ def _need(n: Column) -> Column:
     return F.lit(1) + F.least(F.lit(4), (n / 40).cast("bigint"))
 
 
-def _sets(docs: DataFrame, size: int, num: int, den: int, heavy: np.ndarray) -> DataFrame:
-    """Set size, digest and prefix of every document; shingles in ``heavy`` come last in the order."""
-    shared = docs.sparkSession.sparkContext.broadcast(heavy)
+def _sets(docs: DataFrame, size: int, num: int, den: int, heavy: np.ndarray, new: np.ndarray | None = None) -> DataFrame:
+    """Set size, digest and prefix of every document; shingles in ``heavy`` come last in the order.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = shared.value
+    With ``new``, only of documents whose prefix by the order of ``heavy`` holds one of these further shingles, and by
+    the order that puts both last. All other prefixes are the same in both orders.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((heavy, new))
+
+    def prefix_of(s: np.ndarray, k: int, last: np.ndarray, known: np.ndarray) -> np.ndarray:
+        if not len(last) or not len(s):
+            return s[:k]
+        maybe = np.flatnonzero(known[(s >> np.uint64(44)).astype(np.int64)])
+        frequent = np.zeros(len(s), bool)
+        frequent[maybe] = _among(s[maybe], last)
+        light = s[~frequent]
+        return light[:k] if len(light) >= k else np.concatenate([light, s[frequent][: k - len(light)]])
+
+    def known_of(last: np.ndarray) -> np.ndarray:
         known = np.zeros(2**20, bool)
         known[(last >> np.uint64(44)).astype(np.int64)] = True
+        return known
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, added = shared.value
+        known = known_of(last)
+        if added is not None:
+            both = np.union1d(last, added)
+            known_both = known_of(both)
         for piece in pieces(batches):
-            n, d1, d2, parts, ends = [], [], [], [], [0]
-            for s in shingle_sets(piece, size):
+            n, d1, d2, parts, ends, rows = [], [], [], [], [0], []
+            for i, s in enumerate(shingle_sets(piece, size)):
+                k = min(len(s), len(s) - -(-num * len(s) // den) + need(len(s)))
+                prefix = prefix_of(s, k, last, known)
+                if added is not None:
+                    if not _among(prefix, added).any():
+                        continue
+                    prefix = prefix_of(s, k, both, known_both)
+                rows.append(i)
                 a = mix64(s ^ np.uint64(0x5851F42D4C957F2D))
                 n.append(len(s))
                 d1.append(a.sum(dtype=np.uint64))
                 d2.append(mix64(a).sum(dtype=np.uint64))
-                k = min(len(s), len(s) - -(-num * len(s) // den) + need(len(s)))
-                if len(last) and len(s):
-                    maybe = np.flatnonzero(known[(s >> np.uint64(44)).astype(np.int64)])
-                    frequent = np.zeros(len(s), bool)
-                    frequent[maybe] = last[np.minimum(np.searchsorted(last, s[maybe]), len(last) - 1)] == s[maybe]
-                    light = s[~frequent]
-                    s = light[:k] if len(light) >= k else np.concatenate([light, s[frequent][: k - len(light)]])
-                parts.append(s[:k])
-                ends.append(ends[-1] + len(parts[-1]))
+                parts.append(prefix)
+                ends.append(ends[-1] + len(prefix))
             flat = np.concatenate(parts).view(np.int64) if parts else np.zeros(0, np.int64)
             cols = [
-                piece.batch.column(0),
-                piece.batch.column(1),
+                *(piece.batch.column(c).take(pa.array(rows, pa.int64())) for c in (0, 1)),
                 pa.array(n, pa.int64()),
                 pa.array(np.array(d1, np.uint64).view(np.int64)),
                 pa.array(np.array(d2, np.uint64).view(np.int64)),
@@ -96,22 +115,47 @@ def _sets(docs: DataFrame, size: int, num: int, den: int, heavy: np.ndarray) ->
     return docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("th"), "text").mapInArrow(run, SETS)
 
 
+def _among(values: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Which of the values the sorted array holds."""
+    return of[np.minimum(np.searchsorted(of, values), len(of) - 1)] == values if len(of) else np.zeros(len(values), bool)
+
+
 def _representatives(sets: DataFrame, classes: DataFrame) -> DataFrame:
     """Id, size and prefix of each class, from its first document (twice if that row is repeated, which does no harm)."""
     same = sets.where("n > 0").join(classes, ["n", "d1", "d2"])
     return same.where((F.col("doc_id").eqNullSafe(F.col("doc_min"))) & (F.col("th") == F.col("th_min"))).select("cid", "n", "prefix")
 
 
-def _heavy(prefixes: DataFrame, least: int, most: int) -> np.ndarray:
-    """The shingles that ``least`` prefixes or more hold: the ``most`` most frequent ones, a bounded list.
+def _heavy(counts: DataFrame, least: int, most: int) -> np.ndarray:
+    """The shingles that ``least`` prefixes or more hold, of counts (t, k): the ``most`` most frequent ones, a bounded list.
 
     Their place in the order is a matter of speed alone, so a list cut at ``most`` loses no result.
     """
-    counts = prefixes.select(F.explode("prefix").alias("t")).groupBy("t").count().where(F.col("count") >= least)
-    rows = counts.orderBy(F.desc("count"), "t").limit(most).select("t").toPandas()["t"].to_numpy(np.int64)
+    rows = counts.where(F.col("k") >= least).orderBy(F.desc("k"), "t").limit(most).select("t").toPandas()["t"].to_numpy(np.int64)
     return np.sort(rows.view(np.uint64))
 
 
+def _frequent(docs: DataFrame, first: DataFrame, classes: DataFrame, size: int, num: int, den: int, least: int, most: int, rounds: int = 3) -> np.ndarray:
+    """The shingles that go last: those that are frequent in the ``first`` prefixes, and in those that these make.
+
+    With some shingles put last, prefixes reach further and hold others that are as frequent, as a passage does that
+    very many documents share. So the prefixes that change are counted again, for ``rounds`` rounds at most. Prefixes
+    that don't change hold a shingle less than ``least`` times, or it would be in the list, so what is left out is in
+    less than twice as many. Only the order is made here: no pair is lost by it.
+    """
+    def often(prefixes: DataFrame) -> np.ndarray:
+        return _heavy(prefixes.select(F.explode("prefix").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("k")), least, most)
+
+    heavy, new = np.zeros(0, np.uint64), often(_representatives(first, classes))
+    for _ in range(rounds):
+        if not len(new):
+            break
+        changed = _representatives(_sets(docs, size, num, den, heavy, new), classes)
+        heavy = np.union1d(heavy, new)
+        new = np.setdiff1d(often(changed), heavy)
+    return np.union1d(heavy, new)
+
+
 def _compare(pairs: DataFrame, texts: DataFrame, size: int, similar: float, with_flips: bool = True, chunk: int = 256) -> DataFrame:
     """(a, b, shared, flips) of pairs of classes with a similarity of ``similar`` or more, from their whole sets.
 
@@ -275,20 +319,20 @@ def jaccard_join(
         .withColumn("cid", F.monotonically_increasing_id()),
         "jaccard-classes",
     )
-    heavy = _heavy(_representatives(first, classes), heavy_least, heavy_most)
+    heavy = _frequent(docs, first, classes, size, num, den, heavy_least, heavy_most)
     prefixes = _representatives(_sets(docs, size, num, den, heavy), classes)
-    postings = stored(
-        prefixes.select("cid", "n", F.posexplode("prefix").alias("pos", "t")).select(
-            "t", "cid", "n", "pos", (F.log("n") / log(den / num) + 1e-9).cast("int").alias("band"), F.expr(f"cast(ln(n) / {log(den / num)!r} + 0.5 as int)").alias("shifted")
-        ),
-        "jaccard-postings",
-    )
+    postings = stored(prefixes.select("cid", "n", F.posexplode("prefix").alias("pos", "t")).select("t", "cid", "n", "pos"), "jaccard-postings")
     shared = postings.groupBy("t").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("t")
     # sets differ in at most (na + nb) (den - num) / (den + num) shingles; e is a position's excess over n times that
     # and over the shared shingles before it, whose number is that of the largest set that can be similar
     partner = _need(F.ceil(F.col("n") * den / num))
     lists = stored(
-        postings.join(shared, "t").withColumn("e", F.floor(F.col("pos") - F.col("n") * (den - num) / (den + num) - (partner - 1) - 1e-9)),
+        postings.join(shared, "t").select(
+            "*",
+            (F.log("n") / log(den / num) + 1e-9).cast("int").alias("band"),
+            F.expr(f"cast(ln(n) / {log(den / num)!r} + 0.5 as int)").alias("shifted"),
+            F.floor(F.col("pos") - F.col("n") * (den - num) / (den + num) - (partner - 1) - 1e-9).alias("e"),
+        ),
         "jaccard-lists",
     )
     fits = (F.least("na", "nb") * den >= F.greatest("na", "nb") * num) & (

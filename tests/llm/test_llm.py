@@ -99,6 +99,19 @@ def test_flips_join_a_group_of_far_copies(spark):
     assert {out[k] for k in range(1, 300, 2)} == {1}
 
 
+def test_passage_of_many_documents_makes_no_long_lists(spark, monkeypatch):
+    """A passage that all documents share stays out of the index as long as their other words fill it."""
+    rng = random.Random(3)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(k, " ".join([f"w{rng.randrange(10**9)}" for _ in range(rng.randint(90, 130))] + passage), "s") for k in range(200)]
+    rows.append((200, rows[7][1] + " tail", "s"))
+    lists, keep = [], jaccard.stored
+    monkeypatch.setattr(jaccard, "stored", lambda df, purpose: lists.append(keep(df, purpose)) or lists[-1] if purpose == "jaccard-lists" else keep(df, purpose))
+    out = {r[0]: r[1] for r in jaccard.jaccard_join(make_docs(spark, rows), size=3, num=9, den=10).select("doc_id", "component_id").collect()}
+    assert out == {k: 7 if k == 200 else k for k in range(201)}
+    assert lists[0].groupBy("t").agg(F.countDistinct("cid").alias("k")).agg(F.max("k")).first()[0] < 48
+
+
 def test_top_k_edges(spark):
     kind = "vec_id bigint, embedding array<float>, score int"
     nan, inf = float("nan"), float("inf")
