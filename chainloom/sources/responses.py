@@ -56,9 +56,10 @@ def reward_results(responses: DataFrame) -> DataFrame:
 
 def reward_amounts(results: DataFrame) -> DataFrame:
     """One row per amount of fetched responses, with its place in the response."""
-    entries = results.where(F.col("outcome") == "fetched").select(
-        "height", "provider", "position", F.posexplode("entries").alias("entry_pos", "_e")
-    )
+    # outer, so that no filter on the decoded entries is derived: it would go below the steps before it and decode each
+    # body once for every mention of a field; responses without entries drop out with the second explode
+    fetched = F.when(F.col("outcome") == "fetched", F.col("entries"))
+    entries = results.select("height", "provider", "position", F.posexplode_outer(fetched).alias("entry_pos", "_e"))
     return entries.select(
         "height",
         "provider",

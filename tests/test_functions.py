@@ -45,6 +45,17 @@ def test_display_amount_is_exact(spark):
     assert value.first()[0] == Decimal("0.000000152407")
 
 
+def test_reward_bodies_are_decoded_once(spark, tmp_path):
+    """No filter on the entries goes below the steps that decode a body, where it would decode it once for every field."""
+    info = '{"info":[{"source":"Pools: A","amount":[{"denom":"u","amount":"5"},{"denom":"v","amount":"6"}]},{"source":"B","amount":[]}]}'
+    bodies = [(1, 200, info), (2, 503, info), (3, 200, '{"info":[],"total":[]}'), (4, 200, "{bad"), (5, 200, '{"total":[{"denom":"w","amount":"7"}]}'), (6, 200, None)]
+    spark.createDataFrame([(9, "p", i, s, b) for i, s, b in bodies], "height bigint, provider string, position bigint, http_status int, body string").write.parquet(str(tmp_path / "r"))
+    amounts = responses.reward_amounts(responses.reward_results(spark.read.parquet(str(tmp_path / "r"))))
+    assert amounts._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    got = sorted((r.position, r.entry_pos, r.amount_pos, r.source_kind, r.spec, r.source_denom, r.amount_text) for r in amounts.collect())
+    assert got == [(1, 0, 0, 1, "A", "u", "5"), (1, 0, 1, 1, "A", "v", "6"), (5, 0, 0, 3, "", "w", "7")]
+
+
 def test_long_amounts_are_not_lost(spark):
     body = '{"info":[{"source":"Pools: A","amount":[{"denom":"u","amount":"' + "9" * 41 + '"}]}]}'
     df = spark.createDataFrame([(1, "p", 1, 200, body)], "height bigint, provider string, position bigint, http_status int, body string")
