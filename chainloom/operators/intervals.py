@@ -91,14 +91,16 @@ def compact_ranges(
     return merged, saved
 
 
-def _gaps_between(clipped: DataFrame, keys: list[str], width: int) -> DataFrame:
-    """Gaps before each covered start; ``clipped`` carries ``start_height`` and ``end_height``."""
-    starts = clipped.groupBy(*keys, "from_height").agg(
-        F.max("to_height").alias("to_height"), F.first("start_height").alias("start_height")
-    )
+def _gaps_between(clipped: DataFrame, wanted: DataFrame, keys: list[str], width: int) -> DataFrame:
+    """Gaps before each covered start; ``wanted`` has ``start_height`` per key.
+
+    It is joined again behind the window, so that both branches of ``max_before`` read the same shuffled starts.
+    """
+    first = wanted.groupBy(*keys).agg(F.first("start_height").alias("start_height"))
     reach = F.greatest(F.col("_reach"), F.col("start_height") - 1)
     return (
-        max_before(starts, keys, "from_height", "to_height", "_reach", width)
+        max_before(_one_row_per_start(clipped, keys), keys, "from_height", "to_height", "_reach", width)
+        .join(F.broadcast(first), keys)
         .where(F.col("from_height") > reach + 1)
         .select(*keys, (reach + 1).alias("gap_from"), (F.col("from_height") - 1).alias("gap_to"))
     )
@@ -118,11 +120,12 @@ def range_gaps(
         by,
     )
     df, _ = _keyed(ranges.select(*by, "from_height", "to_height"), by)
-    clipped = df.join(wanted, keys).where(
+    # one row per key: a shuffle by the key alone would put all ranges of a handler into one task
+    clipped = df.join(F.broadcast(wanted), keys).where(
         (F.col("to_height") >= F.col("start_height"))
         & (F.col("from_height") <= F.col("end_height"))
     )
-    inner = _gaps_between(clipped, keys, width)
+    inner = _gaps_between(clipped, wanted, keys, width)
     reach = clipped.groupBy(*keys).agg(F.max("to_height").alias("_reach"))
     tail = (
         wanted.join(reach, keys, "left")
@@ -335,7 +338,7 @@ def coverage_ratio(
     hi = F.least("to_height", "end_height")
     covered = (
         merge_ranges(ranges, by, width)
-        .join(windows, list(by))
+        .join(F.broadcast(windows), list(by))
         .groupBy(*by)
         .agg(F.sum(F.greatest(hi - lo + 1, F.lit(0).cast("bigint"))).alias("covered"))
     )
@@ -377,7 +380,7 @@ def prune_outside_window(
     )
     outside_point = ~F.col("height").between(F.col("start_height"), F.col("end_height"))
     keep = lambda df, outside: (
-        df.join(windows.select(*by, "start_height", "end_height"), list(by), "left")
+        df.join(F.broadcast(windows.select(*by, "start_height", "end_height")), list(by), "left")
         .where(F.col("start_height").isNull() | ~outside)
         .drop("start_height", "end_height")
     )

@@ -79,6 +79,20 @@ def test_gaps_of_empty_window(spark, frames):
     none = spark.createDataFrame([("h0", 10, 9)], WINDOW)
     assert iv.range_gaps(frames[0], none).count() == 0
 
+def test_ranges_are_not_shuffled_by_handler(spark, frames, data):
+    """One handler may own nearly all ranges, so its window goes to them."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        gaps = iv.range_gaps(*frames, width=64)
+        for df, kind in ((gaps, "Inner"), (iv.coverage_ratio(*frames, width=64), "Inner"), (iv.prune_outside_window(frames[0], frames[0].selectExpr("handler", "from_height as height"), frames[1])[0], "LeftOuter")):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert any("BroadcastHashJoin [handler" in x and kind in x for x in plan.split("\n"))
+        want = {h: runs(set(range(START, END + 1)) - covered(r)) for h, r in data.items()}
+        assert grouped(gaps) == {h: g for h, g in want.items() if g}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
 
 @pytest.mark.parametrize("salts", [1, 3])
 def test_overlap_join(spark, frames, data, salts):
