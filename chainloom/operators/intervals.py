@@ -26,6 +26,8 @@ HANDLER = ["handler"]
 _ALL = "_all"
 # heights (or chunks) one exploded array may hold
 _FAN = 1 << 14
+# ranges of 2 to 2^4 heights share one bucket width in overlap joins
+_SHORT = 4
 
 
 def _keyed(df: DataFrame, by: list[str]) -> tuple[DataFrame, list[str]]:
@@ -146,9 +148,13 @@ def union_gaps(
 
 
 def _level(lo: str, hi: str) -> Column:
-    """Smallest n with 2^n heights >= the length of the range, so it touches at most two buckets
-    of that width."""
-    return F.ceil(F.log2(F.col(hi) - F.col(lo) + 1)).cast("int")
+    """n of the buckets of 2^n heights of a range, which touches at most two of them.
+
+    2^n is the length of the range or the next power of two; lengths of 2 to 2^_SHORT share one width, so that short
+    ranges need no copy for each length of the other side.
+    """
+    n = F.ceil(F.log2(F.col(hi) - F.col(lo) + 1)).cast("int")
+    return F.when(n > 0, F.greatest(n, F.lit(_SHORT))).otherwise(n)
 
 
 def _spread(df: DataFrame, lo: str, hi: str, first: str) -> DataFrame:
@@ -163,10 +169,10 @@ def range_overlap_join(
     """Pairs of overlapping non-empty ranges of one key, as equi joins on height buckets.
 
     The right range arrives as ``r_from, r_to`` next to the other right columns. A pair meets in
-    buckets as wide as its longer range (the next power of two), so the candidates stay within a
-    small factor of the result whatever mix of lengths there is. A pair sharing two buckets is
-    kept in the first one. ``salts`` > 1 splits the left rows of every bucket and repeats the
-    right ones; without it AQE still splits skewed buckets.
+    buckets as wide as its longer range (the next power of two, 16 heights for short ones), so the
+    candidates stay within a small factor of the result whatever mix of lengths there is. A pair
+    sharing two buckets is kept in the first one. ``salts`` > 1 splits the larger side's rows of
+    every bucket and repeats those of the smaller side; without it AQE still splits skewed buckets.
     """
     r = right.withColumnsRenamed({"from_height": "r_from", "to_height": "r_to"})
     clash = [c for c in r.columns if c in left.columns and c not in by]
@@ -181,8 +187,11 @@ def range_overlap_join(
     def meet(x: DataFrame, y: DataFrame) -> DataFrame:
         on = [*by, "_level", BUCKET]
         if salts > 1:
-            x = x.withColumn("_salt", F.pmod(F.xxhash64("from_height", "to_height"), F.lit(salts)))
-            y = y.withColumn("_salt", F.explode(F.expr(f"sequence(0L, {salts - 1}L)")))
+            left_smaller = a.agg(F.count(F.lit(1))).scalar() <= b.agg(F.count(F.lit(1))).scalar()
+            all_salts = F.expr(f"sequence(0L, {salts - 1}L)")
+            own_salt = lambda lo, hi: F.array(F.pmod(F.xxhash64(lo, hi), F.lit(salts)))
+            x = x.withColumn("_salt", F.explode(F.when(left_smaller, all_salts).otherwise(own_salt("from_height", "to_height"))))
+            y = y.withColumn("_salt", F.explode(F.when(left_smaller, own_salt("r_from", "r_to")).otherwise(all_salts)))
             on.append("_salt")
         return (
             x.join(y, on)
@@ -194,17 +203,22 @@ def range_overlap_join(
             .drop(BUCKET, "_level", "_first", "_r_first", "_salt", "_own", "_r_own")
         )
 
-    left_own = _spread(a.withColumn("_level", F.col("_own")), "from_height", "to_height", "_first")
-    right_up = _spread(
-        b.withColumn("_level", F.explode(a_levels)).where("_level >= _r_own"),
-        "r_from", "r_to", "_r_first",
-    )
+    # the right range is the longer one, or both have one width; right ranges are shuffled once
     left_up = _spread(
-        a.withColumn("_level", F.explode(b_levels)).where("_level > _own"),
+        a.withColumn("_level", F.explode(b_levels)).where("_level >= _own"),
         "from_height", "to_height", "_first",
     )
     right_own = _spread(b.withColumn("_level", F.col("_r_own")), "r_from", "r_to", "_r_first")
-    return meet(left_own, right_up).unionByName(meet(left_up, right_own))
+    # the left range is the longer one
+    left_own = _spread(
+        a.withColumn("_level", F.col("_own")).where(F.col("_level") > F.array_min(b_levels)),
+        "from_height", "to_height", "_first",
+    )
+    right_up = _spread(
+        b.withColumn("_level", F.explode(a_levels)).where("_level > _r_own"),
+        "r_from", "r_to", "_r_first",
+    )
+    return meet(left_up, right_own).unionByName(meet(left_own, right_up))
 
 
 def needs_range(

@@ -106,6 +106,24 @@ def test_overlap_join(spark, frames, data, salts):
     assert got == want
 
 
+def test_short_ranges_are_copied_once(spark, monkeypatch):
+    """Ranges of 1 to 8 heights need a row per bucket they touch, not one more for each length of the other side."""
+    spread, copies = iv._spread, []
+
+    def counted(df, lo, hi, first):
+        out = spread(df, lo, hi, first)
+        copies.append((lo, out.count()))
+        return out
+
+    monkeypatch.setattr(iv, "_spread", counted)
+    left = [("a", 5 * i, 5 * i + i % 6) for i in range(100)]
+    right = [("a", 3 * i, 3 * i + i % 8) for i in range(200)]
+    met = iv.range_overlap_join(spark.createDataFrame(left, RANGE), spark.createDataFrame(right, RANGE), salts=2)
+    got = sorted((r.from_height, r.to_height, r.r_from, r.r_to) for r in met.collect())
+    assert got == sorted((f, t, a, b) for _, f, t in left for _, a, b in right if a <= t and b >= f)
+    assert sum(n for lo, n in copies if lo == "r_from") < 2 * len(right)
+
+
 def test_needs(spark, frames, data):
     rng = random.Random(5)
     asked = sorted({(h, f, f + rng.choice([-1, 0, 3, 40])) for h in data for f in (rng.randint(0, 450) for _ in range(6))})
