@@ -12,11 +12,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chainloom.session import cut
 
 PIECE_BYTES = 2_000_000
+SKETCH_BITS = 1 << 23
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +29,19 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return cut(df, f"llm-{purpose}")
 
 
+def marked(df: DataFrame, of: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` with a column ``maybe``, false only where no row of ``of`` has the same keys.
+
+    The hashes of the keys of ``of`` are sketched in 2**23 bits, which are broadcast in words of 64, 131,072 at most however
+    many rows there are. So rows with wide columns that meet nothing need no shuffle; a join after it is still exact.
+    """
+    bit = F.xxhash64(*keys).bitwiseAND(F.lit(SKETCH_BITS - 1))
+    word, place = F.shiftright(bit, 6).alias("_word"), bit.bitwiseAND(F.lit(63)).cast("int")
+    words = of.select(word, place.alias("_at")).groupBy("_word").agg(F.expr("bit_or(shiftleft(1L, _at))").alias("_bits"))
+    met = df.withColumns({"_word": word, "_at": place}).join(F.broadcast(words), "_word", "left")
+    return met.withColumn("maybe", F.coalesce(F.expr("getbit(_bits, _at) = 1"), F.lit(False))).drop("_word", "_at", "_bits")
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """The finaliser of splitmix64: spreads a 64-bit value over all its bits."""
     x = x.astype(np.uint64, copy=True)

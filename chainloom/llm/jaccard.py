@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from chainloom.llm.common import Piece, combine, mix64, pieces, stored, words_of
+from chainloom.llm.common import Piece, combine, marked, mix64, pieces, stored, words_of
 from chainloom.llm.components import components
 
 SETS = "doc_id bigint, th bigint, n bigint, d1 bigint, d2 bigint, prefix array<bigint>"
@@ -348,7 +348,10 @@ def jaccard_join(
     def texts_for(pairs: DataFrame, purpose: str) -> DataFrame:
         ids = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
         want = ids.join(classes, "cid").select("cid", F.coalesce("doc_min", F.lit(-(2**63))).alias("id"), F.col("th_min").alias("th"))
+        want = stored(want, f"{purpose}-wanted")
         found = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("id"), F.xxhash64("text").alias("th"), "text")
+        # most texts are not wanted, so they are left where they are
+        found = marked(found, want, ["id", "th"]).where("maybe").drop("maybe")
         return stored(found.join(want, ["id", "th"]).select("cid", "text"), purpose)
 
     def linked(compared: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chainloom.llm import contamination, jaccard, lines, mixing, quality
-from chainloom.llm.common import stored, table
+from chainloom.llm.common import marked, stored, table
 from chainloom.llm.queries import TARGETS
 from chainloom.session import configure
 
@@ -40,7 +40,11 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     configure(spark)
     docs = docs.select(*COLUMNS)
     groups = jaccard.jaccard_join(docs, size=5, num=8, den=10)
-    return docs.join(groups.where("component_id < doc_id").select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    copies = stored(groups.where("component_id < doc_id").select("doc_id").distinct(), "jaccard-copies")
+    # few documents go, so texts are not shuffled to find them
+    seen = marked(docs, copies, ["doc_id"])
+    others = seen.where("not maybe").select(*COLUMNS)
+    return others.unionByName(seen.where("maybe").join(copies, "doc_id", "left_anti").select(*COLUMNS))
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
