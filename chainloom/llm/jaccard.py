@@ -1,9 +1,10 @@
 """N-gram Jaccard join with set-relation skipping.
 
 Documents with equal shingle sets are one class. Each class enters the index with a prefix of its shingles
-in an order that puts frequent ones last; two sets above the threshold share at least ``_need`` shingles of their
+in an order that puts frequent ones last, taken from its head, the smallest shingles of its text; two sets above the threshold share at least ``_need`` shingles of their
 prefixes. The index lists are in blocks by set size and by position in the prefix, both part of the join key: an
-entry meets only blocks near enough that the two positions leave room for a similar pair.
+entry meets only blocks near enough that the two positions leave room for a similar pair. Entries that can meet none
+are left out of the lists.
 
 Answers are reused between similar sets. Every block of a list has a leader, its first class; a class is
 compared with its leaders, and the shingles in which it differs from the first similar one, its flips, are kept. Two
@@ -31,8 +32,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from chainloom.llm.common import Piece, combine, marked, mix64, pieces, stored, words_of
 from chainloom.llm.components import components
 
-SETS = "doc_id bigint, th bigint, n bigint, d1 bigint, d2 bigint, prefix array<bigint>"
+SETS = "doc_id bigint, th bigint, n bigint, d1 bigint, d2 bigint, head array<bigint>"
 _LAST = np.uint64(1) << np.uint64(63)
+_NO_ID = -(2**63)
 
 
 def shingle_sets(piece: Piece, size: int) -> Iterator[np.ndarray]:
@@ -49,81 +51,160 @@ def shingle_sets(piece: Piece, size: int) -> Iterator[np.ndarray]:
             yield h[:0]
 
 
-def need(n: int) -> int:
+def need(n: np.ndarray) -> np.ndarray:
     """Shared prefix shingles asked for; grows with the set, so that chance matches of long texts drop out."""
-    return 1 + min(4, n // 40)
+    return 1 + np.minimum(4, n // 40)
 
 
 def _need(n: Column) -> Column:
     return F.lit(1) + F.least(F.lit(4), (n / 40).cast("bigint"))
 
 
-def _sets(docs: DataFrame, size: int, num: int, den: int, heavy: np.ndarray, new: np.ndarray | None = None) -> DataFrame:
-    """Set size, digest and prefix of every document; shingles in ``heavy`` come last in the order.
+def _length(n: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Prefix length of sets of these sizes."""
+    return np.minimum(n, n - -(-num * n // den) + need(n))
 
-    With ``new``, only of documents whose prefix by the order of ``heavy`` holds one of these further shingles, and by
-    the order that puts both last. All other prefixes are the same in both orders.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast((heavy, new))
 
-    def prefix_of(s: np.ndarray, k: int, last: np.ndarray, known: np.ndarray) -> np.ndarray:
-        if not len(last) or not len(s):
-            return s[:k]
-        maybe = np.flatnonzero(known[(s >> np.uint64(44)).astype(np.int64)])
-        frequent = np.zeros(len(s), bool)
-        frequent[maybe] = _among(s[maybe], last)
-        light = s[~frequent]
-        return light[:k] if len(light) >= k else np.concatenate([light, s[frequent][: k - len(light)]])
+def _joined(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(values of all sets in a row, their ends behind a 0)."""
+    ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int64)
+    return np.concatenate([*sets, np.zeros(0, np.uint64)]), ends
+
+
+def _lists(flat: np.ndarray, ends: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)))
 
-    def known_of(last: np.ndarray) -> np.ndarray:
-        known = np.zeros(2**20, bool)
-        known[(last >> np.uint64(44)).astype(np.int64)] = True
-        return known
+
+def _sets(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """Set size, digest and head of every document.
+
+    A head holds the smallest shingles, twice as many as a prefix. So a prefix by another order can be taken from it
+    as long as no more than half of it comes last in that order, without a look at the text.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, added = shared.value
-        known = known_of(last)
-        if added is not None:
-            both = np.union1d(last, added)
-            known_both = known_of(both)
         for piece in pieces(batches):
-            n, d1, d2, parts, ends, rows = [], [], [], [], [0], []
-            for i, s in enumerate(shingle_sets(piece, size)):
-                k = min(len(s), len(s) - -(-num * len(s) // den) + need(len(s)))
-                prefix = prefix_of(s, k, last, known)
-                if added is not None:
-                    if not _among(prefix, added).any():
-                        continue
-                    prefix = prefix_of(s, k, both, known_both)
-                rows.append(i)
+            n, d1, d2, heads = [], [], [], []
+            for s in shingle_sets(piece, size):
                 a = mix64(s ^ np.uint64(0x5851F42D4C957F2D))
                 n.append(len(s))
                 d1.append(a.sum(dtype=np.uint64))
                 d2.append(mix64(a).sum(dtype=np.uint64))
-                parts.append(prefix)
-                ends.append(ends[-1] + len(prefix))
-            flat = np.concatenate(parts).view(np.int64) if parts else np.zeros(0, np.int64)
+                heads.append(s[: 2 * int(_length(np.array(len(s)), num, den))])
             cols = [
-                *(piece.batch.column(c).take(pa.array(rows, pa.int64())) for c in (0, 1)),
+                piece.batch.column(0),
+                piece.batch.column(1),
                 pa.array(n, pa.int64()),
                 pa.array(np.array(d1, np.uint64).view(np.int64)),
                 pa.array(np.array(d2, np.uint64).view(np.int64)),
-                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
+                _lists(*_joined(heads)),
             ]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "th", "n", "d1", "d2", "prefix"])
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "th", "n", "d1", "d2", "head"])
 
     return docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("th"), "text").mapInArrow(run, SETS)
 
 
+def _put_last(flat: np.ndarray, ends: np.ndarray, n: np.ndarray, num: int, den: int, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(prefixes, their ends, rows too short) of sets of size ``n`` by the order that puts the shingles ``last`` last.
+
+    ``flat`` holds the smallest shingles of each set. Where these are not the whole set and too few of them come
+    before ``last``, the row is too short and gets no prefix.
+    """
+    held = np.diff(ends)
+    k = _length(n, num, den)
+    row = np.repeat(np.arange(len(held)), held)
+    light = np.ones(len(flat), bool)
+    if len(last):
+        known = np.zeros(2**20, bool)
+        known[(last >> np.uint64(44)).astype(np.int64)] = True
+        maybe = np.flatnonzero(known[(flat >> np.uint64(44)).astype(np.int64)])
+        light[maybe] = ~_among(flat[maybe], last)
+    before = np.concatenate([[0], np.cumsum(light)])
+    lights = before[ends[1:]] - before[ends[:-1]]
+    rank = before[:-1] - before[ends[:-1]][row]  # light shingles of the row before this one
+    place = np.where(light, rank, lights[row] + np.arange(len(flat)) - ends[:-1][row] - rank)
+    short = (lights < k) & (held < n)
+    keep = (place < k[row]) & ~short[row]
+    out_ends = np.concatenate([[0], np.cumsum(np.where(short, 0, np.minimum(k, held)))])
+    out = np.zeros(out_ends[-1], np.uint64)
+    out[out_ends[:-1][row[keep]] + place[keep]] = flat[keep]
+    return out, out_ends, short
+
+
+def _reordered(
+    flat: np.ndarray, ends: np.ndarray, n: np.ndarray, num: int, den: int, heavy: np.ndarray, new: np.ndarray | None
+) -> tuple[np.ndarray, pa.ListArray, np.ndarray]:
+    """(rows, their prefixes, rows too short) by the order that puts ``heavy`` and ``new`` last.
+
+    With ``new``, only rows whose prefix by the order of ``heavy`` holds one of these further shingles: all other
+    prefixes are the same in both orders.
+    """
+    out, out_ends, short = _put_last(flat, ends, n, num, den, heavy if new is None else np.union1d(heavy, new))
+    use = ~short
+    if new is not None:
+        was, was_ends, _ = _put_last(flat, ends, n, num, den, heavy)
+        hits = np.concatenate([[0], np.cumsum(_among(was, new))])
+        use &= hits[was_ends[1:]] > hits[was_ends[:-1]]
+    size = np.diff(out_ends)
+    return np.flatnonzero(use), _lists(out[np.repeat(use, size)], np.concatenate([[0], np.cumsum(size[use])])), np.flatnonzero(short)
+
+
+def _prefixes(docs: DataFrame, reps: DataFrame, size: int, num: int, den: int, heavy: np.ndarray, new: np.ndarray | None = None) -> DataFrame:
+    """(cid, n, prefix) of classes by the order that puts ``heavy`` and ``new`` last; with ``new``, of those this changes.
+
+    They are taken from the heads; only classes whose head is too short are made from their texts again.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((heavy, new))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            n, head = batch.column("n").to_numpy(), batch.column("head")
+            ends = np.asarray(head.offsets).astype(np.int64)
+            flat = head.values.to_numpy()[ends[0] : ends[-1]].view(np.uint64)
+            rows, prefixes, short = _reordered(flat, ends - ends[0], n, num, den, *shared.value)
+            take = pa.array(np.concatenate([rows, short]))
+            empty = _lists(np.zeros(0, np.uint64), np.zeros(len(short) + 1, np.int64))
+            cols = [batch.column(c).take(take) for c in ("cid", "n", "id", "th")]
+            cols += [pa.concat_arrays([prefixes, empty]), pa.array(np.arange(len(take)) >= len(rows))]
+            yield pa.RecordBatch.from_arrays(cols, names=["cid", "n", "id", "th", "prefix", "short"])
+
+    def run_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches):
+            flat, ends = _joined(list(shingle_sets(piece, size)))
+            n = np.diff(ends)
+            rows, prefixes, _ = _reordered(flat, ends, n, num, den, *shared.value)
+            cols = [piece.batch.column(c).take(pa.array(rows)) for c in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(n[rows]), prefixes], names=["id", "th", "n", "prefix"])
+
+    seen = reps.mapInArrow(run, "cid bigint, n bigint, id bigint, th bigint, prefix array<bigint>, short boolean")
+    out = seen.where("not short").select("cid", "n", "prefix")
+    if not len(heavy) and new is None:
+        return out
+    short = stored(seen.where("short").select("cid", "id", "th"), "jaccard-short")
+    if short.isEmpty():
+        return out
+    texts = marked(_texts(docs), short, ["id", "th"]).where("maybe").select("id", "th", "text")
+    whole = texts.mapInArrow(run_whole, "id bigint, th bigint, n bigint, prefix array<bigint>")
+    return out.unionByName(whole.join(short, ["id", "th"]).select("cid", "n", "prefix"))
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    """Texts by the id and hash that name a class's first document."""
+    return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID)).alias("id"), F.xxhash64("text").alias("th"), "text")
+
+
 def _among(values: np.ndarray, of: np.ndarray) -> np.ndarray:
     """Which of the values the sorted array holds."""
     return of[np.minimum(np.searchsorted(of, values), len(of) - 1)] == values if len(of) else np.zeros(len(values), bool)
 
 
 def _representatives(sets: DataFrame, classes: DataFrame) -> DataFrame:
-    """Id, size and prefix of each class, from its first document (twice if that row is repeated, which does no harm)."""
+    """Id, size and head of each class, from its first document (twice if that row is repeated, which does no harm)."""
     same = sets.where("n > 0").join(classes, ["n", "d1", "d2"])
-    return same.where((F.col("doc_id").eqNullSafe(F.col("doc_min"))) & (F.col("th") == F.col("th_min"))).select("cid", "n", "prefix")
+    first = same.where((F.col("doc_id").eqNullSafe(F.col("doc_min"))) & (F.col("th") == F.col("th_min")))
+    return first.select("cid", "n", F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), "th", "head")
 
 
 def _heavy(counts: DataFrame, least: int, most: int) -> np.ndarray:
@@ -135,8 +216,8 @@ def _heavy(counts: DataFrame, least: int, most: int) -> np.ndarray:
     return np.sort(rows.view(np.uint64))
 
 
-def _frequent(docs: DataFrame, first: DataFrame, classes: DataFrame, size: int, num: int, den: int, least: int, most: int, rounds: int = 3) -> np.ndarray:
-    """The shingles that go last: those that are frequent in the ``first`` prefixes, and in those that these make.
+def _frequent(docs: DataFrame, reps: DataFrame, size: int, num: int, den: int, least: int, most: int, rounds: int = 3) -> np.ndarray:
+    """The shingles that go last: those that are frequent in the prefixes by hash, and in those that these make.
 
     With some shingles put last, prefixes reach further and hold others that are as frequent, as a passage does that
     very many documents share. So the prefixes that change are counted again, for ``rounds`` rounds at most. Prefixes
@@ -146,17 +227,20 @@ def _frequent(docs: DataFrame, first: DataFrame, classes: DataFrame, size: int,
     def often(prefixes: DataFrame) -> np.ndarray:
         return _heavy(prefixes.select(F.explode("prefix").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("k")), least, most)
 
-    heavy, new = np.zeros(0, np.uint64), often(_representatives(first, classes))
+    heavy = np.zeros(0, np.uint64)
+    new = often(_prefixes(docs, reps, size, num, den, heavy))
     for _ in range(rounds):
         if not len(new):
             break
-        changed = _representatives(_sets(docs, size, num, den, heavy, new), classes)
+        changed = _prefixes(docs, reps, size, num, den, heavy, new)
         heavy = np.union1d(heavy, new)
         new = np.setdiff1d(often(changed), heavy)
     return np.union1d(heavy, new)
 
 
-def _compare(pairs: DataFrame, texts: DataFrame, size: int, similar: float, with_flips: bool = True, chunk: int = 256) -> DataFrame:
+def _compare(
+    pairs: DataFrame, docs: DataFrame, classes: DataFrame, purpose: str, size: int, similar: float, with_flips: bool = True, chunk: int = 256
+) -> DataFrame:
     """(a, b, shared, flips) of pairs of classes with a similarity of ``similar`` or more, from their whole sets.
 
     Flips are empty without ``with_flips``. Rows of one ``a`` are dealt in chunks of about ``chunk``, each with one copy of a's text, and streamed.
@@ -164,9 +248,14 @@ def _compare(pairs: DataFrame, texts: DataFrame, size: int, similar: float, with
     counts = pairs.groupBy("a").agg((F.count(F.lit(1)) / chunk).cast("int").alias("last"))
     left = counts.select("a", F.explode(F.sequence(F.lit(0), "last")).alias("part"), F.lit(0).alias("kind"), F.col("a").alias("b"))
     right = pairs.join(counts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("last") + 1).cast("int").alias("part"), F.lit(1).alias("kind"), "b")
+    ids = classes.select(F.col("cid").alias("b"), F.coalesce("doc_min", F.lit(_NO_ID)).alias("id"), F.col("th_min").alias("th"))
+    want = stored(left.unionByName(right).join(ids, "b"), f"{purpose}-wanted")
+    # most texts are not wanted, so they are left where they are; the others go to their pairs without a stop
     rows = (
-        left.unionByName(right)
-        .join(texts.select(F.col("cid").alias("b"), "text"), "b")
+        marked(_texts(docs), want, ["id", "th"])
+        .where("maybe")
+        .drop("maybe")
+        .join(want, ["id", "th"])
         .repartition("a", "part")
         .sortWithinPartitions("a", "part", "kind")
         .select("a", "b", "kind", "text")
@@ -231,6 +320,32 @@ def _links_of_blocks(left: tuple, right: tuple, num: int, den: int) -> list[tupl
     return out
 
 
+def _meeting(postings: DataFrame, num: int, den: int) -> DataFrame:
+    """The entries (t, cid, n, pos, band, shifted, e) of index lists that another entry of their list may meet.
+
+    Sets of a similar pair lie in the same size band or in neighbouring ones, and their excesses ``e`` sum to 0 at
+    most. Per list its number of entries, the bands in use modulo 64 and the least and greatest excess are enough to
+    drop most entries that meet none; what they can't decide stays.
+    """
+    # sets differ in at most (na + nb) (den - num) / (den + num) shingles; e is a position's excess over n times that
+    # and over the shared shingles before it, whose number is that of the largest set that can be similar
+    partner = _need(F.ceil(F.col("n") * den / num))
+    band = (F.log("n") / log(den / num) + 1e-9).cast("int")
+    e = F.floor(F.col("pos") - F.col("n") * (den - num) / (den + num) - (partner - 1) - 1e-9)
+    held = postings.select("t", band.alias("band"), e.alias("e")).groupBy("t").agg(
+        F.count(F.lit(1)).alias("k"), F.expr("bit_or(shiftleft(1L, band % 64))").alias("bands"), F.min("e").alias("lo"), F.max("e").alias("hi")
+    )
+    beside = F.expr("shiftleft(bands, 1) | shiftrightunsigned(bands, 63) | shiftrightunsigned(bands, 1) | shiftleft(bands, 63)")
+    held = held.where("k > 2 or k = 2 and lo + hi <= 0").withColumn("beside", beside).where("bit_count(bands) < k or (bands & beside) <> 0")
+    held = held.select("t", "lo", F.expr("if(bit_count(bands) < k, -1L, beside)").alias("beside"))
+    return (
+        postings.join(held, "t")
+        .select("*", band.alias("band"), F.expr(f"cast(ln(n) / {log(den / num)!r} + 0.5 as int)").alias("shifted"), e.alias("e"))
+        .where("e + lo <= 0 and getbit(beside, band % 64) = 1")
+        .drop("lo", "beside")
+    )
+
+
 def _leader_pairs(rows: DataFrame, num: int, den: int, blocks: int = 8) -> DataFrame:
     """(t, band, lead, band_b, lead_b, least) of groups of different leaders that meet in a list; group b has the smaller sets.
 
@@ -309,7 +424,7 @@ def jaccard_join(
 
     Two documents are linked when den * |intersection| >= num * |union|.
     """
-    first = stored(_sets(docs, size, num, den, np.zeros(0, np.uint64)), "jaccard-sets")
+    first = stored(_sets(docs, size, num, den), "jaccard-sets")
     classes = stored(
         first.where("n > 0")
         .groupBy("n", "d1", "d2")
@@ -319,22 +434,11 @@ def jaccard_join(
         .withColumn("cid", F.monotonically_increasing_id()),
         "jaccard-classes",
     )
-    heavy = _frequent(docs, first, classes, size, num, den, heavy_least, heavy_most)
-    prefixes = _representatives(_sets(docs, size, num, den, heavy), classes)
+    reps = stored(_representatives(first, classes), "jaccard-heads")
+    heavy = _frequent(docs, reps, size, num, den, heavy_least, heavy_most)
+    prefixes = _prefixes(docs, reps, size, num, den, heavy)
     postings = stored(prefixes.select("cid", "n", F.posexplode("prefix").alias("pos", "t")).select("t", "cid", "n", "pos"), "jaccard-postings")
-    shared = postings.groupBy("t").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("t")
-    # sets differ in at most (na + nb) (den - num) / (den + num) shingles; e is a position's excess over n times that
-    # and over the shared shingles before it, whose number is that of the largest set that can be similar
-    partner = _need(F.ceil(F.col("n") * den / num))
-    lists = stored(
-        postings.join(shared, "t").select(
-            "*",
-            (F.log("n") / log(den / num) + 1e-9).cast("int").alias("band"),
-            F.expr(f"cast(ln(n) / {log(den / num)!r} + 0.5 as int)").alias("shifted"),
-            F.floor(F.col("pos") - F.col("n") * (den - num) / (den + num) - (partner - 1) - 1e-9).alias("e"),
-        ),
-        "jaccard-lists",
-    )
+    lists = stored(_meeting(postings, num, den), "jaccard-lists")
     fits = (F.least("na", "nb") * den >= F.greatest("na", "nb") * num) & (
         (F.col("pa") + F.col("pb") - 2 * (F.greatest(_need(F.col("na")), _need(F.col("nb"))) - 1)) * (den + num)
         <= (F.col("na") + F.col("nb")) * (den - num)
@@ -345,15 +449,6 @@ def jaccard_join(
     def counted(met: DataFrame) -> DataFrame:
         return met.where(fits).groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.count(F.lit(1)).alias("k"))
 
-    def texts_for(pairs: DataFrame, purpose: str) -> DataFrame:
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-        want = ids.join(classes, "cid").select("cid", F.coalesce("doc_min", F.lit(-(2**63))).alias("id"), F.col("th_min").alias("th"))
-        want = stored(want, f"{purpose}-wanted")
-        found = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("id"), F.xxhash64("text").alias("th"), "text")
-        # most texts are not wanted, so they are left where they are
-        found = marked(found, want, ["id", "th"]).where("maybe").drop("maybe")
-        return stored(found.join(want, ["id", "th"]).select("cid", "text"), purpose)
-
     def linked(compared: DataFrame) -> DataFrame:
         return compared.where(F.col("shared") * den >= (F.col("na") + F.col("nb") - F.col("shared")) * num).select("a", "b")
 
@@ -365,9 +460,9 @@ def jaccard_join(
         rows = lists.select("t", band, F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
         part = lead.join(rows, ["t", band]).where("a <> b").drop("t", band)
         met = part if met is None else met.unionByName(part)
-    pairs = stored(counted(met).where(F.col("k") >= F.least(F.lit(2), _need(F.least("na", "nb")))).drop("k"), "jaccard-leaders")
+    pairs = stored(counted(met).where(F.col("k") >= _need(F.least("na", "nb"))).drop("k"), "jaccard-leaders")
     compared = stored(
-        _compare(pairs.select("a", "b"), texts_for(pairs, "jaccard-leader-texts"), size, similar).join(pairs, ["a", "b"]),
+        _compare(pairs.select("a", "b"), docs, classes, "jaccard-leader-texts", size, similar).join(pairs, ["a", "b"]),
         "jaccard-answers",
     )
     distance = 1 - F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared"))
@@ -392,7 +487,7 @@ def jaccard_join(
     # leaders without members are left to the comparison of members
     wide = leaders.where("ra + rb > 0")
     sizes = classes.select("cid", "n")
-    apart = _compare(wide.select("a", "b"), texts_for(wide, "jaccard-group-texts"), size, 0.0, with_flips=False).drop("flips")
+    apart = _compare(wide.select("a", "b"), docs, classes, "jaccard-group-texts", size, 0.0, with_flips=False).drop("flips")
     apart = apart.join(wide, ["a", "b"]).join(sizes.select(F.col("cid").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("cid").alias("b"), F.col("n").alias("nb")), "b")
     reach = 1 - num / den + 1e-9
     apart = apart.select("a", "b", "ra", "rb", distance.alias("d")).where(F.col("d") <= F.col("ra") + F.col("rb") + reach)
@@ -403,7 +498,7 @@ def jaccard_join(
     met = met.join(b, ["t", "band_b", "lead_b"]).where((F.col("da") + F.col("db") + reach >= F.col("d")) & F.expr("nb < na or (nb = na and b < a)"))
     pairs = stored(counted(met).where(F.col("k") >= _need(F.least("na", "nb"))).drop("k"), "jaccard-pairs")
     between = stored(
-        _compare(pairs.select("a", "b"), texts_for(pairs, "jaccard-texts"), size, num / den - 1e-9, with_flips=False).drop("flips").join(pairs, ["a", "b"]),
+        _compare(pairs.select("a", "b"), docs, classes, "jaccard-texts", size, num / den - 1e-9, with_flips=False).drop("flips").join(pairs, ["a", "b"]),
         "jaccard-between",
     )
     links = stored(linked(compared).unionByName(linked(between)), "jaccard-links")

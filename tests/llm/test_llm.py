@@ -112,6 +112,56 @@ def test_passage_of_many_documents_makes_no_long_lists(spark, monkeypatch):
     assert lists[0].groupBy("t").agg(F.countDistinct("cid").alias("k")).agg(F.max("k")).first()[0] < 48
 
 
+def test_prefixes_by_a_new_order_come_from_heads(spark, monkeypatch):
+    """A prefix by another order is the one of the whole set, be it taken from the head or, where that is too short, from the text."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    rows = [(k, " ".join(f"w{rng.randrange(300)}" for _ in range(rng.choice([2, 3, 9, 40, 200, 700]))), "s") for k in range(80)]
+    rows += [(None, "a b c d e", "s"), (90, None, "s"), (91, "", "s")]
+    df = make_docs(spark, rows)
+    num, den = 9, 10
+    piece = next(jaccard.pieces([pa.record_batch({"text": pa.array([t for _, t, _ in rows], pa.string())})]))
+    sets = {r[0]: s for r, s in zip(rows, jaccard.shingle_sets(piece, 1), strict=True)}
+    held = sorted({int(x) for s in sets.values() for x in s})
+    first = jaccard._sets(df, 1, num, den)
+    classes = first.where("n > 0").select("n", "d1", "d2", F.col("doc_id").alias("doc_min"), F.col("th").alias("th_min"), F.coalesce("doc_id", F.lit(-1)).alias("cid"))
+    reps = jaccard.stored(jaccard._representatives(first, classes), "reps")
+
+    def by_hand(s, last):
+        s = sorted(int(x) for x in s)
+        k = min(len(s), len(s) - -(-num * len(s) // den) + 1 + min(4, len(s) // 40))
+        return ([x for x in s if x not in last] + [x for x in s if x in last])[:k]
+
+    marks, keep = [], jaccard.marked
+    monkeypatch.setattr(jaccard, "marked", lambda *a: marks.append(1) or keep(*a))
+    for share in (0.0, 0.3, 0.8):
+        heavy = np.array([x for x in held if rng.random() < share], np.uint64)
+        got = {r["cid"]: [x % 2**64 for x in r["prefix"]] for r in jaccard._prefixes(df, reps, 1, num, den, heavy).collect()}
+        assert got == {-1 if i is None else i: by_hand(s, set(heavy.tolist())) for i, s in sets.items() if len(s)}
+        new = np.setdiff1d(np.array([x for x in held if rng.random() < 0.02], np.uint64), heavy)
+        got = {r["cid"]: [x % 2**64 for x in r["prefix"]] for r in jaccard._prefixes(df, reps, 1, num, den, heavy, new).collect()}
+        before = {i: by_hand(s, set(heavy.tolist())) for i, s in sets.items()}
+        both = set(heavy.tolist()) | set(new.tolist())
+        assert got == {-1 if i is None else i: by_hand(sets[i], both) for i, was in before.items() if set(was) & set(new.tolist())}
+    assert marks  # the last order put more than half of some heads last
+
+
+def test_entries_that_can_meet_none_are_not_listed(spark, monkeypatch):
+    """Texts that share words, but differ too much in size or share them too late in both prefixes, make no index lists."""
+    rng = random.Random(5)
+    words = [f"w{rng.randrange(10**9)}" for _ in range(900)]
+    rows = [(k, " ".join(words[: 100 * 3**k]), "s") for k in range(3)]
+    rows += [(10, " ".join(words[:20] + ["x", "y", "z"]), "s"), (11, " ".join(words[:20] + ["x", "y", "z", "x2"]), "s")]
+    lists, keep = [], jaccard.stored
+    monkeypatch.setattr(jaccard, "stored", lambda df, purpose: lists.append(keep(df, purpose)) or lists[-1] if purpose == "jaccard-lists" else keep(df, purpose))
+    out = {r[0]: r[1] for r in jaccard.jaccard_join(make_docs(spark, rows), size=3, num=9, den=10).select("doc_id", "component_id").collect()}
+    assert out == {0: 0, 1: 1, 2: 2, 10: 10, 11: 10}
+    ids = jaccard._sets(make_docs(spark, rows), 3, 9, 10)
+    assert {r["n"] for r in lists[0].select("n").distinct().collect()} <= {r["n"] for r in ids.where("doc_id >= 10").select("n").collect()}
+
+
 def test_top_k_edges(spark):
     kind = "vec_id bigint, embedding array<float>, score int"
     nan, inf = float("nan"), float("inf")
