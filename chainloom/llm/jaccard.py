@@ -1,10 +1,10 @@
 """N-gram Jaccard join with set-relation skipping.
 
 Documents with equal shingle sets are one class. Each class enters the index with a prefix of its shingles
-in an order that puts frequent ones last, taken from its head, the smallest shingles of its text; two sets above the threshold share at least ``_need`` shingles of their
-prefixes. The index lists are in blocks by set size and by position in the prefix, both part of the join key: an
-entry meets only blocks near enough that the two positions leave room for a similar pair. Entries that can meet none
-are left out of the lists.
+in an order that puts frequent ones last, taken from its head, the smallest shingles of its text; two sets above
+the threshold share at least ``_need`` shingles of their prefixes. The index lists are in blocks by set size and by
+position in the prefix, both part of the join key: an entry meets only blocks near enough that the two positions leave
+room for a similar pair. Entries that can meet none are left out of the lists.
 
 Answers are reused between similar sets. Every block of a list has a leader, its first class; a class is
 compared with its leaders, and the shingles in which it differs from the first similar one, its flips, are kept. Two
@@ -149,6 +149,18 @@ def _reordered(
     return np.flatnonzero(use), _lists(out[np.repeat(use, size)], np.concatenate([[0], np.cumsum(size[use])])), np.flatnonzero(short)
 
 
+def _slices(batch: pa.RecordBatch, limit: int = 1 << 17) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most ``limit`` shingles in their heads, one row at least, to bound a task's memory."""
+    if not batch.num_rows:
+        return
+    ends = np.asarray(batch.column("head").offsets)
+    start = 0
+    while start < batch.num_rows:
+        stop = max(start + 1, int(np.searchsorted(ends, ends[start] + limit, "right")) - 1)
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def _prefixes(docs: DataFrame, reps: DataFrame, size: int, num: int, den: int, heavy: np.ndarray, new: np.ndarray | None = None) -> DataFrame:
     """(cid, n, prefix) of classes by the order that puts ``heavy`` and ``new`` last; with ``new``, of those this changes.
 
@@ -157,9 +169,7 @@ def _prefixes(docs: DataFrame, reps: DataFrame, size: int, num: int, den: int, h
     shared = docs.sparkSession.sparkContext.broadcast((heavy, new))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (part for whole in batches for part in _slices(whole)):
             n, head = batch.column("n").to_numpy(), batch.column("head")
             ends = np.asarray(head.offsets).astype(np.int64)
             flat = head.values.to_numpy()[ends[0] : ends[-1]].view(np.uint64)
