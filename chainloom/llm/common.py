@@ -42,6 +42,15 @@ def marked(df: DataFrame, of: DataFrame, keys: list[str]) -> DataFrame:
     return met.withColumn("maybe", F.coalesce(F.expr("getbit(_bits, _at) = 1"), F.lit(False))).drop("_word", "_at", "_bits")
 
 
+def by_merge(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that shuffles and sorts both its sides.
+
+    For sides that Spark takes for many times smaller than they are, and would gather on the driver to broadcast them: rows
+    repeated by an explode, whose size it takes from before the explode, and stored numbers, which take far less room in a file.
+    """
+    return df.hint("merge")
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """The finaliser of splitmix64: spreads a 64-bit value over all its bits."""
     x = x.astype(np.uint64, copy=True)

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from chainloom.llm.common import Piece, combine, marked, mix64, pieces, stored, words_of
+from chainloom.llm.common import Piece, by_merge, combine, marked, mix64, pieces, stored, words_of
 from chainloom.llm.components import components
 
 SETS = "doc_id bigint, th bigint, n bigint, d1 bigint, d2 bigint, head array<bigint>"
@@ -212,7 +212,7 @@ def _among(values: np.ndarray, of: np.ndarray) -> np.ndarray:
 
 def _representatives(sets: DataFrame, classes: DataFrame) -> DataFrame:
     """Id, size and head of each class, from its first document (twice if that row is repeated, which does no harm)."""
-    same = sets.where("n > 0").join(classes, ["n", "d1", "d2"])
+    same = sets.where("n > 0").join(by_merge(classes), ["n", "d1", "d2"])
     first = same.where((F.col("doc_id").eqNullSafe(F.col("doc_min"))) & (F.col("th") == F.col("th_min")))
     return first.select("cid", "n", F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), "th", "head")
 
@@ -259,13 +259,13 @@ def _compare(
     left = counts.select("a", F.explode(F.sequence(F.lit(0), "last")).alias("part"), F.lit(0).alias("kind"), F.col("a").alias("b"))
     right = pairs.join(counts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("last") + 1).cast("int").alias("part"), F.lit(1).alias("kind"), "b")
     ids = classes.select(F.col("cid").alias("b"), F.coalesce("doc_min", F.lit(_NO_ID)).alias("id"), F.col("th_min").alias("th"))
-    want = stored(left.unionByName(right).join(ids, "b"), f"{purpose}-wanted")
+    want = stored(left.unionByName(right).join(by_merge(ids), "b"), f"{purpose}-wanted")
     # most texts are not wanted, so they are left where they are; the others go to their pairs without a stop
     rows = (
         marked(_texts(docs), want, ["id", "th"])
         .where("maybe")
         .drop("maybe")
-        .join(want, ["id", "th"])
+        .join(by_merge(want), ["id", "th"])
         .repartition("a", "part")
         .sortWithinPartitions("a", "part", "kind")
         .select("a", "b", "kind", "text")
@@ -378,7 +378,7 @@ def _leader_pairs(rows: DataFrame, num: int, den: int, blocks: int = 8) -> DataF
     b = placed(smaller, 2, 1).select(
         "t", "at", "block", F.col("band").alias("band_b"), F.col("lead").alias("lead_b"), F.col("e").alias("e_b"), F.col("least").alias("least_b")
     )
-    return a.join(b, ["t", "at", "block"]).where("lead <> lead_b and e + e_b <= 0").select(
+    return by_merge(a).join(b, ["t", "at", "block"]).where("lead <> lead_b and e + e_b <= 0").select(
         "t", "band", "lead", "band_b", "lead_b", F.least("least", "least_b").alias("least")
     )
 
@@ -393,7 +393,7 @@ def _within_leaders(members: DataFrame, num: int, den: int, block: int = 256, sa
     # a leader may have very many members: they are dealt by a salt, and the leader's row is repeated for each
     salted = members.withColumn("salt", F.pmod(F.xxhash64("cid"), F.lit(salts)).cast("int"))
     open_ = open_.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    rows = salted.join(open_, ["leader", "salt"]).drop("salt").withColumn("band", (F.size("flips") / width).cast("int"))
+    rows = salted.join(by_merge(open_), ["leader", "salt"]).drop("salt").withColumn("band", (F.size("flips") / width).cast("int"))
     counts = rows.groupBy("leader", "band").agg((F.count(F.lit(1)) / block).cast("int").alias("last"))
     rows = rows.join(counts, ["leader", "band"]).withColumn("part", F.pmod(F.xxhash64("cid"), F.col("last") + 1).cast("int"))
     blocks = stored(
@@ -403,7 +403,7 @@ def _within_leaders(members: DataFrame, num: int, den: int, block: int = 256, sa
         "jaccard-blocks",
     )
     b = blocks.select("leader", F.explode(F.array("band", F.col("band") + 1)).alias("band"), F.col("band").alias("own"), F.col("part").alias("other"), F.col("m").alias("w"), F.col("x").alias("bx"), F.col("y").alias("by"))
-    pairs = blocks.join(b, ["leader", "band"]).where("(own < band or other <= part) and not (x = y and bx = by and x = bx)").select("m", "w").repartition(F.rand(5))
+    pairs = blocks.join(by_merge(b), ["leader", "band"]).where("(own < band or other <= part) and not (x = y and bx = by and x = bx)").select("m", "w").repartition(F.rand(5))
 
     def side(column: pa.Array, i: int) -> tuple:
         s = column.slice(i, 1).flatten()
@@ -468,7 +468,7 @@ def jaccard_join(
         lead = lists.groupBy("t", band).agg(F.min(F.struct("cid", "n", "pos")).alias("m"), F.count(F.lit(1)).alias("k")).where("k > 1")
         lead = lead.select("t", band, F.col("m.cid").alias("a"), F.col("m.n").alias("na"), F.col("m.pos").alias("pa"))
         rows = lists.select("t", band, F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
-        part = lead.join(rows, ["t", band]).where("a <> b").drop("t", band)
+        part = lead.join(by_merge(rows), ["t", band]).where("a <> b").drop("t", band)
         met = part if met is None else met.unionByName(part)
     pairs = stored(counted(met).where(F.col("k") >= _need(F.least("na", "nb"))).drop("k"), "jaccard-leaders")
     compared = stored(
@@ -503,9 +503,9 @@ def jaccard_join(
     apart = apart.select("a", "b", "ra", "rb", distance.alias("d")).where(F.col("d") <= F.col("ra") + F.col("rb") + reach)
     kept = stored(apart.unionByName(leaders.where("ra + rb = 0").withColumn("d", F.lit(0.0))), "jaccard-near-groups")
     met = groups.drop("least").join(kept, ["a", "b"]).withColumn("r_b", F.when(F.col("lead_b") == F.col("b"), F.col("rb")).otherwise(F.col("ra")))
-    met = met.select("t", "band", "lead", "band_b", "lead_b", "d", "r_b").join(side(rows, "a"), ["t", "band", "lead"]).where(F.col("da") + F.col("r_b") + reach >= F.col("d"))
+    met = met.select("t", "band", "lead", "band_b", "lead_b", "d", "r_b").join(by_merge(side(rows, "a")), ["t", "band", "lead"]).where(F.col("da") + F.col("r_b") + reach >= F.col("d"))
     b = side(rows, "b").withColumnsRenamed({"band": "band_b", "lead": "lead_b"})
-    met = met.join(b, ["t", "band_b", "lead_b"]).where((F.col("da") + F.col("db") + reach >= F.col("d")) & F.expr("nb < na or (nb = na and b < a)"))
+    met = met.join(by_merge(b), ["t", "band_b", "lead_b"]).where((F.col("da") + F.col("db") + reach >= F.col("d")) & F.expr("nb < na or (nb = na and b < a)"))
     pairs = stored(counted(met).where(F.col("k") >= _need(F.least("na", "nb"))).drop("k"), "jaccard-pairs")
     between = stored(
         _compare(pairs.select("a", "b"), docs, classes, "jaccard-texts", size, num / den - 1e-9, with_flips=False).drop("flips").join(pairs, ["a", "b"]),
