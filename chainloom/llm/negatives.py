@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from chainloom.llm.common import stored
+from chainloom.llm.common import by_merge, stored
 
 BLOCK = "block bigint, ids binary, labels binary, planes binary"
 CHUNK = "chunk bigint, a_ids binary, a_labels binary, vectors binary"
@@ -236,7 +236,7 @@ def hard_negatives(
 
     def met(left: DataFrame) -> DataFrame:
         every = F.sequence(F.lit(0).cast("bigint"), F.lit(n_groups - 1).cast("bigint"))
-        return left.withColumn("group", F.explode(every)).join(dealt, "group").drop("group")
+        return by_merge(left.withColumn("group", F.explode(every))).join(dealt, "group").drop("group")
 
     first = _scan(met(chunks), groups, planes, kind, PARTIAL, lambda c, i, n, p, _: _positives(c, i, n, p, positives))
     best = W.partitionBy("chunk", "place").orderBy(F.desc("score"), "vec_id")

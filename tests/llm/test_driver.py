@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from chainloom.llm import jaccard
+from chainloom.llm import jaccard, negatives
 
 
 @pytest.fixture
@@ -25,6 +27,19 @@ def joins(monkeypatch):
     return of
 
 
+def vectors(spark, n, seed):
+    rng = np.random.default_rng(seed)
+    rows = [(i, rng.normal(0, 1, 8).astype(np.float32).tolist(), i % 3) for i in range(n)]
+    return rows, spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+
+
+def test_hard_negatives_shuffle_the_copies_of_their_anchors(spark, joins):
+    _, df = vectors(spark, 300, 2)
+    got, found = joins(negatives, lambda: negatives.hard_negatives(df, F.col("vec_id") % 50 == 0, block=16, chunk=2))
+    assert [kind for kind, keys in found if keys == "group"] == ["SortMergeJoin", "SortMergeJoin"]
+    assert got
+
+
 def test_jaccard_join_shuffles_index_entries_and_repeated_rows(spark, joins):
     text = lambda n, k, m: " ".join(f"w{n}x{i}" for i in range(k)) + "".join(f" v{m}x{i}" for i in range(3))
     docs = spark.createDataFrame([(i, text(i % 40, 60, i if i % 2 else 0)) for i in range(160)] + [(None, text(1, 60, 1)), (200, None)], "doc_id bigint, text string")
