@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from chainloom.llm.common import stored
+from chainloom.llm.common import by_merge, stored
 
 FOUND = "query_id bigint, vec_id bigint, score bigint"
 
@@ -197,7 +197,8 @@ def top_k(
     # the stated queries meet all rows, in blocks: each chunk of queries is sent to every group of blocks
     group = F.pmod(F.xxhash64("cell", "part"), F.lit(groups)).cast("int").alias("group")
     grouped = blocks.select(group, "ids", "vectors", "table", "low", "high")
-    pairs = queries.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).join(grouped, "group")
+    copies = queries.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    pairs = by_merge(copies).join(grouped, "group")
     full = F.col("limited") == F.octet_length("q_ids") / 8
     pairs = pairs.where(~F.coalesce(full, F.lit(False)) | (reach >= F.col("least")))
     found = _scores(pairs, table, dims, k)

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from chainloom.llm import jaccard, negatives
+from chainloom.llm import jaccard, negatives, topk
 
 
 @pytest.fixture
@@ -33,6 +33,15 @@ def vectors(spark, n, seed):
     return rows, spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
 
 
+def test_top_k_shuffles_the_copies_of_its_queries(spark, joins):
+    rows, df = vectors(spark, 300, 1)
+    got, found = joins(topk, lambda: topk.top_k(df, F.col("vec_id") % 50 == 0, pivots=4, block=32, chunk=4, groups=5))
+    assert ("SortMergeJoin", "group") in found and ("BroadcastHashJoin", "group") not in found
+    x = np.floor(np.array([r[1] for r in rows], np.float32).astype(float) * 256).astype(int)
+    want = [(q, r + 1, v, s) for q in range(0, 300, 50) for r, (s, v) in enumerate(sorted((-int(x[q] @ x[i]), i) for i in range(300) if i != q)[:5])]
+    assert sorted((r.query_id, r["rank"], r.vec_id, -r.score) for r in got) == want
+
+
 def test_hard_negatives_shuffle_the_copies_of_their_anchors(spark, joins):
     _, df = vectors(spark, 300, 2)
     got, found = joins(negatives, lambda: negatives.hard_negatives(df, F.col("vec_id") % 50 == 0, block=16, chunk=2))
